@@ -156,7 +156,7 @@ DEFINITIONS: dict[str, str] = {
             when 6 then '/zxdb/x/a-load-'||cast(page_id as string)||'.scr'
             else 'https://dev.itch.io/'||cast(page_id as string) end as file_link,
           cast(case when page_id%16=7 then 0 else page_id%12 end as int) as filetype_id, nullif(page_id%26,0) as machinetype_id,
-          page_id%8 as scr_border, case when page_id%3=0 then 1 else 0 end as is_demo,
+          page_id%8 as scr_border, case when page_id%5=0 then 1 else 0 end as is_demo,
           cast(floor(page_id/2) as int)%2 as release_seq, cast(length(html) as int) as file_size, md5(html) as file_md5
         from {pages}""",
     "files": """
