@@ -115,7 +115,7 @@ SQL = {
     "search_origins": over_catalogue(ORIGINS),
     "search_origin_publications": over_catalogue(PUBLICATIONS),
     "lookup_entries_by_title": over_catalogue(entries_by_title("widget3")),
-    "lookup_labels_by_name": over_catalogue(labels_by_name("#0000000012")),
+    "lookup_labels_by_name": over_catalogue(labels_by_name("#00000012")),
     "lookup_entries_by_author": over_catalogue(entries_by_label(AUTHORS, "#00000001")),
     "lookup_entries_by_publisher": over_catalogue(entries_by_label(PUBLISHERS, "#00000001")),
 }

@@ -33,7 +33,7 @@ def rows(columns: list[str], data) -> Counter:
 
 KINDS = {
     "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN", "double": "DOUBLE",
-    "tinyint": "TINYINT", "smallint": "SMALLINT",
+    "timestamp_ntz": "TIMESTAMP", "tinyint": "TINYINT", "smallint": "SMALLINT",
 }
 
 
