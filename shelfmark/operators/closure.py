@@ -16,12 +16,12 @@ def label_edges(labels: DataFrame, known_parents: bool) -> DataFrame:
         F.col("id").alias("label_id"), F.explode(F.array("from_id", "owner_id")).alias("related_id")
     ).where("related_id is not null")
     if known_parents:
-        ups = among(ups, "related_id", labels, "id")
+        ups = among(ups, "related_id", labels, "id", unique=True)
     children = labels.where(F.col("labeltype_id").isNull() | F.col("labeltype_id").isin(*PEOPLE))
     downs = children.select(
         F.explode(F.array("from_id", "owner_id")).alias("label_id"), F.col("id").alias("related_id")
     ).where("label_id is not null")
-    known = among(downs, "label_id", labels, "id")
+    known = among(downs, "label_id", labels, "id", unique=True)
     return ups.unionByName(known).distinct()
 
 

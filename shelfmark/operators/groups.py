@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .membership import spread
 from .sequences import running_before
 
 
@@ -37,10 +38,10 @@ def twins(df: DataFrame, key: list[str], ident: str, carry: str, weight: str | N
     so the total is the number of pairs while the output stays linear.
     """
     rows = df.withColumn("_w", F.col(weight) if weight else F.lit(1).cast("long"))
-    firsts = rows.groupBy(*key).agg(
+    firsts = rows.groupBy(*key, spread(*key)).agg(
         F.min(F.struct(F.col(ident).alias("id"), F.col(carry).alias("name"))).alias("first"),
         F.count(F.lit(1)).alias("_rows"),
-    ).where("_rows > 1").drop("_rows")
+    ).where("_rows > 1").drop("_rows", "_spread")
     repeated = rows.join(firsts, key).select(*rows.columns, "first")
     counted = running_before(repeated, key, ident, "_w", "_earlier")
     return counted.where("_earlier > 0").withColumn(
@@ -89,9 +90,9 @@ def canonical_ids(df: DataFrame, columns: Sequence[str], ident: str, out: str) -
     Only digests and ids travel; ids that stand for themselves alone never reach the join back.
     """
     keyed = df.select(F.col(ident).alias("_id"), content_key(columns).alias("_key"))
-    firsts = keyed.groupBy("_key").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    firsts = keyed.groupBy("_key", spread("_key")).agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
     others = (
-        keyed.join(firsts.where("_n > 1"), "_key").where("_id <> _first").select("_id", "_first")
+        keyed.join(firsts.where("_n > 1").drop("_spread"), "_key").where("_id <> _first").select("_id", "_first")
     )
     return df.join(others, df[ident] == others["_id"], "left").withColumn(
         out, F.coalesce("_first", ident)
@@ -102,7 +103,7 @@ def first_by(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     """One row per key: the first in ``order``. Partially aggregated, so hot keys shrink early."""
     rest = [c for c in df.columns if c not in key and c not in order]
     row = F.struct(*order, *rest)
-    return df.groupBy(*key).agg(F.min(row).alias("_row")).select(
+    return df.groupBy(*key, spread(*key)).agg(F.min(row).alias("_row")).select(
         *key, *[F.col(f"_row.{c}").alias(c) for c in (*order, *rest)]
     ).select(*df.columns)
 

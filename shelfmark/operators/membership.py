@@ -5,22 +5,35 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
-def key_set(df: DataFrame, column: str, name: str = "key") -> DataFrame:
+SALTS = 32
+
+
+def spread(*key: str) -> Column:
+    """An extra grouping column that follows from the key and leaves the groups as they are.
+
+    A join that consumes the grouped rows cannot take over their partitioning then, so both its sides
+    arrive by an exchange of their own. Only such joins are split at run time when one key is hot.
+    """
+    return F.pmod(F.xxhash64(*key), F.lit(1024)).alias("_spread")
+
+
+def key_set(df: DataFrame, column: str, name: str = "key", unique: bool = False) -> DataFrame:
     """Distinct non-null keys. The partial distinct shrinks a hot key before any exchange."""
-    return df.select(F.col(column).alias(name)).where(F.col(name).isNotNull()).distinct()
+    keys = df.select(F.col(column).alias(name)).where(F.col(name).isNotNull())
+    return keys if unique else keys.select(name, spread(name)).distinct().select(name)
 
 
-def among(left: DataFrame, column: str, right: DataFrame, right_column: str) -> DataFrame:
-    """Rows of ``left`` whose key occurs in ``right``."""
-    keys = key_set(right, right_column, "_key")
+def among(left: DataFrame, column: str, right: DataFrame, right_column: str, unique: bool = False) -> DataFrame:
+    """Rows of ``left`` whose key occurs in ``right``, whose keys may be known to be ``unique``."""
+    keys = key_set(right, right_column, "_key", unique)
     return left.join(keys, left[column] == keys["_key"], "left_semi")
 
 
 def absent(
-    left: DataFrame, column: str, right: DataFrame, right_column: str, null_aware: bool = False
+    left: DataFrame, column: str, right: DataFrame, right_column: str, null_aware: bool = False, unique: bool = False
 ) -> DataFrame:
     """Rows of ``left`` whose key does not occur in ``right``.
 
@@ -28,7 +41,7 @@ def absent(
     stays only when the right side is empty. Those two facts are one-row subqueries, so the join itself
     stays a plain hash or merge anti-join and never has to ship the whole right side to every task.
     """
-    keys = key_set(right, right_column, "_key")
+    keys = key_set(right, right_column, "_key", unique)
     kept = left.join(keys, left[column] == keys["_key"], "left_anti")
     if not null_aware:
         return kept
@@ -43,13 +56,15 @@ def absent(
 
 def among_any(left: DataFrame, column: str, sets: Iterable[tuple[DataFrame, str]]) -> DataFrame:
     """Rows whose key occurs in any of several sets: one distinct union and one semi-join."""
-    keys = reduce(DataFrame.unionByName, [key_set(df, col, "_key") for df, col in sets]).distinct()
+    lists = [df.select(F.col(col).alias("_key")).where("_key is not null") for df, col in sets]
+    keys = key_set(reduce(DataFrame.unionByName, lists), "_key", "_key")
     return left.join(keys, left[column] == keys["_key"], "left_semi")
 
 
 def missing_references(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
-    """Foreign-key check: child rows whose non-null key has no parent."""
-    return absent(child.where(F.col(column).isNotNull()), column, parent, parent_column)
+    """Foreign-key check: ``(column, occurrences)`` of non-null values without a parent, counted before the join."""
+    used = child.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("occurrences"))
+    return absent(used, column, parent, parent_column, unique=True)
 
 
 def repeated_keys(df: DataFrame, key: list[str]) -> DataFrame:
@@ -61,15 +76,19 @@ def without_suffix(df: DataFrame, column: str, suffixes: DataFrame, suffix: str)
     """Rows whose text ends in none of the listed suffixes.
 
     A hash semi-join on the endings of each length that occurs, not a nested loop over the list.
-    ``df`` needs no key of its own: identical texts share one verdict.
+    ``df`` needs no key of its own: identical texts share one verdict. A common ending is spread over
+    ``SALTS`` copies of the short list.
     """
     lengths = suffixes.agg(F.collect_set(F.char_length(suffix))).scalar()
-    texts = df.select(F.col(column).alias("_text")).where("_text is not null").distinct()
-    endings = texts.select("_text", F.explode(lengths).alias("_n")).where(
-        F.char_length("_text") >= F.col("_n")
-    ).select("_text", F.expr("right(_text, _n)").alias("_key"))
-    known = endings.join(key_set(suffixes, suffix, "_key"), "_key", "left_semi").select("_text").distinct()
-    return df.join(known, df[column] == known["_text"], "left_anti")
+    texts = key_set(df, column, "_text")
+    endings = texts.select(
+        "_text", F.pmod(F.xxhash64("_text"), F.lit(SALTS)).alias("_salt"), F.explode(lengths).alias("_n")
+    ).where(F.char_length("_text") >= F.col("_n")).select("_text", "_salt", F.expr("right(_text, _n)").alias("_key"))
+    listed = key_set(suffixes, suffix, "_key").select(
+        "_key", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("_salt")
+    )
+    known = endings.join(listed, ["_key", "_salt"], "left_semi")
+    return absent(df, column, known, "_text")
 
 
 def lonely_prefixes(df: DataFrame, ident: str, name: str, stem: str) -> DataFrame:
@@ -83,8 +102,8 @@ def lonely_prefixes(df: DataFrame, ident: str, name: str, stem: str) -> DataFram
     starts = df.select(name, F.explode(lengths).alias("_n")).where(F.char_length(name) >= F.col("_n"))
     counts = (
         starts.select(F.expr(f"left({name}, _n)").alias("_key"))
+        .groupBy("_key", spread("_key")).agg(F.count(F.lit(1)).alias("_hits")).drop("_spread")
         .join(key_set(stems, stem, "_key"), "_key", "left_semi")
-        .groupBy("_key").agg(F.count(F.lit(1)).alias("_hits"))
     )
     own = F.col(name).startswith(F.col(stem)).cast("int")
     return (

@@ -36,9 +36,12 @@ def running_before(
     cut = F.floor(F.col(order) / width)
     ranges = df.groupBy(*key, cut.alias("_range")).agg(combine(value).alias("_total"))
     earlier = Window.partitionBy(*key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    carried = ranges.select(*key, "_range", combine("_total").over(earlier).alias("_carried"))
+    # Groups that fit one range carry nothing, so for ordinary groups this side of the join is empty.
+    carried = ranges.select(*key, "_range", combine("_total").over(earlier).alias("_carried")).where(
+        "_carried is not null"
+    )
     inside = Window.partitionBy(*key, "_range").orderBy(order).rangeBetween(Window.unboundedPreceding, -1)
-    joined = df.withColumn("_range", cut).join(carried, [*key, "_range"])
+    joined = df.withColumn("_range", cut).join(carried, [*key, "_range"], "left")
     local = combine(value).over(inside)
     if how == "sum":
         both = F.coalesce(local, F.lit(0)) + F.coalesce("_carried", F.lit(0))
@@ -63,20 +66,19 @@ def inversions(df: DataFrame, key: str, seq: str, value: str) -> DataFrame:
         F.col("_peak.v") > F.col("value")
     ).select(key, "seq", "value", "n", F.col("_peak.v").alias("first_value"), (-F.col("_peak.s")).alias("first_seq"))
     levels = points.select(key, F.col("value").alias("level")).distinct()
+    # One question per offender and larger value that occurs: how many earlier rows have it?
     asked = offenders.join(levels, key).where("level > value").select(
-        key, "level", "seq", F.lit(0).cast("long").alias("w"), "value"
+        key, "level", "seq", F.lit(0).cast("long").alias("w"),
+        F.struct("value", "n", "first_value", "first_seq").alias("of"),
     )
     given = points.select(
-        key, F.col("value").alias("level"), "seq", F.col("n").alias("w"), F.lit(None).cast("long").alias("value")
+        key, F.col("value").alias("level"), "seq", F.col("n").alias("w"), F.lit(None).cast(asked.schema["of"].dataType).alias("of")
     )
-    counted = (
-        running_before(given.unionByName(asked), [key, "level"], "seq", "w", "_before")
-        .where(F.col("value").isNotNull())
-        .groupBy(key, "seq", "value").agg(F.sum("_before").alias("_pairs"))
+    answers = running_before(given.unionByName(asked), [key, "level"], "seq", "w", "_before").where("of is not null")
+    return answers.groupBy(key, "seq", "of").agg(F.sum("_before").alias("_pairs")).select(
+        key, "seq", "of.value", "of.first_value", "of.first_seq",
+        (F.col("of.n") * F.col("_pairs")).alias("occurrences"),
     )
-    return offenders.join(counted, [key, "seq", "value"]).withColumn(
-        "occurrences", F.col("n") * F.col("_pairs")
-    ).drop("n", "_pairs")
 
 
 def last_of_group(df: DataFrame, key: str, seq: str) -> DataFrame:

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ...operators.changes import update_from
-from ...operators.membership import absent, key_set
+from ...operators.membership import absent
 from ...sources.text_files import drop_edges, first_loaded, read_delimited, read_fixed_width
 
 Tables = Mapping[str, DataFrame]
@@ -47,7 +47,7 @@ def read_mirror(spark: SparkSession, path: str) -> DataFrame:
 
 def unknown_files(listing: DataFrame, t: Tables) -> DataFrame:
     """Listed files that no table knows: one anti-join against the union of all known links."""
-    known = reduce(DataFrame.unionByName, [key_set(t[name], "file_link", "file_link") for name in FILE_TABLES])
+    known = reduce(DataFrame.unionByName, [t[name].select("file_link") for name in FILE_TABLES])
     return absent(listing, "file_link", known, "file_link")
 
 
@@ -60,7 +60,7 @@ def unknown_mirror_files(listing: DataFrame, t: Tables) -> DataFrame:
 
 def missing_files(table: DataFrame, listing: DataFrame, root: str = LATER_ARCHIVE) -> DataFrame:
     """Rows of a table under ``root`` whose file is not listed."""
-    return absent(table.where(F.col("file_link").startswith(root)), "file_link", listing, "file_link")
+    return absent(table.where(F.col("file_link").startswith(root)), "file_link", listing, "file_link", unique=True)
 
 
 def missing_mirror_scraps(scraps: DataFrame, listing: DataFrame) -> DataFrame:

@@ -32,7 +32,7 @@ def unclean_ids(maps: DataFrame) -> DataFrame:
 def map_links(maps: DataFrame, entries: DataFrame) -> DataFrame:
     """One link per entry and picture. The picture's extension is cut by length in bytes."""
     numbered = maps.select(F.col("id").try_cast("int").alias("entry_id"), "file_image").where("entry_id is not null")
-    known = among(numbered, "entry_id", entries, "id").distinct()
+    known = among(numbered, "entry_id", entries, "id", unique=True).distinct()
     name = F.left("file_image", F.octet_length("file_image") - 4)
     return known.select(
         "entry_id", F.concat(F.lit(ROOT), name).alias("link"), F.lit(SITE).alias("website_id"),

@@ -89,10 +89,8 @@ def origins(t: Tables) -> DataFrame:
     holders = t["entries"].select(
         F.col("id").alias("container_id"), F.col("genretype_id").alias("genre"), F.col("issue_id")
     )
-    released = holders.join(
-        t["releases"].where("release_seq = 0").select(
-            F.col("entry_id").alias("container_id"), "release_year", "release_month", "release_day"
-        ), "container_id",
+    first_releases = t["releases"].where("release_seq = 0").select(
+        F.col("entry_id").alias("container_id"), "release_year", "release_month", "release_day"
     )
     tapes = t["entries"].where(F.col("genretype_id") == COVERTAPE).select(F.col("id").alias("entry_id"), "issue_id")
     books = t["booktypeins"].where("is_original = 1").select("entry_id", F.col("book_id").alias("container_id"))
@@ -101,14 +99,14 @@ def origins(t: Tables) -> DataFrame:
     )
     inside = t["contents"].where("is_original = 1 and entry_id is not null").select(
         "entry_id", "container_id"
-    ).distinct().join(released, "container_id")
+    ).distinct().join(holders, "container_id").join(first_releases, "container_id")
     kind = (
         F.when(F.col("genre").isin(*COMPILATIONS), "A").when(F.col("genre") == COVERTAPE, "T")
         .when(F.col("genre") == ELECTRONIC, "E").otherwise("P")
     )
     sources = [
         _origin(tapes.join(issues, "issue_id"), "C", None, "issue_id", "date"),
-        _origin(books.join(released, "container_id"), "B", "container_id", None, "release"),
+        _origin(books.join(holders, "container_id").join(first_releases, "container_id"), "B", "container_id", None, "release"),
         _origin(printed.join(issues, "issue_id"), "M", None, "issue_id", "date"),
         _origin(inside.where(F.col("genre") == COVERTAPE).join(issues, "issue_id"), "T", "container_id", "issue_id", "date"),
         _origin(inside, kind, "container_id", None, "release"),

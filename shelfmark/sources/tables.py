@@ -72,8 +72,7 @@ def check_references(tables: Mapping[str, DataFrame], name: str) -> DataFrame:
     out = None
     for column, parent in TABLES[name].references.items():
         lost = missing_references(tables[name].select(column), column, tables[parent], "id")
-        counted = lost.groupBy(F.col(column).cast("string").alias("value")).agg(F.count(F.lit(1)).alias("occurrences"))
-        part = counted.select(F.lit(column).alias("column"), "value", "occurrences")
+        part = lost.select(F.lit(column).alias("column"), F.col(column).cast("string").alias("value"), "occurrences")
         out = part if out is None else out.unionByName(part)
     return out
 
