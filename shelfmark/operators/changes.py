@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .groups import first_by
+from .membership import spread
 from .sequences import assign_ids
 
 
@@ -45,17 +47,20 @@ def replace_slice(target: DataFrame, fresh: DataFrame, column: str, value: objec
     return kept.unionByName(fresh.select(*[F.col(c).cast(target.schema[c].dataType) for c in target.columns]))
 
 
+def match_choices(df: DataFrame, key: Sequence[str], choice: str) -> DataFrame:
+    """Per key the smallest choice and the number of choices: ``(key…, choice, candidates)``.
+
+    Built on the side that is looked up, so that a join never pairs all its rows with all that ask.
+    """
+    grouped = df.groupBy(*key, spread(*key)).agg(F.min(choice).alias(choice), F.count(F.lit(1)).alias("candidates"))
+    return grouped.drop("_spread")
+
+
 def tiered_match(tiers: Sequence[DataFrame], key: str, choice: str) -> DataFrame:
-    """First tier that knows a key wins; inside a tier the smallest choice.
+    """First tier that knows a key wins. Each tier holds ``(key, choice, candidates)``, one row per key.
 
-    ``candidates`` tells how many different choices the winning tier had: more than one is a collision.
+    ``candidates`` tells how many choices the winning tier had: more than one is a collision.
     """
-    ranked = [df.select(key, F.col(choice).alias(choice), F.lit(i).alias("tier")) for i, df in enumerate(tiers, 1)]
-    union = ranked[0]
-    for df in ranked[1:]:
-        union = union.unionByName(df)
-    per_tier = (
-        union.where(F.col(key).isNotNull() & F.col(choice).isNotNull()).distinct()
-        .groupBy(key, "tier").agg(F.min(choice).alias(choice), F.count(F.lit(1)).alias("candidates"))
-    )
-    return first_by(per_tier, [key], ["tier"]).select(key, choice, "tier", "candidates")
+    ranked = [df.select(key, choice, "candidates", F.lit(i).alias("tier")) for i, df in enumerate(tiers, 1)]
+    union = reduce(DataFrame.unionByName, ranked).where(F.col(key).isNotNull() & F.col(choice).isNotNull())
+    return first_by(union, [key], ["tier"]).select(key, choice, "tier", "candidates")

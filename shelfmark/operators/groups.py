@@ -120,8 +120,8 @@ def joined_text(df: DataFrame, key: str, order: str, text: str, out: str, sep: s
     parts = df.where(F.col(text).isNotNull()).groupBy(key, F.floor(F.col(order) / width).alias("_range")).agg(
         F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), F.col(text).alias("t")))).alias("_rows")
     ).select(key, "_range", F.array_join(F.transform("_rows", lambda r: r["t"]), sep).alias("_part"))
-    return parts.groupBy(key).agg(
+    return parts.groupBy(key, spread(key)).agg(
         F.array_join(
             F.transform(F.sort_array(F.collect_list(F.struct("_range", "_part"))), lambda r: r["_part"]), sep
         ).alias(out)
-    )
+    ).drop("_spread")

@@ -15,9 +15,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ...functions.text import (
     clean_page, clean_text, month_name, on_supplement, score_label, text, trim_newlines,
 )
-from ...operators.changes import insert_missing, tiered_match, update_from
+from ...operators.changes import insert_missing, match_choices, tiered_match, update_from
 from ...operators.groups import canonical_ids, first_by
-from ...operators.membership import absent
+from ...operators.membership import absent, spread
 from ...operators.sequences import assign_ids, assign_sequence, last_of_group
 from ...session import cut_lineage
 from ...sources.tables import constant_dim
@@ -87,7 +87,7 @@ def magazine_map(t: Tables, s: Tables) -> DataFrame:
     """``(mag_id, magazine_id, tier, candidates)`` by aliased name."""
     theirs = s["magazines_src"].select("mag_id", aliased_magazine("mag_name").alias("key"))
     ours = t["magazines"].select(F.col("id").alias("magazine_id"), F.lower("name").alias("key"))
-    return tiered_match([theirs.join(ours, "key")], "mag_id", "magazine_id")
+    return tiered_match([theirs.join(match_choices(ours, ["key"], "magazine_id"), "key")], "mag_id", "magazine_id")
 
 
 def unmapped(df: DataFrame, column: str, mapped: DataFrame, key: str) -> DataFrame:
@@ -114,7 +114,8 @@ def _manual_pairs(t: Tables, s: Tables) -> DataFrame:
     for column in ("child", "date_year", "date_month", "number", "special", "supplement"):
         wanted = F.col(f"w_{column}")
         fits &= wanted.isNull() | F.coalesce(ours[column] == wanted, F.lit(False))
-    return theirs.drop("supplement", "special").join(ours, "magazine").where(fits)
+    found = theirs.join(ours, "magazine").where(fits).select("issue_code", "issue_id").distinct()
+    return match_choices(found, ["issue_code"], "issue_id")
 
 
 def issue_map(t: Tables, s: Tables, magazines: DataFrame | None = None) -> DataFrame:
@@ -129,7 +130,7 @@ def issue_map(t: Tables, s: Tables, magazines: DataFrame | None = None) -> DataF
         F.col("id").alias("issue_id"), F.col("magazine_id").cast("long").alias("magazine_id"), "number",
         F.concat(month_name("date_month"), F.lit(" "), text("date_year")).alias("dated"),
     )
-    # One row per issue and kind of label, so that one join serves the three label tiers.
+    # One row per label and kind of label, so that one join serves the three label tiers.
     labels = main.where("dated is not null").select(
         "issue_id", "magazine_id", F.posexplode(F.array(
             F.concat(F.lit("Issue "), text("number"), F.lit(", "), F.col("dated")),
@@ -137,9 +138,12 @@ def issue_map(t: Tables, s: Tables, magazines: DataFrame | None = None) -> DataF
             F.concat(F.lit("Issue "), F.col("dated")),
         )).alias("kind", "issue")
     ).where("issue is not null")
-    by_label = theirs.select("issue_code", "magazine_id", "issue").join(labels, ["magazine_id", "issue"])
-    by_number = theirs.where("number is not null").join(main.select("issue_id", "magazine_id", "number"),
-                                                       ["magazine_id", "number"])
+    label_key, number_key = ["magazine_id", "issue"], ["magazine_id", "number"]
+    by_label = theirs.select("issue_code", *label_key).join(
+        match_choices(labels, [*label_key, "kind"], "issue_id"), label_key
+    )
+    numbers = match_choices(main.where("number is not null").select("issue_id", *number_key), number_key, "issue_id")
+    by_number = theirs.select("issue_code", *number_key).join(numbers, number_key)
     tiers = [_manual_pairs(t, s), *[by_label.where(F.col("kind") == k) for k in range(3)], by_number]
     return tiered_match(tiers, "issue_code", "issue_id")
 
@@ -164,11 +168,17 @@ def cleaned_reviews(s: Tables, issues: DataFrame) -> DataFrame:
     )
 
 
+def _children(issues: DataFrame) -> DataFrame:
+    """``(issue_id, child_id, children)``: the smallest child of an issue and how many it has."""
+    children = issues.where("parent_id is not null").select(
+        F.col("parent_id").cast("long").alias("issue_id"), F.col("id").cast("long").alias("child_id")
+    )
+    return match_choices(children, ["issue_id"], "child_id").withColumnRenamed("candidates", "children")
+
+
 def redirected(reviews: DataFrame, issues: DataFrame) -> DataFrame:
     """Reviews from a supplement move to the child issue: the smallest one, or none."""
-    children = issues.where("parent_id is not null").groupBy(
-        F.col("parent_id").cast("long").alias("issue_id")
-    ).agg(F.min("id").cast("long").alias("child_id"))
+    children = _children(issues)
     return reviews.join(children, "issue_id", "left").withColumn(
         "issue_id", F.when(F.col("is_supplement"), F.col("child_id")).otherwise(F.col("issue_id"))
     ).select(*reviews.columns)
@@ -176,10 +186,7 @@ def redirected(reviews: DataFrame, issues: DataFrame) -> DataFrame:
 
 def redirect_reports(reviews: DataFrame, issues: DataFrame) -> DataFrame:
     """Supplement reviews whose issue has no child or more than one."""
-    children = issues.where("parent_id is not null").groupBy(
-        F.col("parent_id").cast("long").alias("issue_id")
-    ).agg(F.count(F.lit(1)).alias("children"))
-    counted = reviews.where("is_supplement and issue_id is not null").join(children, "issue_id", "left").select(
+    counted = reviews.where("is_supplement and issue_id is not null").join(_children(issues), "issue_id", "left").select(
         "id", "issue_id", F.coalesce("children", F.lit(0)).cast("long").alias("children")
     )
     return counted.where("children <> 1")
@@ -297,10 +304,11 @@ class ReviewIntegration:
     @cached_property
     def located(self) -> DataFrame:
         """Reviews with the id of their reference."""
-        refs = self._typed(self._main_refs).where("entry_id is not null").groupBy(
-            *REFERENCE_KEY, "score_group"
-        ).agg(F.min("id").alias("magref_id"))
-        return self.reviews.join(refs, [*REFERENCE_KEY, "score_group"])
+        key = [*REFERENCE_KEY, "score_group"]
+        refs = self._typed(self._main_refs).where("entry_id is not null").groupBy(*key, spread(*key)).agg(
+            F.min("id").alias("magref_id")
+        )
+        return self.reviews.join(refs.drop("_spread"), key)
 
     @cached_property
     def feature_links(self) -> DataFrame:
