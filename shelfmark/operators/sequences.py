@@ -71,7 +71,8 @@ def inversions(df: DataFrame, key: str, seq: str, value: str) -> DataFrame:
         key, "level", "seq", F.lit(0).cast("long").alias("w"),
         F.struct("value", "n", "first_value", "first_seq").alias("of"),
     )
-    given = points.select(
+    # Only groups with an offender are looked at again.
+    given = points.join(offenders.select(key).distinct(), key, "left_semi").select(
         key, F.col("value").alias("level"), "seq", F.col("n").alias("w"), F.lit(None).cast(asked.schema["of"].dataType).alias("of")
     )
     answers = running_before(given.unionByName(asked), [key, "level"], "seq", "w", "_before").where("of is not null")
