@@ -111,8 +111,7 @@ DEFINITIONS: dict[str, str] = {
                when l_suppkey%4=0 or l_suppkey%12=1 then l_linenumber end as series_seq
         from {lineitem} group by l_suppkey, l_linenumber
         union all
-        select 10000001+n_nationkey, E(n_nationkey+1), n_regionkey+1
-        from {nation} where n_nationkey between 5 and 9
+        select 10000006+n_nationkey%5, E(n_nationkey%5+1), cast(floor(n_nationkey/5) as int)+1 from {nation}
         union all
         select 10000011+p_partkey%15, E(p_partkey+1), cast(null as int) from {part}""",
     "magazines": """

@@ -71,7 +71,7 @@ def check_references(tables: Mapping[str, DataFrame], name: str) -> DataFrame:
     """Rows of a table that point at nothing: ``(column, value, occurrences)`` per declared reference."""
     out = None
     for column, parent in TABLES[name].references.items():
-        lost = missing_references(tables[name].select(column), column, tables[parent], "id")
+        lost = missing_references(tables[name].select(column), column, tables[parent], TABLES[parent].key[0])
         part = lost.select(F.lit(column).alias("column"), F.col(column).cast("string").alias("value"), "occurrences")
         out = part if out is None else out.unionByName(part)
     return out
