@@ -22,7 +22,7 @@ from shelfmark.operators import groups, membership, sequences  # noqa: E402
 from shelfmark.plans import search  # noqa: E402
 from shelfmark.plans.imports import listings, map_links  # noqa: E402
 from shelfmark.plans.imports.reviews import ReviewIntegration  # noqa: E402
-from shelfmark.plans.rules import REGISTRY, run_checks, run_rule  # noqa: E402
+from shelfmark.plans.rules import REGISTRY, read_findings, run_checks, run_rule, store_findings  # noqa: E402
 from shelfmark.plans.rules.magazines import pending_reviews  # noqa: E402
 from shelfmark.plans.rules.tags import series_gaps  # noqa: E402
 from shelfmark.schema import TABLES  # noqa: E402
@@ -53,8 +53,8 @@ def orders_without_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def orders_same_customer_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = ["o_custkey", "o_orderdate"]
-    return groups.pair_counts(_read(spark, sf_dir, "orders"), [F.col(c) for c in key], key)
+    key = [F.col("o_custkey"), F.to_date("o_orderdate").cast("string")]
+    return groups.pair_counts(_read(spark, sf_dir, "orders"), key, ["o_custkey", "o_orderdate"])
 
 
 def lineitem_ship_inversions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,12 +151,10 @@ def findings_in_one_pass(t: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def findings_per_rule(t: Mapping[str, DataFrame]) -> DataFrame:
-    from shelfmark.plans.rules import store_findings
-
     spark = t["entries"].sparkSession
     path = new_path(spark, "findings")
     store_findings(t, path, advisory=True)
-    return spark.read.parquet(path).groupBy(F.col("rule").cast("string").alias("rule")).agg(
+    return read_findings(spark, path).groupBy("rule").agg(
         F.count(F.lit(1)).alias("findings"), F.sum("occurrences").alias("occurrences")
     )
 

@@ -42,8 +42,9 @@ SQL = {
         group by c.l_orderkey, c.l_linenumber""",
     "orders_without_lineitem": "select o_orderkey, o_custkey from orders anti join lineitem on l_orderkey = o_orderkey",
     "orders_same_customer_date": """
-        select a.o_custkey, a.o_orderdate, count(*) as occurrences from orders a
-        join orders b on b.o_custkey = a.o_custkey and b.o_orderdate = a.o_orderdate and a.o_orderkey < b.o_orderkey group by all""",
+        select a.o_custkey, cast(cast(a.o_orderdate as date) as varchar) as o_orderdate, count(*) as occurrences from orders a
+        join orders b on b.o_custkey = a.o_custkey and cast(b.o_orderdate as date) = cast(a.o_orderdate as date) and a.o_orderkey < b.o_orderkey
+        group by all""",
     "lineitem_ship_inversions": """
         with points as (select l_orderkey, cast(l_linenumber as bigint) as seq, cast(datediff('day', date '1970-01-01', cast(l_shipdate as date)) as bigint) as value from lineitem)
         select b.l_orderkey, b.seq, b.value, max(a.value) as first_value, -max((a.value, -a.seq))[2] as first_seq, count(*) as occurrences

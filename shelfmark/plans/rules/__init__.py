@@ -1,6 +1,6 @@
 """The consistency rules. Importing this package fills the registry."""
 
 from . import credits, downloads, entries, magazines, notes, origins, relations, tags  # noqa: F401
-from .registry import REGISTRY, Rule, run_checks, run_rule, store_findings
+from .registry import REGISTRY, Rule, read_findings, run_checks, run_rule, sorted_findings, store_findings
 
-__all__ = ["REGISTRY", "Rule", "run_checks", "run_rule", "store_findings"]
+__all__ = ["REGISTRY", "Rule", "read_findings", "run_checks", "run_rule", "sorted_findings", "store_findings"]

@@ -8,13 +8,16 @@ run in a single pass. Built rules bring a plan of their own.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 Tables = Mapping[str, DataFrame]
 COLUMNS = ("rule", "entry_id", "title", "details", "warning", "occurrences")
+FINDINGS = "rule string, entry_id long, title string, details string, warning string, occurrences long"
 
 
 @dataclass(frozen=True)
@@ -138,15 +141,26 @@ def sorted_findings(findings: DataFrame) -> DataFrame:
 
 
 def store_findings(tables: Tables, path: str, rules: Iterable[str] | None = None, advisory: bool = False,
-                   batch: int = 12) -> None:
-    """Write a findings table partitioned by rule, a few rules per job to keep planning short."""
+                   parallel: int = 4) -> None:
+    """Write a findings table with one folder per rule.
+
+    Row rules are written base by base. Built rules are planned and run ``parallel`` at a time, so that the
+    planning of one overlaps with the run of others.
+    """
     chosen = choose(rules, advisory)
-    groups: list[list[str]] = [
-        [r.name for r in chosen if r.base == name] for name in BASES
-    ]
-    built = [r.name for r in chosen if r.build is not None]
-    groups += [built[i : i + batch] for i in range(0, len(built), batch)]
-    mode = "overwrite"
-    for names in filter(None, groups):
-        run_checks(tables, names).write.partitionBy("rule").mode(mode).parquet(path)
-        mode = "append"
+    spark = tables["entries"].sparkSession
+    spark.createDataFrame([], FINDINGS).write.partitionBy("rule").mode("overwrite").parquet(path)
+    for name in BASES:
+        group = [r.name for r in chosen if r.base == name]
+        if group:
+            run_checks(tables, group).write.partitionBy("rule").mode("append").parquet(path)
+
+    def store(name: str) -> None:
+        run_rule(tables, name).drop("rule").write.mode("overwrite").parquet(f"{path}/rule={name}")
+
+    with ThreadPoolExecutor(parallel) as pool:
+        list(pool.map(inheritable_thread_target(spark)(store), [r.name for r in chosen if r.build is not None]))
+
+
+def read_findings(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(FINDINGS).parquet(path).select(*COLUMNS)

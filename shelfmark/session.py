@@ -1,4 +1,4 @@
-"""Session settings and the shared folder for lineage cuts."""
+"""Session settings, and the shared folder where long lineages are cut."""
 
 from __future__ import annotations
 
@@ -55,7 +55,11 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder: survives the loss of any executor."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:
+    """Write a frame to the shared folder and read it back: no executor's loss can undo it.
+
+    Unlike a checkpoint of rows, the written table is columnar, so later steps read only what they use.
+    """
+    path = new_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -8,7 +8,7 @@ from shelfmark import jobs
 from shelfmark.fixtures import files
 from shelfmark.fixtures.derived import DerivedCatalogue
 from shelfmark.plans import search
-from shelfmark.plans.rules import REGISTRY
+from shelfmark.plans.rules import REGISTRY, read_findings, sorted_findings, store_findings
 from shelfmark.schema import TABLES
 from shelfmark.sources.tables import StoredTables, apply_schema, export_tables
 
@@ -23,8 +23,13 @@ def stored(spark, sf_dir, tmp_path_factory):
 
 def test_checks(spark, stored, tmp_path):
     jobs.main(["checks", "--tables", stored, "--out", str(tmp_path), "--advisory"])
-    rules = {r.rule for r in spark.read.parquet(f"{tmp_path}/findings").select("rule").distinct().collect()}
+    findings = read_findings(spark, f"{tmp_path}/findings")
+    rules = {r.rule for r in findings.select("rule").distinct().collect()}
     assert rules <= set(REGISTRY) and len(rules) > 75
+    ids = [r.entry_id for r in sorted_findings(findings.where("rule = 'author_seq_gap'")).collect()]
+    assert ids == sorted(ids)
+    store_findings(StoredTables(spark, stored), f"{tmp_path}/findings", ["itch_link_in_downloads"])
+    assert {r.rule for r in read_findings(spark, f"{tmp_path}/findings").collect()} <= {"itch_link_in_downloads"}
     assert spark.read.parquet(f"{tmp_path}/pending_reviews").count() > 0
 
 
