@@ -77,10 +77,10 @@ _ORIGIN_COLUMNS = """
 ORIGINS = f"select {_ORIGIN_COLUMNS} from {_ORIGINS} o"
 PUBLICATIONS = f"""
     select {_ORIGIN_COLUMNS},
-      coalesce(g.name, p.names, '?') || ' - ' || case o.kind when 'C' then 'covertape from magazine issue' when 'B' then 'type-in from book'
+      left(coalesce(g.name, p.names, '?') || ' - ' || case o.kind when 'C' then 'covertape from magazine issue' when 'B' then 'type-in from book'
         when 'M' then 'type-in from magazine issue' when 'A' then 'within compilation' when 'T' then 'within covertape'
         when 'E' then 'within electronic magazine' else 'within program' end || ' '
-        || coalesce('"' || e.title || '"', s.name, '?') as publication
+        || coalesce('"' || e.title || '"', s.name, '?'), 300) as publication
     from {_ORIGINS} o left join cat_issues i on i.id = o.issue_id left join cat_magazines g on g.id = i.magazine_id
     left join ({ISSUE_NAMES}) s on s.issue_id = i.id left join cat_entries e on e.id = o.container_id
     left join (select p.entry_id, string_agg(b.name, ', ' order by p.publisher_seq, b.name) as names

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .membership import spread
 from .sequences import running_before
@@ -115,13 +115,15 @@ def first_source(sources: Sequence[DataFrame], key: str, tie: list[str]) -> Data
     return first_by(union, [key], ["_rank", *tie]).drop("_rank")
 
 
-def joined_text(df: DataFrame, key: str, order: str, text: str, out: str, sep: str = ", ", width: int = 256) -> DataFrame:
-    """Texts of a group joined in order, built range by range so that no task collects a whole group."""
-    parts = df.where(F.col(text).isNotNull()).groupBy(key, F.floor(F.col(order) / width).alias("_range")).agg(
-        F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), F.col(text).alias("t")))).alias("_rows")
-    ).select(key, "_range", F.array_join(F.transform("_rows", lambda r: r["t"]), sep).alias("_part"))
-    return parts.groupBy(key, spread(key)).agg(
-        F.array_join(
-            F.transform(F.sort_array(F.collect_list(F.struct("_range", "_part"))), lambda r: r["_part"]), sep
-        ).alias(out)
-    ).drop("_spread")
+def joined_text(df: DataFrame, key: str, order: str, text: str, out: str, width: int, sep: str = ", ") -> DataFrame:
+    """Texts of a group joined in order, for a column of ``width`` characters.
+
+    Each text but the first brings at least its separator, so the first ``width`` texts fill the column for
+    certain; the rank filter cuts every group to these before the exchange.
+    """
+    rank = F.row_number().over(Window.partitionBy(key).orderBy(order, text))
+    used = df.where(F.col(text).isNotNull()).withColumn("_rank", rank).where(F.col("_rank") <= width)
+    rows = F.sort_array(F.collect_list(F.struct("_rank", F.col(text).alias("t"))))
+    return used.groupBy(key, spread(key)).agg(rows.alias("_rows")).select(
+        key, F.left(F.array_join(F.transform("_rows", lambda r: r["t"]), sep), F.lit(width)).alias(out)
+    )

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.text import issue_name, name_key, title_key, title_variants
-from ..operators.closure import label_closure
+from ..operators.closure import label_closure, labels_reaching
 from ..operators.groups import first_source, joined_text
 from ..operators.membership import among
 
@@ -25,6 +25,8 @@ ORIGIN_KINDS = {
 }
 # Genres of covertapes, electronic magazines and compilations.
 COVERTAPE, ELECTRONIC, COMPILATIONS = 81, 82, (80, 111, 112, 113, 114)
+# Fixed value: the declared width of the publication text.
+PUBLICATION = 300
 # Index columns are matched without regard to case and accents.
 LOOKUP_COLLATION = "UNICODE_CI_AI"
 
@@ -48,20 +50,27 @@ def names(t: Tables) -> DataFrame:
     ).distinct()
 
 
+def _author_seed(t: Tables) -> DataFrame:
+    return t["authors"].select("entry_id", F.explode(F.array("label_id", "team_id")).alias("label_id"))
+
+
 def authors(t: Tables) -> DataFrame:
     """``(label_id, entry_id)``: authors and teams, and the labels one step away from them."""
-    seed = t["authors"].select("entry_id", F.explode(F.array("label_id", "team_id")).alias("label_id"))
-    return label_closure(seed, t["labels"], known_parents=True)
+    return label_closure(_author_seed(t), t["labels"], known_parents=True)
 
 
-def publishers(t: Tables) -> DataFrame:
-    """``(label_id, entry_id)``: publishers of the entry, of its original container and of its contents."""
+def _publisher_seed(t: Tables) -> DataFrame:
     own = t["publishers"].select("label_id", "entry_id")
     first = t["publishers"].where("release_seq = 0").select("label_id", F.col("entry_id").alias("container_id")).distinct()
     original = t["contents"].where("is_original = 1 and entry_id is not null").select("container_id", "entry_id").distinct()
     inherited = first.join(original, "container_id").select("label_id", "entry_id")
     inside = t["contents"].where("label_id is not null").select("label_id", F.col("container_id").alias("entry_id"))
-    return label_closure(own.unionByName(inherited).unionByName(inside), t["labels"], known_parents=False)
+    return own.unionByName(inherited).unionByName(inside)
+
+
+def publishers(t: Tables) -> DataFrame:
+    """``(label_id, entry_id)``: publishers of the entry, of its original container and of its contents."""
+    return label_closure(_publisher_seed(t), t["labels"], known_parents=False)
 
 
 def issue_names(t: Tables) -> DataFrame:
@@ -125,7 +134,7 @@ def origins_with_publication(t: Tables) -> DataFrame:
     labels = t["labels"].select(F.col("id").alias("label_id"), F.col("name").alias("label"))
     first = t["publishers"].where("release_seq = 0").select("entry_id", "publisher_seq", "label_id")
     needed = among(first, "entry_id", found, "container_id").join(labels, "label_id")
-    publishers_ = joined_text(needed, "entry_id", "publisher_seq", "label", "publishers").withColumnRenamed(
+    publishers_ = joined_text(needed, "entry_id", "publisher_seq", "label", "publishers", PUBLICATION).withColumnRenamed(
         "entry_id", "container_id"
     )
     where = F.coalesce(F.concat(F.lit('"'), F.col("container"), F.lit('"')),
@@ -136,7 +145,9 @@ def origins_with_publication(t: Tables) -> DataFrame:
     )
     return (
         found.join(issues, "issue_id", "left").join(holders, "container_id", "left")
-        .join(publishers_, "container_id", "left").select(*found.columns, text.alias("publication"))
+        .join(publishers_, "container_id", "left").select(
+            *found.columns, F.left(text, F.lit(PUBLICATION)).alias("publication")
+        )
     )
 
 
@@ -153,16 +164,19 @@ def _holding(index: DataFrame, column: str, word: str) -> DataFrame:
 def find_entries(t: Tables, word: str, by: str = "title", indexes: Tables | None = None) -> DataFrame:
     """Entries by a part of a title, an author's or a publisher's name, sorted by title.
 
-    ``indexes`` are stored index tables; without them the indexes are built in the same plan.
+    ``indexes`` are stored index tables. Without them the labels found are traced back to the credits
+    themselves, which gives the same entries and builds no index.
     """
-    def index(name: str) -> DataFrame:
-        return indexes[name] if indexes is not None else INDEXES[name](t)
-
     if by == "title":
-        hits = _holding(index("titles"), "entry_title", word)
+        hits = _holding(titles(t) if indexes is None else indexes["titles"], "entry_title", word)
     else:
-        labels = _holding(index("names"), "label_name", word)
-        hits = among(index({"author": "authors", "publisher": "publishers"}[by]), "label_id", labels, "label_id")
+        labels = _holding(names(t) if indexes is None else indexes["names"], "label_name", word)
+        if indexes is not None:
+            hits = among(indexes[by + "s"], "label_id", labels, "label_id")
+        else:
+            seed = {"author": _author_seed, "publisher": _publisher_seed}[by](t)
+            known_parents = by == "author"
+            hits = among(seed, "label_id", labels_reaching(labels, t["labels"], known_parents), "label_id", unique=True)
     return among(t["entries"], "id", hits, "entry_id").orderBy("title", "id")
 
 

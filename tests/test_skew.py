@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfmark.operators.changes import update_from
-from shelfmark.operators.groups import canonical_ids, first_by, pair_counts, twins
+from shelfmark.operators.groups import canonical_ids, first_by, joined_text, pair_counts, twins
 from shelfmark.operators.membership import absent, among, without_suffix
 from shelfmark.operators.sequences import assign_ids, assign_sequence, inversions, running_before, sequence_gaps
 
@@ -145,6 +145,15 @@ def test_ids_are_consecutive_unique_and_stable(hot):
     assert out.exceptAll(again).count() == 0
 
 
+def test_joined_text_equals_the_whole_text_cut_to_the_column(hot):
+    names = hot.select("k", "id", F.left("payload", F.lit(3)).alias("t"))
+    got = {r.k: r.line for r in joined_text(names, "k", "id", "t", "line", 50).collect()}
+    whole = defaultdict(list)
+    for r in sorted(names.collect(), key=lambda r: r.id):
+        whole[r.k].append(r.t)
+    assert got == {k: ", ".join(v)[:50] for k, v in whole.items()}
+
+
 def test_common_suffix(hot):
     links = hot.select(F.concat("payload", F.when(F.col("k") == 0, ".tap").otherwise(".xyz")).alias("link"))
     known = hot.sparkSession.createDataFrame([(".tap",), (".tar.gz",)], "ext string")
