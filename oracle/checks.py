@@ -167,17 +167,19 @@ BODIES: dict[str, str] = {
         join cat_entries e on e.id = a.entry_id group by e.id, e.title, b.release_seq, b.release_year""",
     "library_title_article": _entries("starts_with(library_title, 'The ')", "library_title"),
     "contest_title_not_compiled": """
-        select e.id as entry_id, e.title, g.name as details, 1 as occurrences from cat_tags g
+        select e.id as entry_id, e.title, g.name as details, count(*) as occurrences from cat_tags g
         join cat_entries k on k.title = 'CSSCGC Crap Games Competition' || right(g.name, 5)
         join cat_members m on m.tag_id = g.id join cat_entries e on e.id = m.entry_id
         where starts_with(g.name, 'CSSCGC Crap Games Contest') and k.id <> e.id
-          and not exists (select 1 from cat_contents c where c.container_id = k.id and c.entry_id = e.id)""",
+          and not exists (select 1 from cat_contents c where c.container_id = k.id and c.entry_id = e.id)
+        group by e.id, e.title, g.id, g.name""",
     "compiled_title_not_in_contest": """
-        select e.id as entry_id, e.title, k.title as details, 1 as occurrences from cat_entries k
+        select e.id as entry_id, e.title, k.title as details, count(*) as occurrences from cat_entries k
         join cat_contents c on c.container_id = k.id join cat_entries e on e.id = c.entry_id
         left join cat_tags g on g.name = 'CSSCGC Crap Games Contest' || right(k.title, 5)
         where starts_with(k.title, 'CSSCGC Crap Games Competition')
-          and not exists (select 1 from cat_members m where m.tag_id = g.id and m.entry_id = e.id)""",
+          and not exists (select 1 from cat_members m where m.tag_id = g.id and m.entry_id = e.id)
+        group by e.id, e.title, k.title""",
     "archived_non_historical": "select e.id as entry_id, e.title, s.file_link as details, 1 as occurrences from cat_scraps s left join cat_entries e on e.id = s.entry_id where starts_with(s.file_link, '/zxdb/')",
     "archived_in_use": "select null as entry_id, null as title, d.file_link as details, count(*) as occurrences from cat_scraps s join cat_downloads d using (file_link) group by d.file_link",
     "magazine_entry_genre": _entries("exists (select 1 from cat_issues i where i.id = issue_id and i.magazine_id <> 323) and not starts_with(title, 'DigiTape') and coalesce(genretype_id, 0) not in (81, 82)", "genre"),

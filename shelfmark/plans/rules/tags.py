@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ...operators.groups import same_members
-from ...operators.membership import absent
+from ...operators.membership import absent, spread
 from ...operators.sequences import sequence_gaps
 from .registry import Tables, finding, rule, titled
 
@@ -83,31 +83,48 @@ def _(t: Tables) -> DataFrame:
 
 
 def _contests(t: Tables) -> DataFrame:
+    """``(tag_id, tag, compilation)``: contests and the title their compilations bear."""
     tags = t["tags"].where(F.col("name").startswith(CONTEST))
-    return tags.select(F.col("id").alias("tag_id"), F.col("name").alias("tag"), F.right("name", F.lit(5)).alias("year"))
+    title = F.concat(F.lit(COMPETITION), F.right("name", F.lit(5)))
+    return tags.select(F.col("id").alias("tag_id"), F.col("name").alias("tag"), title.alias("compilation"))
 
 
 def _competitions(t: Tables) -> DataFrame:
+    """``(container_id, compilation, tag)``: compilations and the name their contests bear."""
     entries = t["entries"].where(F.col("title").startswith(COMPETITION))
-    return entries.select(F.col("id").alias("container_id"), F.col("title").alias("compilation"))
+    name = F.concat(F.lit(CONTEST), F.right("title", F.lit(5)))
+    return entries.select(F.col("id").alias("container_id"), F.col("title").alias("compilation"), name.alias("tag"))
+
+
+def _counted(df: DataFrame, key: list[str], out: str) -> DataFrame:
+    return df.groupBy(*key, spread(*key)).agg(F.count(F.lit(1)).alias(out)).drop("_spread")
 
 
 @rule("contest_title_not_compiled", "** CSSCGC title missing from compilation")
 def _(t: Tables) -> DataFrame:
-    contests = _contests(t).withColumn("compilation", F.concat(F.lit(COMPETITION), F.col("year")))
-    pairs = contests.join(_competitions(t), "compilation")
-    members = t["members"].select("tag_id", "entry_id").join(pairs, "tag_id").where("entry_id <> container_id")
-    compiled = t["contents"].select("container_id", "entry_id").where("entry_id is not null").distinct()
-    rows = members.join(compiled, ["container_id", "entry_id"], "left_anti")
-    return finding(titled(rows, t, "entry_id"), "entry", "title", "tag")
+    # Per member and contest: compilations of that title, less those that hold or are the member.
+    competitions = _competitions(t).select("container_id", "compilation")
+    held = t["contents"].select("container_id", "entry_id").where("entry_id is not null").unionByName(
+        competitions.select("container_id", F.col("container_id").alias("entry_id"))
+    ).distinct().join(competitions, "container_id")
+    members = _counted(t["members"], ["tag_id", "entry_id"], "n").join(_contests(t), "tag_id")
+    rows = members.join(_counted(competitions, ["compilation"], "titled"), "compilation").join(
+        _counted(held, ["entry_id", "compilation"], "holding"), ["entry_id", "compilation"], "left"
+    ).withColumn("lacking", F.col("titled") - F.coalesce("holding", F.lit(0))).where("lacking > 0")
+    return finding(titled(rows, t, "entry_id"), "entry", "title", "tag", F.col("n") * F.col("lacking"))
 
 
 @rule("compiled_title_not_in_contest", "CSSCGC title missing from contest")
 def _(t: Tables) -> DataFrame:
-    compilations = _competitions(t).withColumn(
-        "tag", F.concat(F.lit(CONTEST), F.right("compilation", F.lit(5)))
-    ).join(_contests(t).select("tag_id", "tag"), "tag", "left")
-    items = t["contents"].select("container_id", "entry_id").join(compilations, "container_id")
-    known = t["members"].select("tag_id", "entry_id").distinct()
-    rows = items.join(known, ["tag_id", "entry_id"], "left_anti")
-    return finding(titled(rows, t, "entry_id"), "entry", "title", "compilation")
+    # Per entry and compilation title: contests of that name, less those it takes part in; at least the lack of any.
+    contests = _contests(t).select("tag_id", "tag")
+    items = t["contents"].select("container_id", "entry_id").where("entry_id is not null").join(
+        _competitions(t), "container_id"
+    )
+    taking_part = t["members"].select("tag_id", "entry_id").distinct().join(contests, "tag_id")
+    rows = _counted(items, ["entry_id", "compilation", "tag"], "n").join(
+        _counted(contests, ["tag"], "named"), "tag", "left"
+    ).join(_counted(taking_part, ["entry_id", "tag"], "joined"), ["entry_id", "tag"], "left")
+    lacking = F.when(F.col("named").isNull(), 1).otherwise(F.col("named") - F.coalesce("joined", F.lit(0)))
+    rows = rows.withColumn("lacking", lacking).where("lacking > 0")
+    return finding(titled(rows, t, "entry_id"), "entry", "title", "compilation", F.col("n") * F.col("lacking"))
