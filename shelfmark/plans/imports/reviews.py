@@ -286,6 +286,8 @@ class ReviewIntegration:
         keyed = self.reviews.select(*REFERENCE_KEY)
         first = insert_missing(refs, keyed, REFERENCE_KEY, present=self._typed(refs))
         refs = refs.unionByName(new_reference_rows(first, refs))
+        # Asked before the update, which leaves ids alone and need not run twice for it.
+        last_id = refs.agg(F.coalesce(F.max("id"), F.lit(0))).scalar()
         plain = self.reviews.where("variant = 0").select(
             *REFERENCE_KEY, "id", F.col("score_group").alias("new_group"), "parent_id", "award_id",
             F.lit(REVIEW).alias("referencetype_id"),
@@ -298,7 +300,7 @@ class ReviewIntegration:
         others = self.reviews.where("variant = 1").select(
             F.col("id").alias("review_key"), *REFERENCE_KEY, "score_group", F.col("parent_id").alias("review_id"), "award_id"
         )
-        numbered = assign_ids(others, ["review_key"], refs.agg(F.coalesce(F.max("id"), F.lit(0))).scalar())
+        numbered = assign_ids(others, ["review_key"], last_id)
         return self._keep(refs.unionByName(new_reference_rows(numbered, refs)))
 
     @cached_property
