@@ -313,7 +313,19 @@ def queries() -> dict[str, Query]:
     out |= {
         name: (lambda spark, sf_dir, pick=pick: pick(_reviews(spark, sf_dir))) for name, pick in _REVIEW_OUTPUTS.items()
     }
-    return {name: _prepared(q) for name, q in out.items()}
+    return {name: _prepared(q) for name, q in out.items()} | _training_data("queries")
+
+
+def _training_data(what: str) -> dict:
+    """Queries or SQL of the training-data operators, where their subpackage and pipeline are present."""
+    try:
+        from shelfmark.llm import queries as training
+        import corpus_pipeline  # noqa: F401
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("shelfmark.llm", "shelfmark.llm.queries", "corpus_pipeline"):
+            raise
+        return {}
+    return getattr(training, what)()
 
 
 def oracle_sql() -> dict[str, str]:
@@ -323,4 +335,5 @@ def oracle_sql() -> dict[str, str]:
     return (
         operators.SQL | searches.SQL | imports.SQL
         | {f"check_{name}": checks.check_sql(name) for name in REGISTRY} | {"pending_reviews": checks.PENDING}
+        | _training_data("oracle_sql")
     )
