@@ -7,11 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, language_id, mixing, secret_scan, simhash
+from ..session import cut_lineage, new_path
+from . import (
+    bpe, embedding_dedup, fingerprints, kneser_ney, language_id, mixing, secret_scan, simhash, token_counts, toxicity,
+)
 from .common import fold, prepare
 
 # The vocabulary is a parameter of the operator; this is the one the queries use.
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+# Ids of this one leave 50,256 free for the separator of token files.
+FILE_VOCABULARY = "byte_bpe_50k.tiktoken"
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +45,15 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = fold("doc_id", 5) == 1
+    grades = toxicity.graded(_read(spark, sf_dir, "labels")).where(~held_out)
+    model = toxicity.train(docs, grades)
+    scored = docs.select("doc_id", held_out.alias("held_out"), toxicity.severity(spark, "text", model).alias("p"))
+    return scored.select("doc_id", "held_out", "p.severity", "p.grade", "p.toxic")
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
     vocabulary = public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
@@ -51,6 +65,43 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    folder = new_path(spark, "tokens")
+    vocabulary = public_tokenizers.path(FILE_VOCABULARY), public_tokenizers.PATTERN
+    written = cut_lineage(token_counts.write_tokens(docs, folder, *vocabulary), "token-files")
+    counts = token_counts.token_counts(written.select("file", "tokens").distinct(), folder)
+    return counts.join(written.drop("tokens"), ["file", "ordinal"]).select(
+        F.col("ident").alias("doc_id"), "file", "ordinal", "start", "n_tokens"
+    )
+
+
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    pairs = fingerprints.edited_neighbours(docs)
+    return pairs.select(
+        "doc_id", F.length("text").cast("long").alias("n_chars"),
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        "fingerprint", "edited_fingerprint", "near_edited", "near_next",
+    )
+
+
+def op7_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = fold("doc_id", 7) == 2
+    model = kneser_ney.train(docs.where(~held_out))
+    scored = kneser_ney.scored(docs, model, carry=["doc_id"])
+    return scored.select(
+        "doc.doc_id", fold("doc.doc_id", 7).alias("fold"), "n_tokens", "n_known",
+        F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score",
+        kneser_ney.perplexity("score", "n_tokens").alias("perplexity"),
+    ).withColumn("held_out", F.col("fold") == 2).drop("fold")
+
+
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.embedding_groups(_read(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "source")
     plan = mixing.mix_sizes(docs)
@@ -73,7 +124,10 @@ def _prepared(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spar
     return run
 
 
-_QUERIES = (op1_language_id, op2_secret_scan, op4_byte_bpe, op9_mixing, op10_simhash)
+_QUERIES = (
+    op1_language_id, op2_secret_scan, op3_toxicity, op4_byte_bpe, op5_token_counts, op6_fingerprints, op7_kneser_ney,
+    op8_embedding_dedup, op9_mixing, op10_simhash,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
