@@ -160,7 +160,7 @@ def _light_keys(bits: int, tables: int):
 
 
 def embedding_groups(embeddings: DataFrame, ident: str = "vec_id", vector: str = "embedding",
-                     threshold: float = THRESHOLD, miss: float = MISS) -> DataFrame:
+                     threshold: float = THRESHOLD, miss: float = MISS, group: int = GROUP) -> DataFrame:
     """``(ident, n_links, component_id, kept)`` per row.
 
     Vectors that are null, empty, zero or hold a null or non-finite component link with nothing, and so do
@@ -176,7 +176,7 @@ def embedding_groups(embeddings: DataFrame, ident: str = "vec_id", vector: str =
         F.any_value("vector").alias("vector"), F.count(F.lit(1)).alias("copies"), F.min("id").alias("first")
     ).drop("_spread")
     distinct = cut_lineage(distinct, "distinct")
-    found = cut_lineage(near_vectors(distinct, threshold, miss), "near")
+    found = cut_lineage(near_vectors(distinct, threshold, miss, group), "near")
     counted = found.groupBy("node").agg(F.sum("links").alias("links"))
     linked = connected_components(found.select("node", "root")).select("node", "component")
     named = distinct.select("node", "copies", "first").join(counted, "node", "left").join(linked, "node", "left").select(

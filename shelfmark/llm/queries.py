@@ -48,8 +48,8 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = fold("doc_id", 5) == 1
-    grades = toxicity.graded(_read(spark, sf_dir, "labels")).where(~held_out)
-    model = toxicity.train(docs, grades)
+    labels = toxicity.labelled(_read(spark, sf_dir, "labels")).where(~held_out)
+    model = toxicity.train(docs, labels)
     scored = docs.select("doc_id", held_out.alias("held_out"), toxicity.severity(spark, "text", model).alias("p"))
     return scored.select("doc_id", "held_out", "p.severity", "p.grade", "p.toxic")
 

@@ -1,15 +1,16 @@
 """Severity of toxic texts by cumulative-link ordinal regression.
 
-Grades are ordered: 0 harmless, 1 toxic, 2 toxic and of low quality besides. The chance that a grade is
-above k is the logistic function of ``x.w - threshold[k]``: all thresholds share one weight for each
-word, and only the thresholds differ. A text's features are the words it holds and the first letters of
+Grades are ordered: 0 harmless, 1 toxic, 2 severely toxic. Labels tell toxic texts from others only; of
+the toxic ones, those that hold more telling words than the median of them are the severe ones. The
+chance that a grade is above k is the logistic function of ``x.w - threshold[k]``: all thresholds share
+one weight for each word, and only the thresholds differ. A text's features are the words it holds and the first letters of
 these words, each once: insults are inflected.
 """
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Iterator
+from collections import Counter, deque
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 # frequencies in toxic and harmless texts must differ.
 SAMPLE_DOCS = 10_000
 SAMPLE_CHARS = 20_000
-LEAST_TEXTS = 10
+LEAST_TEXTS = 5
 GRADES = 3
 LEAST_ERRORS = 4.0
 PENALTY = 1e-5
@@ -44,6 +45,36 @@ def _logistic(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * x))
 
 
+def descend(loss: Callable, point: np.ndarray, memory: int = 10) -> np.ndarray:
+    """A minimum of a smooth function by limited-memory quasi-Newton steps (L-BFGS)."""
+    value, gradient = loss(point)
+    past: deque[tuple[np.ndarray, np.ndarray, float]] = deque(maxlen=memory)
+    for _ in range(ROUNDS):
+        way, shares = -gradient, []
+        for step, turn, rho in reversed(past):
+            shares.append(rho * (step @ way))
+            way = way - shares[-1] * turn
+        if past:
+            step, turn, rho = past[-1]
+            way = way / (rho * (turn @ turn))
+        for (step, turn, rho), share in zip(past, reversed(shares)):
+            way = way + step * (share - rho * (turn @ way))
+        slope, length = gradient @ way, 1.0 if past else 1.0 / max(np.abs(gradient).max(), 1.0)
+        while True:
+            trial = point + length * way
+            new, turned = loss(trial)
+            if new <= value + 1e-4 * length * slope or length < 1e-9:
+                break
+            length /= 2
+        step, turn = trial - point, turned - gradient
+        if length < 1e-9 or value - new < 1e-9 * max(abs(value), 1e-6):
+            break
+        if step @ turn > 1e-12:
+            past.append((step, turn, 1 / (step @ turn)))
+        point, value, gradient = trial, new, turned
+    return point
+
+
 @dataclass
 class SeverityModel:
     words: dict[bytes, int]
@@ -51,22 +82,25 @@ class SeverityModel:
     thresholds: np.ndarray  # ascending
 
     @classmethod
-    def fit(cls, texts: list[str], grades: np.ndarray, least: int = LEAST_TEXTS, penalty: float = PENALTY) -> SeverityModel:
+    def fit(cls, texts: list[str], toxic: np.ndarray, least: int = LEAST_TEXTS, penalty: float = PENALTY) -> SeverityModel:
         bags = [features_of(t) for t in texts]
         often = Counter(w for bag in bags for w in bag)
-        toxic = Counter(w for bag, grade in zip(bags, grades) if grade for w in bag)
-        sides = max(int((grades > 0).sum()), 1), max(int((grades == 0).sum()), 1)
+        among = Counter(w for bag, bad in zip(bags, toxic) if bad for w in bag)
+        sides = max(int(toxic.sum()), 1), max(int((~toxic).sum()), 1)
 
         def telling(word: bytes, count: int) -> bool:
             share = count / sum(sides)
             error = np.sqrt(max(share * (1 - share), 1e-12) * (1 / sides[0] + 1 / sides[1]))
-            return abs(toxic[word] / sides[0] - (count - toxic[word]) / sides[1]) >= LEAST_ERRORS * error
+            return abs(among[word] / sides[0] - (count - among[word]) / sides[1]) >= LEAST_ERRORS * error
 
         words = {w: i for i, w in enumerate(sorted(w for w, n in often.items() if n >= least and telling(w, n)))}
         rows = [np.array([words[w] for w in bag if w in words], np.int64) for bag in bags]
         sizes = np.array([len(r) for r in rows], np.int64)
         columns = np.concatenate(rows) if rows else np.empty(0, np.int64)
         lines = np.repeat(np.arange(len(rows)), sizes)
+        grades = toxic.astype(np.int64)
+        if toxic.any():
+            grades[toxic & (sizes > np.median(sizes[toxic]))] = 2
         tops = np.arange(GRADES - 1)
         above = (grades[:, None] > tops).astype(float)
         share = np.clip(above.mean(axis=0), 1e-4, 1 - 1e-4) if len(rows) else np.full(GRADES - 1, 0.5)
@@ -74,22 +108,22 @@ class SeverityModel:
         first = -np.log(share[0] / (1 - share[0]))
         steps = np.log(np.maximum(np.diff(-np.log(share / (1 - share))), 1e-2))
         point = np.concatenate((np.zeros(len(words)), [first], steps))
-        mean, spread = np.zeros_like(point), np.zeros_like(point)
-        for turn in range(1, ROUNDS + 1 if len(rows) else 1):
+
+        def loss(point: np.ndarray) -> tuple[float, np.ndarray]:
             weights, thresholds = cls._parts(point, len(words))
             x = np.bincount(lines, weights[columns], len(rows))
-            slope = cls._slopes(x, thresholds, grades)
+            chance, slope = cls._slopes(x, thresholds, grades)
             by_row = slope.sum(axis=1) / len(rows)
-            by_threshold = -slope.sum(axis=0) / len(rows)
-            later = by_threshold[::-1].cumsum()[::-1]
+            later = -(slope.sum(axis=0) / len(rows))[::-1].cumsum()[::-1]
+            # A grade that the sample lacks must not send its threshold away for ever.
+            free = np.concatenate((weights, [0.0], point[len(words) + 1:]))
             gradient = np.concatenate((
-                np.bincount(columns, by_row[lines], len(words)) + penalty * weights, later[:1],
-                # A grade that the sample lacks must not send its threshold away for ever.
-                later[1:] * np.exp(point[len(words) + 1:]) + penalty * point[len(words) + 1:],
+                np.bincount(columns, by_row[lines], len(words)), later[:1], later[1:] * np.exp(point[len(words) + 1:])
             ))
-            mean, spread = 0.9 * mean + 0.1 * gradient, 0.999 * spread + 0.001 * gradient ** 2
-            rate = 0.1 if turn < ROUNDS * 3 // 4 else 0.02
-            point = point - rate * (mean / (1 - 0.9 ** turn)) / (np.sqrt(spread / (1 - 0.999 ** turn)) + 1e-9)
+            return -np.log(chance).mean() + penalty / 2 * free @ free, gradient + penalty * free
+
+        if rows:
+            point = descend(loss, point)
         weights, thresholds = cls._parts(point, len(words))
         return cls(words, weights, thresholds)
 
@@ -98,8 +132,8 @@ class SeverityModel:
         return point[:size], point[size] + np.concatenate(([0.0], np.exp(point[size + 1:]).cumsum()))
 
     @staticmethod
-    def _slopes(x: np.ndarray, thresholds: np.ndarray, grades: np.ndarray) -> np.ndarray:
-        """Slope of the loss by ``x - threshold``, texts x thresholds.
+    def _slopes(x: np.ndarray, thresholds: np.ndarray, grades: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Chance of each text's grade, and the slope of the loss by ``x - threshold``, texts x thresholds.
 
         The chance of a grade is the difference of two neighbouring curves; each curve pulls by its slope
         over that difference.
@@ -113,7 +147,7 @@ class SeverityModel:
         up, down = grades > 0, grades < len(thresholds)
         out[rows[up], grades[up] - 1] -= steep[rows[up], grades[up] - 1] / chance[up]
         out[rows[down], grades[down]] += steep[rows[down], grades[down]] / chance[down]
-        return out
+        return chance, out
 
     def chances(self, texts: list[str | None]) -> np.ndarray:
         """Chance that a text's grade is above 0, above 1, ..., texts x thresholds."""
@@ -122,22 +156,21 @@ class SeverityModel:
         return _logistic(x[:, None] - self.thresholds)
 
 
-def graded(labels: DataFrame, ident: str = "doc_id") -> DataFrame:
-    """``(ident, grade)`` of labelled documents; those without a toxic label have no grade."""
-    low = F.coalesce(F.col("quality") == 0, F.lit(False)).cast("int")
-    return labels.where("toxic is not null").select(ident, F.when(F.col("toxic") > 0, 1 + low).otherwise(0).alias("grade"))
+def labelled(labels: DataFrame, ident: str = "doc_id") -> DataFrame:
+    """``(ident, toxic)`` of the documents with a toxic label."""
+    return labels.where("toxic is not null").select(ident, (F.col("toxic") > 0).alias("toxic"))
 
 
-def train(docs: DataFrame, grades: DataFrame, ident: str = "doc_id", text: str = "text", sample: int = SAMPLE_DOCS) -> SeverityModel:
-    """Fit on the ``sample`` graded documents whose ids have the smallest hashes.
+def train(docs: DataFrame, labels: DataFrame, ident: str = "doc_id", text: str = "text", sample: int = SAMPLE_DOCS) -> SeverityModel:
+    """Fit on the ``sample`` labelled documents whose ids have the smallest hashes.
 
     Only these come to the driver, and only their ids are sent to the tasks that read documents. Texts
     above ``SAMPLE_CHARS`` characters are not learned from. Documents with several labels count as often.
     """
-    chosen = grades.where(F.col(ident).isNotNull()).orderBy(F.xxhash64(ident), "grade").limit(sample)
+    chosen = labels.where(F.col(ident).isNotNull()).orderBy(F.xxhash64(ident), "toxic").limit(sample)
     rows = docs.select(ident, text).where(F.length(text) <= SAMPLE_CHARS).join(F.broadcast(chosen), ident)
-    sampled = rows.select(F.col(text).alias("text"), "grade").toPandas().sort_values(["text", "grade"])
-    return SeverityModel.fit(sampled["text"].tolist(), sampled["grade"].to_numpy(np.int64))
+    sampled = rows.select(F.col(text).alias("text"), "toxic").toPandas().sort_values(["text", "toxic"])
+    return SeverityModel.fit(sampled["text"].tolist(), sampled["toxic"].to_numpy(bool))
 
 
 def severity(spark: SparkSession, text: Column | str, model: SeverityModel) -> Column:
