@@ -142,8 +142,9 @@ def in_descending_order(docs: DataFrame, ident: str, text: str, ranges: int | No
     marks = heads.join(table, F.col("range") == F.col("head_range")).select(
         F.col("id").alias("head_id"), F.col("hash").alias("head_hash"), "closes"
     )
+    # One row of three numbers for each range: the join must not deal out all texts for their sake.
     closing = dealt.join(
-        marks, F.col("id").eqNullSafe(F.col("head_id")) & (F.xxhash64("text") == F.col("head_hash"))
+        F.broadcast(marks), F.col("id").eqNullSafe(F.col("head_id")) & (F.xxhash64("text") == F.col("head_hash"))
     ).dropDuplicates(["closes"]).select("id", "text", F.col("closes").alias("range"), F.lit(True).alias("last"))
     both = dealt.select("id", "text", "range", "last").unionByName(closing)
     ordered = both.repartition(F.col("range")).sortWithinPartitions(
