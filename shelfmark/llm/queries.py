@@ -71,7 +71,8 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path(FILE_VOCABULARY), public_tokenizers.PATTERN
     written = cut_lineage(token_counts.write_tokens(docs, folder, *vocabulary), "token-files")
     counts = token_counts.token_counts(written.select("file", "tokens").distinct(), folder)
-    return counts.join(written.drop("tokens"), ["file", "ordinal"]).select(
+    # Sorted on both sides: the stored rows are small only while they are packed.
+    return counts.join(written.drop("tokens").hint("merge"), ["file", "ordinal"]).select(
         F.col("ident").alias("doc_id"), "file", "ordinal", "start", "n_tokens"
     )
 
