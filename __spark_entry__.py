@@ -294,6 +294,8 @@ def queries() -> dict[str, Query]:
     }
     out["manifest_listing"] = _with_manifest(lambda listing, t: listing)
     out["manifest_unknown_files"] = _with_manifest(listings.unknown_files)
+    out["manifest_malformed_sizes"] = lambda spark, sf_dir: listings.malformed_sizes(spark, files.write_manifest(spark, sf_dir))
+    out["mirror_malformed_sizes"] = lambda spark, sf_dir: listings.malformed_sizes(spark, files.write_mirror(spark, sf_dir), True)
     out["mirror_listing"] = _with_mirror(lambda listing, t: listing)
     out["mirror_unknown_files"] = _with_mirror(listings.unknown_mirror_files)
     for name in listings.FILE_TABLES:

@@ -12,9 +12,9 @@ _MAPS = f"""
      union all
      select distinct e.id, 'http://maps.speccy.cz/map.php?id=' || left(m.file_image, cast(strlen(m.file_image) - 4 as int)), 6, 'en'
      from maps m join cat_entries e on e.id = try_cast(m.entry as int))"""
-_LISTED = f"(select file_size, file_link, file_md5 from ({LISTING}) qualify row_number() over (partition by file_link order by n) = 1)"
+_LISTED = f"(select try_cast(file_size as bigint) as file_size, file_link, file_md5 from ({LISTING}) qualify row_number() over (partition by file_link order by n) = 1)"
 _MIRRORED = f"""
-    (select file_size, '2017-06-01' as file_date, '12:00' as file_time, replace(file_link, 'World of Spectrum June 2017 Mirror/', '/pub/') as file_link
+    (select try_cast(file_size as bigint) as file_size, '2017-06-01' as file_date, '12:00' as file_time, replace(file_link, 'World of Spectrum June 2017 Mirror/', '/pub/') as file_link
      from ({MIRROR}) qualify row_number() over (partition by file_link order by n) = 1)"""
 _KNOWN = "(select file_link from cat_downloads union select file_link from cat_files union select file_link from cat_scraps where file_link is not null)"
 
@@ -25,7 +25,7 @@ def _missing(table: str, root: str, listing: str, extra: str = "") -> str:
 
 def _enriched(table: str, digest: bool) -> str:
     hit = "l.file_link is not null and starts_with(x.file_link, '/zxdb/')"
-    change = f"case when {hit} then l.file_size else x.file_size end as file_size"
+    change = f"cast(case when {hit} and l.file_size is not null then l.file_size else x.file_size end as bigint) as file_size"
     if digest:
         change += f", case when {hit} then l.file_md5 else x.file_md5 end as file_md5"
     return f"select x.* replace ({change}) from cat_{table} x left join {_LISTED} l on l.file_link = x.file_link"
@@ -118,6 +118,8 @@ SQL = {
     "manifest_unknown_files": over_catalogue(f"select * from {_LISTED} l where file_link not in {_KNOWN}"),
     **{f"manifest_missing_{t}": over_catalogue(_missing(t, "/zxdb/", _LISTED)) for t in ("downloads", "files", "scraps")},
     **{f"manifest_enriched_{t}": over_catalogue(_enriched(t, t != "scraps")) for t in ("downloads", "files", "scraps")},
+    "manifest_malformed_sizes": over_catalogue(f"select file_size, file_link from ({LISTING}) where try_cast(file_size as bigint) is null"),
+    "mirror_malformed_sizes": over_catalogue(f"select file_size, file_link from ({MIRROR}) where try_cast(file_size as bigint) is null"),
     "mirror_listing": over_catalogue(f"select * from {_MIRRORED}"),
     **{f"mirror_missing_{t}": over_catalogue(_missing(t, "/pub/", _MIRRORED)) for t in ("downloads", "files")},
     "mirror_missing_scraps": over_catalogue(_missing("scraps", "/pub/", _MIRRORED,
@@ -147,7 +149,7 @@ SQL = {
     "review_scores": _reviews("""select magref_id, score_seq, category, score, comments, cast(score_seq = max(score_seq) over (partition by magref_id)
         and (score_seq = 1 or category in ('Ace Rating', 'ACE Rating', 'Verdict')
              or (starts_with(category, 'Overall') and not starts_with(category, 'Overall (') and coalesce(not ends_with(score, 'K)'), false)))  as int) as is_overall from scores"""),
-    "review_captions": _reviews("""select magref_id, cast(case when place <= 30 then place else 0 end as int) as caption_seq,
+    "review_captions": _reviews("""select magref_id, cast(place as int) as caption_seq,
         regexp_replace(regexp_replace(replace(caption, chr(13), ''), '^\\n', ''), '\\n$', '') as text, is_banner
         from (select l.magref_id, c.caption, c.is_banner, row_number() over (partition by l.magref_id order by c.id) as place from cat_captions_src c join located l on l.id = c.review_id)"""),
 }

@@ -56,7 +56,7 @@ SQL = {
         select first_id, id, name, place - 1 as occurrences from ranked where place > 1""",
     "documents_canonical": "select doc_id, min(doc_id) over (partition by text) as first_id from documents",
     "events_numbered": """
-        select event_id, user_id, cast(case when place <= 30 then place else 0 end as int) as seq
+        select event_id, user_id, cast(place as int) as seq
         from (select event_id, user_id, row_number() over (partition by user_id order by event_id) as place from events)""",
     "conversations_last_turn": "select conv_id, turn, role from conversations qualify turn = max(turn) over (partition by conv_id)",
     "documents_without_label": "select doc_id, lang from documents where doc_id not in (select doc_id from labels)",

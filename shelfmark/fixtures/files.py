@@ -27,9 +27,11 @@ _LISTED = """
       where file_link is not null
     union all select 3000000000+id, '/zxdb/nové/'||cast(id as string)||'.tap', cast(id%100 as int),
       'ffffffffffffffffffffffffffffffff' from cat_files"""
-# A share of the links is lost, so that their rows are missing in the listing.
+# A share of the links is lost, so that their rows are missing in the listing. Some files are larger than an
+# integer holds, and some sizes are no numbers.
 LISTING = f"""
-    select n, case when right(md5(file_link),1) in ('0','1') then file_link||'.lost' else file_link end as file_link, file_size, file_md5
+    select n, case when right(md5(file_link),1) in ('0','1') then file_link||'.lost' else file_link end as file_link,
+      case when n%89=0 then cast(3000000000+n as string) when n%83=0 then 'n/a' else cast(file_size as string) end as file_size, file_md5
     from ({_LISTED}) l"""
 MIRROR = f"""
     select n, case when file_link like '/pub/%' then '{MIRROR_ROOT}'||substr(file_link, 6)
@@ -51,7 +53,8 @@ def _write(lines: DataFrame, order: list[str], label: str) -> str:
 
 
 def write_map_list(spark: SparkSession, sf_dir: str) -> str:
-    fixed = {"title": r"map\;of č", "file_res": "256x192", "file_zip": "map.zip", "author": "čeněk"}
+    # 43 backslashes and a separator: 21 of them are text, the last one takes the separator along.
+    fixed = {"title": "\\" * 43 + ";of č", "file_res": "256x192", "file_zip": "map.zip", "author": "čeněk"}
     rows = _select(spark, sf_dir, MAP_LIST)
     order = ("title", "file_image", "file_res", "", "", "", "", "", "", "file_zip", "", "author", "entry", "", "")
     fields = [F.col(c) if c in rows.columns else F.lit(fixed.get(c, "")) for c in order]

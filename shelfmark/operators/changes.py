@@ -13,21 +13,24 @@ from .sequences import assign_ids
 
 
 def update_from(target: DataFrame, source: DataFrame, on: Sequence[str], values: Mapping[str, str],
-                where: Column | None = None) -> DataFrame:
+                where: Column | None = None, unique: bool = False, kept: Sequence[str] = ()) -> DataFrame:
     """Take ``values`` (target column: source column) from the source row with the same key.
 
-    ``source`` holds one row per key. A row that matches takes the source value even where it is NULL.
+    Of several source rows with one key the smallest is taken, unless the caller knows keys to be ``unique``.
+    A row that matches takes the source value even where it is NULL; columns ``kept`` stay then.
     """
-    taken = source.select(
-        *on, *[F.col(s).alias(f"_new_{t}") for t, s in values.items()], F.lit(True).alias("_matched")
-    )
+    taken = source.select(*on, *[F.col(s).alias(f"_new_{t}") for t, s in values.items()])
+    if not unique:
+        taken = first_by(taken, list(on), [c for c in taken.columns if c not in on])
+    taken = taken.withColumn("_matched", F.lit(True))
     joined = target.join(taken, list(on), "left")
     hit = F.coalesce("_matched", F.lit(False))
     if where is not None:
         hit = hit & F.coalesce(where, F.lit(False))
     return joined.select(
         *[
-            F.when(hit, F.col(f"_new_{c}")).otherwise(target[c]).alias(c) if c in values else F.col(c)
+            F.when(hit & F.col(f"_new_{c}").isNotNull() if c in kept else hit, F.col(f"_new_{c}")).otherwise(target[c]).alias(c)
+            if c in values else F.col(c)
             for c in target.columns
         ]
     )

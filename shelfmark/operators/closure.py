@@ -11,7 +11,10 @@ PEOPLE = ("+", "-")
 
 
 def label_edges(labels: DataFrame, known_parents: bool) -> DataFrame:
-    """``(label_id, related_id)``: to both parents, and down to children that are people or untyped."""
+    """``(label_id, related_id)``: to both parents, and down to children that are people or untyped.
+
+    With ``known_parents`` both ends must be listed labels; otherwise only the label that names the other is.
+    """
     ups = labels.select(
         F.col("id").alias("label_id"), F.explode(F.array("from_id", "owner_id")).alias("related_id")
     ).where("related_id is not null")
@@ -21,8 +24,9 @@ def label_edges(labels: DataFrame, known_parents: bool) -> DataFrame:
     downs = children.select(
         F.explode(F.array("from_id", "owner_id")).alias("label_id"), F.col("id").alias("related_id")
     ).where("label_id is not null")
-    known = among(downs, "label_id", labels, "id", unique=True)
-    return ups.unionByName(known).distinct()
+    if known_parents:
+        downs = among(downs, "label_id", labels, "id", unique=True)
+    return ups.unionByName(downs).distinct()
 
 
 def label_closure(seed: DataFrame, labels: DataFrame, known_parents: bool = True) -> DataFrame:

@@ -94,17 +94,14 @@ def without_suffix(df: DataFrame, column: str, suffixes: DataFrame, suffix: str)
 def lonely_prefixes(df: DataFrame, ident: str, name: str, stem: str) -> DataFrame:
     """Rows with a stem that starts no other row's name.
 
-    Names are cut to the stem lengths that occur and counted per stem, so a popular stem is one
-    partially aggregated counter instead of a list of partner rows.
+    Names are cut to the stem lengths that occur; only cuts that are stems are counted, and a popular stem
+    is one partially aggregated counter instead of a list of partner rows.
     """
     stems = df.where(F.col(stem).isNotNull())
     lengths = stems.agg(F.collect_set(F.char_length(stem))).scalar()
     starts = df.select(name, F.explode(lengths).alias("_n")).where(F.char_length(name) >= F.col("_n"))
-    counts = (
-        starts.select(F.expr(f"left({name}, _n)").alias("_key"))
-        .groupBy("_key", spread("_key")).agg(F.count(F.lit(1)).alias("_hits")).drop("_spread")
-        .join(key_set(stems, stem, "_key"), "_key", "left_semi")
-    )
+    cuts = starts.select(F.expr(f"left({name}, _n)").alias("_key")).join(key_set(stems, stem, "_key"), "_key", "left_semi")
+    counts = cuts.groupBy("_key", spread("_key")).agg(F.count(F.lit(1)).alias("_hits")).drop("_spread")
     own = F.col(name).startswith(F.col(stem)).cast("int")
     return (
         stems.join(counts, stems[stem] == counts["_key"], "left")

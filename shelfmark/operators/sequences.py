@@ -24,30 +24,58 @@ def sequence_gaps(df: DataFrame, parent: list[str], seq: str, start: int) -> Dat
     return numbers.where((F.col("occurrences") > 0) & (F.col(seq) > start) & gap).drop("_before")
 
 
+# Bits of an order value that one window covers.
+WINDOW_BITS = 16
+
+
 def running_before(
-    df: DataFrame, key: list[str], order: str, value: str, out: str, how: str = "sum", width: int = 4096
+    df: DataFrame, key: list[str], order: str, value: str, out: str, how: str = "sum", width: int = 1 << WINDOW_BITS
 ) -> DataFrame:
-    """Sum or maximum of ``value`` over the rows of the group with a strictly smaller ``order``.
+    """Sum or maximum of ``value`` over the rows of the group with a strictly smaller ``order``."""
+    return _running(df, key, order, {out: (value, how)}, width)
+
+
+def _running(df: DataFrame, key: list[str], order: str, values: dict[str, tuple[str, str]], width: int) -> DataFrame:
+    """``out: (value, how)`` over the rows of the group with a strictly smaller ``order``, an integer.
 
-    ``order`` is an integer. Groups are cut into ranges of ``width``: each range is one small window,
-    and totals of whole ranges are carried over, so no task ever holds a whole group.
+    Groups are cut into ranges of ``width`` order values. Each range is one small window; totals of whole
+    ranges are carried over in the same way, ranges of ranges, until one window covers what is left
+    of the order's type. So no window holds more than ``width`` different places, however the values lie.
     """
-    combine = {"sum": F.sum, "max": F.max}[how]
-    cut = F.floor(F.col(order) / width)
-    ranges = df.groupBy(*key, cut.alias("_range")).agg(combine(value).alias("_total"))
-    earlier = Window.partitionBy(*key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    # Groups that fit one range carry nothing, so for ordinary groups this side of the join is empty.
-    carried = ranges.select(*key, "_range", combine("_total").over(earlier).alias("_carried")).where(
-        "_carried is not null"
-    )
-    inside = Window.partitionBy(*key, "_range").orderBy(order).rangeBetween(Window.unboundedPreceding, -1)
-    joined = df.withColumn("_range", cut).join(carried, [*key, "_range"], "left")
-    local = combine(value).over(inside)
-    if how == "sum":
-        both = F.coalesce(local, F.lit(0)) + F.coalesce("_carried", F.lit(0))
-    else:
-        both = F.greatest(local, "_carried")
-    return joined.withColumn(out, both).drop("_range", "_carried")
+    how_to = {"sum": F.sum, "max": F.max}
+    bits = {"tinyint": 8, "smallint": 16, "int": 32}.get(df.schema[order].dataType.simpleString(), 64)
+
+    def level(rows: DataFrame, order: str, values: dict[str, tuple[str, str]], left: int) -> DataFrame:
+        inside = {out: how_to[how](value) for out, (value, how) in values.items()}
+        if left <= 0:
+            window = Window.partitionBy(*key).orderBy(order).rangeBetween(Window.unboundedPreceding, -1)
+            return rows.withColumns({
+                out: F.coalesce(c.over(window), F.lit(0)) if values[out][1] == "sum" else c.over(window)
+                for out, c in inside.items()
+            })
+        cut = F.floor(F.col(order) / width).cast("long")
+        ranges = rows.groupBy(*key, cut.alias("_range")).agg(*[c.alias(f"{out}_total") for out, c in inside.items()])
+        carried = level(
+            ranges, "_range", {f"{out}_carried": (f"{out}_total", how) for out, (_, how) in values.items()},
+            left - (width.bit_length() - 1),
+        )
+        given = carried.select(
+            *[F.col(k).alias(f"_of_{k}") for k in key], F.col("_range").alias("_of_range"), *[f"{out}_carried" for out in values]
+        )
+        window = Window.partitionBy(*key, "_range").orderBy(order).rangeBetween(Window.unboundedPreceding, -1)
+        local = rows.withColumn("_range", cut).withColumns({f"{out}_here": c.over(window) for out, c in inside.items()})
+        same = F.col("_range") == F.col("_of_range")
+        for k in key:
+            same &= F.col(k).eqNullSafe(F.col(f"_of_{k}"))
+        joined = local.join(given, same, "left")
+        both = {
+            out: F.coalesce(f"{out}_here", F.lit(0)) + F.coalesce(f"{out}_carried", F.lit(0)) if how == "sum"
+            else F.greatest(f"{out}_here", f"{out}_carried")
+            for out, (_, how) in values.items()
+        }
+        return joined.select(*[F.col(c) for c in rows.columns], *[c.alias(out) for out, c in both.items()])
+
+    return level(df, order, values, bits - (width.bit_length() - 1))
 
 
 def inversions(df: DataFrame, key: str, seq: str, value: str) -> DataFrame:
@@ -55,30 +83,36 @@ def inversions(df: DataFrame, key: str, seq: str, value: str) -> DataFrame:
 
     One output row per offending ``(seq, value)``: it names the earlier row with the largest value and
     counts in ``occurrences`` all (earlier, later) pairs the offender is the later part of.
+
+    Of two different values the larger one has a 1 and the smaller one a 0 at the first bit in which they
+    differ. Every point becomes one row per bit, grouped by the bits above: a 0 then asks for the 1s of its
+    group that come earlier. That is rows times bits, whatever the number of inversions.
     """
     points = (
         df.where(F.col(value).isNotNull() & F.col(seq).isNotNull() & F.col(key).isNotNull())
-        .groupBy(key, F.col(seq).cast("long").alias("seq"), F.col(value).cast("long").alias("value"))
+        .groupBy(key, F.col(seq).alias("seq"), F.col(value).cast("long").alias("value"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    ranked = points.withColumn("_top", F.struct(F.col("value").alias("v"), (-F.col("seq")).alias("s")))
-    offenders = running_before(ranked, [key], "seq", "_top", "_peak", "max").where(
-        F.col("_peak.v") > F.col("value")
-    ).select(key, "seq", "value", "n", F.col("_peak.v").alias("first_value"), (-F.col("_peak.s")).alias("first_seq"))
-    levels = points.select(key, F.col("value").alias("level")).distinct()
-    # One question per offender and larger value that occurs: how many earlier rows have it?
-    asked = offenders.join(levels, key).where("level > value").select(
-        key, "level", "seq", F.lit(0).cast("long").alias("w"),
-        F.struct("value", "n", "first_value", "first_seq").alias("of"),
+    # Bits above the highest in which any two values differ are alike everywhere.
+    range_ = df.agg(F.struct(F.min(value).cast("long").alias("low"), F.max(value).cast("long").alias("high"))).scalar()
+    offset = F.col("value") - range_["low"]
+    bits = F.sequence(F.lit(0), F.greatest(F.length(F.bin(range_["high"] - range_["low"])) - 1, F.lit(0)))
+    split = points.withColumn("_offset", offset).withColumn("_bit", F.explode(bits)).select(
+        key, "seq", "value", "n", "_bit",
+        F.expr("shiftright(_offset, _bit + 1)").alias("_above"),
+        (F.expr("shiftright(_offset, _bit)") % 2 == 1).alias("_one"),
     )
-    # Only groups with an offender are looked at again.
-    given = points.join(offenders.select(key).distinct(), key, "left_semi").select(
-        key, F.col("value").alias("level"), "seq", F.col("n").alias("w"), F.lit(None).cast(asked.schema["of"].dataType).alias("of")
+    weighed = split.withColumn("_w", F.when(F.col("_one"), F.col("n")).otherwise(0)).withColumn(
+        "_top", F.when(F.col("_one"), F.struct(F.col("value").alias("v"), (-F.col("seq").cast("long")).alias("s")))
     )
-    answers = running_before(given.unionByName(asked), [key, "level"], "seq", "w", "_before").where("of is not null")
-    return answers.groupBy(key, "seq", "of").agg(F.sum("_before").alias("_pairs")).select(
-        key, "seq", "of.value", "of.first_value", "of.first_seq",
-        (F.col("of.n") * F.col("_pairs")).alias("occurrences"),
+    counted = _running(
+        weighed, [key, "_bit", "_above"], "seq", {"_before": ("_w", "sum"), "_peak": ("_top", "max")}, 1 << WINDOW_BITS
+    ).where(~F.col("_one") & (F.col("_before") > 0))
+    return counted.groupBy(key, "seq", "value").agg(
+        F.max("_peak").alias("_peak"), (F.first("n") * F.sum("_before")).alias("occurrences")
+    ).select(
+        key, F.col("seq").cast("long").alias("seq"), "value", F.col("_peak.v").alias("first_value"),
+        (-F.col("_peak.s")).alias("first_seq"), "occurrences",
     )
 
 
@@ -88,17 +122,11 @@ def last_of_group(df: DataFrame, key: str, seq: str) -> DataFrame:
     return df.join(last, df[key].eqNullSafe(last["_k"]) & (df[seq] == last["_last"]), "left_semi")
 
 
-def assign_sequence(df: DataFrame, group: str, ident: str, out: str, cap: int = 30) -> DataFrame:
-    """Number the rows of each group 1..cap by ``ident``; later rows get 0.
-
-    The rank filter lets Spark cut every group to ``cap`` rows before the exchange; the numbers
-    then join back on the unique ``ident``, so a hot group never meets in one task.
-    """
-    rank = F.row_number().over(Window.partitionBy(group).orderBy(ident))
-    numbered = df.select(group, ident).withColumn("_seq", rank).where(F.col("_seq") <= cap).select(ident, "_seq")
-    return df.drop(out).join(numbered, ident, "left").withColumn(
-        out, F.coalesce("_seq", F.lit(0))
-    ).drop("_seq")
+def assign_sequence(df: DataFrame, group: str, ident: str, out: str) -> DataFrame:
+    """Number the rows of each group from 1 by the unique ``ident``; rows of a null group are one group."""
+    return running_before(df.drop(out).withColumn("_one", F.lit(1).cast("long")), [group], ident, "_one", out).withColumn(
+        out, (F.col(out) + 1).cast("int")
+    ).drop("_one")
 
 
 def hashed_bucket(key: list[str]) -> Column:

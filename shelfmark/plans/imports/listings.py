@@ -30,7 +30,7 @@ TOLERATED = (
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """``(file_size, file_link, file_md5)``; the digest field carries a tail that is cut off."""
     rows = read_delimited(spark, path, ("file_size", "file_link", "file_md5"), "\t", ENCODING)
-    typed = rows.withColumn("file_size", F.col("file_size").try_cast("int")).withColumn(
+    typed = rows.withColumn("file_size", F.col("file_size").try_cast("bigint")).withColumn(
         "file_md5", F.left("file_md5", F.lit(32))
     )
     return first_loaded(typed, "file_link")
@@ -39,12 +39,21 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
 def read_mirror(spark: SparkSession, path: str) -> DataFrame:
     """``(file_size, file_date, file_time, file_link)`` of a fixed-width listing, links under the old archive."""
     rows = drop_edges(read_fixed_width(spark, path, MIRROR_CUTS, ENCODING), MIRROR_HEADER, MIRROR_FOOTER)
-    linked = rows.withColumn("file_size", F.col("file_size").try_cast("int")).withColumn(
+    linked = rows.withColumn("file_size", F.col("file_size").try_cast("bigint")).withColumn(
         "file_link", F.replace("file_link", F.lit(MIRROR_ROOT), F.lit(OLD_ARCHIVE))
     )
     return first_loaded(linked, "file_link")
 
 
+def malformed_sizes(spark: SparkSession, path: str, mirror: bool = False) -> DataFrame:
+    """Report: ``(file_size, file_link)`` as texts of the listed files whose size is no number."""
+    if mirror:
+        rows = drop_edges(read_fixed_width(spark, path, MIRROR_CUTS, ENCODING), MIRROR_HEADER, MIRROR_FOOTER)
+    else:
+        rows = read_delimited(spark, path, ("file_size", "file_link"), "\t", ENCODING)
+    return rows.where(F.col("file_size").try_cast("bigint").isNull() & F.col("file_link").isNotNull()).select("file_size", "file_link")
+
+
 def unknown_files(listing: DataFrame, t: Tables) -> DataFrame:
     """Listed files that no table knows: one anti-join against the union of all known links."""
     known = reduce(DataFrame.unionByName, [t[name].select("file_link") for name in FILE_TABLES])
@@ -69,6 +78,9 @@ def missing_mirror_scraps(scraps: DataFrame, listing: DataFrame) -> DataFrame:
 
 
 def enriched(table: DataFrame, listing: DataFrame, digest: bool = True) -> DataFrame:
-    """New version of a table with size and digest of its listed files under the later archive."""
+    """New version of a table with size and digest of its listed files under the later archive.
+
+    A malformed size leaves the stored one as it is.
+    """
     values = {"file_size": "file_size"} | ({"file_md5": "file_md5"} if digest else {})
-    return update_from(table, listing, ["file_link"], values, F.col("file_link").startswith(LATER_ARCHIVE))
+    return update_from(table, listing, ["file_link"], values, F.col("file_link").startswith(LATER_ARCHIVE), unique=True, kept=("file_size",))

@@ -73,7 +73,6 @@ SCORE_VARIANTS = (
 )
 # Score categories that are an overall verdict by themselves.
 VERDICTS = ("Ace Rating", "ACE Rating", "Verdict")
-CAPTION_CAP = 30
 
 
 def aliased_magazine(name: Column | str) -> Column:
@@ -241,8 +240,8 @@ def overall_scores(scores: DataFrame) -> DataFrame:
 class ReviewIntegration:
     """The whole job. ``durable`` writes the few frames that many outputs share to the shared folder."""
 
-    def __init__(self, t: Tables, s: Tables, durable: bool = True, caption_cap: int = CAPTION_CAP):
-        self.t, self.s, self.caption_cap = t, s, caption_cap
+    def __init__(self, t: Tables, s: Tables, durable: bool = True):
+        self.t, self.s = t, s
         self._keep = cut_lineage if durable else (lambda df: df)
 
     @cached_property
@@ -384,7 +383,7 @@ class ReviewIntegration:
         captions = self.s["captions_src"].withColumn("review_id", F.col("review_id").cast("long")).join(
             self.located.select(F.col("id").alias("review_id"), "magref_id"), "review_id"
         ).select("id", "magref_id", F.replace("caption", F.lit("\r"), F.lit("")).alias("text"), "is_banner")
-        numbered = assign_sequence(captions, "magref_id", "id", "caption_seq", self.caption_cap)
+        numbered = assign_sequence(captions, "magref_id", "id", "caption_seq")
         return numbered.select("magref_id", "caption_seq", trim_newlines("text", 1).alias("text"), "is_banner")
 
     @cached_property

@@ -37,7 +37,7 @@ def series_gaps(t: Tables, null_aware: bool = True) -> DataFrame:
     gaps = sequence_gaps(t["members"], ["tag_id"], "series_seq", 1)
     if null_aware:
         gaps = absent(gaps, "tag_id", t["members"].where("series_seq is null"), "tag_id")
-    hits = gaps.select("tag_id", "series_seq")
+    hits = gaps.groupBy("tag_id", "series_seq", spread("tag_id", "series_seq")).agg(F.count(F.lit(1))).select("tag_id", "series_seq")
     return _member_findings(_members(t).join(hits, ["tag_id", "series_seq"], "left_semi"), t)
 
 

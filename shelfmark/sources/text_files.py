@@ -13,8 +13,11 @@ LINE_ORDER = ["_file", "_block", "_pos"]
 
 
 def read_lines(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
-    """``(_file, _block, _pos, value)``: every line with its place, decoded from ``encoding``."""
-    lines = spark.read.text(path).select(
+    """``(_file, _block, _pos, value)``: every line with its place, decoded from ``encoding``.
+
+    Lines end at a newline only; a carriage return before it is dropped, one inside a line stays.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path).select(
         F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_pos"), "value",
     )
@@ -40,7 +43,10 @@ def read_delimited(spark: SparkSession, path: str, columns: Sequence[str], sep:
 
     Missing trailing fields are NULL, surplus ones are ignored.
     """
-    fields = F.split("value", rf"(?<!(?<!\\)(?:\\\\){{0,20}}\\){_quoted(sep)}")
+    # Each field with the separator before it; a backslash takes the next character along, however many there are.
+    mark = _quoted(sep)
+    field = rf"{mark}((?:[^\\{mark}]++|\\[\s\S]|\\\z)*+)"
+    fields = F.regexp_extract_all(F.concat(F.lit(sep), F.col("value")), F.lit(field), F.lit(1))
     parts = read_lines(spark, path, encoding).select(*LINE_ORDER, fields.alias("_fields"))
     return parts.select(
         *[unescape(F.get("_fields", F.lit(i))).alias(c) for i, c in enumerate(columns)], *LINE_ORDER

@@ -88,18 +88,41 @@ def test_hot_parent_gaps_pairs_and_numbers(hot):
     pairs = {r.k: r.occurrences for r in pair_counts(hot, [F.col("k")], ["k"]).collect()}
     assert pairs == {k: len(v) * (len(v) - 1) // 2 for k, v in groups.items() if len(v) > 1}
 
-    numbered = assign_sequence(hot, "k", "id", "seq", 30)
-    seen = defaultdict(Counter)
-    for r in numbered.select("k", "seq").collect():
-        seen[r.k][r.seq] += 1
-    for k, ids in groups.items():
-        assert sum(seen[k].values()) == len(ids)
-        assert [seen[k][n] for n in range(1, 31)] == [1 if n <= len(ids) else 0 for n in range(1, 31)]
-
-
-def test_numbering_cuts_groups_before_the_exchange(hot):
-    plan = final_plan(assign_sequence(hot, "k", "id", "seq", 30))
-    assert "WindowGroupLimit" in plan and "Partial" in plan
+    numbered = {r.id: r.seq for r in assign_sequence(hot, "k", "id", "seq").select("id", "seq").collect()}
+    for ids in groups.values():
+        assert [numbered[i] for i in sorted(ids)] == list(range(1, len(ids) + 1))
+
+
+def test_sparse_ids_of_a_hot_key_share_windows(small):
+    """Ids far apart put one row in each range; ranges of ranges keep every window small."""
+    far = small.range(0, 3000, 1, 8).select(
+        F.lit(0).alias("k"), (F.col("id") * 5_000_000_011).alias("id"), F.lit(1).cast("long").alias("w")
+    )
+    out = running_before(far, ["k"], "id", "w", "before", "sum", 256)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    # 64 bits at 8 a level: each level has its own range column, and only the last one groups by the key alone.
+    assert plan.count("windowspecdefinition(k#") >= 1 and plan.count("_range") > 8
+    assert sorted(r.before for r in out.collect()) == list(range(3000))
+
+
+def test_null_groups_are_numbered(small):
+    rows = small.range(0, 300).select(F.when(F.col("id") % 2 == 0, F.col("id") % 3).alias("k"), (F.col("id") * 70_000).alias("id"))
+    numbered = assign_sequence(rows, "k", "id", "seq").where("k is null").orderBy("id").collect()
+    assert [r.seq for r in numbered] == list(range(1, 151))
+
+
+def test_inversions_stay_linear(small):
+    """One key, all values falling: rows times bits, not offenders times values."""
+    def sizes(n):
+        falling = small.range(0, n).select(F.lit(0).alias("k"), F.col("id").cast("int").alias("seq"), (n - F.col("id")).alias("v"))
+        out = inversions(falling, "k", "seq", "v")
+        total = out.agg(F.count(F.lit(1)).alias("n"), F.sum("occurrences").alias("pairs")).first()
+        assert (total.n, total.pairs) == (n - 1, n * (n - 1) // 2)
+        return out
+
+    sizes(500)
+    plan = final_plan(sizes(4000))
+    assert plan.split("== Initial Plan ==")[0].count("Exchange hashpartitioning") <= 10
 
 
 def test_twins_count_all_pairs_in_linear_rows(hot):

@@ -22,6 +22,14 @@ def test_delimited_fields_escapes_and_charset(spark, tmp_path):
     assert [(r.a, r.b, r.c) for r in got.collect()] == [("č", "b;c", None), ("", "x\\", "z"), ('"q"', None, None)]
 
 
+def test_any_number_of_backslashes_and_lone_carriage_returns(spark, tmp_path):
+    slashes = "\\" * 43
+    path = write(tmp_path / "e.txt", f"a{slashes};b;c\n{slashes}\\;d\rd;e\nf\\\n;;\n")
+    got = text_files.read_delimited(spark, path, ["a", "b", "c"]).orderBy(*text_files.LINE_ORDER)
+    assert [(r.a, r.b, r.c) for r in got.collect()] == [
+        ("a" + "\\" * 21 + ";b", "c", None), ("\\" * 22, "d\rd", "e"), ("f\\", None, None), ("", "", "")]
+
+
 def test_line_order_and_edges_over_many_splits(spark, tmp_path):
     lines = [f"line {i}" for i in range(3000)]
     path = write(tmp_path / "long.txt", "\n".join(lines) + "\n")
