@@ -113,13 +113,11 @@ def orders_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Table-level jobs over the derived catalogue.
 
 def catalogue_broken_references(t: Mapping[str, DataFrame]) -> DataFrame:
-    from oracle.operators import CHECKED_TABLES
-
     parts = [
         tables.check_references(t, name).select(
             F.lit(name).alias("tab"), F.col("column").alias("col"), "value", "occurrences"
         )
-        for name in CHECKED_TABLES
+        for name in t if TABLES[name].references
     ]
     out = parts[0]
     for part in parts[1:]:
@@ -192,6 +190,13 @@ def export_batches(t: Mapping[str, DataFrame]) -> DataFrame:
     return out
 
 
+def dump_rejects(t: Mapping[str, DataFrame]) -> DataFrame:
+    path = files.write_dump({"labels": t["labels"], "notes": t["notes"]})
+    return dump.read_rejects(t["labels"].sparkSession, path).groupBy("table", "problem", "text").agg(
+        F.count(F.lit(1)).alias("occurrences")
+    ).withColumnRenamed("table", "tab")
+
+
 def _dumped(t: Mapping[str, DataFrame], name: str) -> DataFrame:
     spark = t[name].sparkSession
     path = files.write_dump({"labels": t["labels"], "notes": t["notes"]})
@@ -275,7 +280,7 @@ def queries() -> dict[str, Query]:
     )
     over_catalogue = (
         catalogue_broken_references, magazine_page_links, series_gaps_plain, findings_in_one_pass,
-        findings_per_rule, rebuild_titles, refresh_titles, export_batches,
+        findings_per_rule, rebuild_titles, refresh_titles, export_batches, dump_rejects,
     )
     out: dict[str, Query] = {q.__name__: q for q in plain}
     out |= {q.__name__: _over(q) for q in over_catalogue}

@@ -2,20 +2,20 @@
 
 from __future__ import annotations
 
+from shelfmark.fixtures.derived import DEFINITIONS
 from shelfmark.schema import TABLES
 
 from . import over_catalogue
 from .checks import REGISTRY, check_select
 from .search import TITLES
 
-CHECKED_TABLES = ("releases", "authors", "contents", "issues", "magrefs", "booktypeins", "relations")
 ROW_RULES = [r.name for r in REGISTRY.values() if r.base is not None]
 
 
 def _broken(table: str, column: str, parent: str) -> str:
     return (
         f"select '{table}' as tab, '{column}' as col, cast(c.{column} as varchar) as value, count(*) as occurrences"
-        f" from cat_{table} c where c.{column} is not null and not exists (select 1 from cat_{parent} p where p.id = c.{column})"
+        f" from cat_{table} c where c.{column} is not null and not exists (select 1 from cat_{parent} p where p.{TABLES[parent].key[0]} = c.{column})"
         f" group by c.{column}"
     )
 
@@ -66,7 +66,7 @@ SQL = {
     "orders_numbered": """
         select o_orderkey, 1000 + row_number() over (order by left(md5(concat_ws('|', o_custkey, o_orderkey)), 4), o_custkey, o_orderkey) as id from orders""",
     "catalogue_broken_references": over_catalogue(" union all ".join(
-        _broken(t, c, p) for t in CHECKED_TABLES for c, p in TABLES[t].references.items()
+        _broken(t, c, p) for t in DEFINITIONS for c, p in TABLES[t].references.items()
     )),
     "magazine_page_links": over_catalogue(f"""
         select r.id as magref_id, case when m.link_mask is not null then {_LINK} end as page_link,
@@ -84,6 +84,12 @@ SQL = {
     "rebuild_titles": over_catalogue(TITLES),
     "refresh_titles": over_catalogue(TITLES),
     "export_batches": over_catalogue("select 'issues' as tab, count(*) as rows, true as in_batches from cat_issues union all select 'labels', count(*), true from cat_labels"),
+    "dump_rejects": over_catalogue(" union all ".join(
+        f"select '{t}' as tab, v.problem, v.text, count(distinct floor({c} / 500)) as occurrences from cat_{t},"
+        " (values ('not read to its end', chr(9) || '(1, \'\'no end'), ('does not fit its columns', '(1)')) v(problem, text)"
+        f" where floor({c} / 500) % 3 < 2 group by v.problem, v.text"
+        for t, c in (("labels", "id"), ("notes", "entry_id"))
+    )),
     "dump_labels": over_catalogue("select cast(id as int) as id, name, labeltype_id, cast(owner_id as int) as owner_id, cast(from_id as int) as from_id from cat_labels"),
     "dump_notes": over_catalogue("select cast(entry_id as int) as entry_id, text from cat_notes"),
 }

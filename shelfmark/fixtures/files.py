@@ -90,7 +90,10 @@ def _literal(column: str, kind: str) -> Column:
 
 
 def write_dump(tables: dict[str, DataFrame], rows_per_statement: int = 500) -> str:
-    """Dump text with one INSERT statement per batch of rows and one tuple per line."""
+    """Dump text in three layouts: a tuple per line, two tuples per line, or a whole statement per row.
+
+    Every batch of rows is one statement, except in the last layout; some lines are planted that are no tuples.
+    """
     spark = next(iter(tables.values())).sparkSession
     lines = spark.createDataFrame(
         [("", 0, 0, 0, "CREATE DATABASE IF NOT EXISTS `catalogue`;"), ("", 0, 0, 1, "USE `catalogue`;"),
@@ -98,17 +101,30 @@ def write_dump(tables: dict[str, DataFrame], rows_per_statement: int = 500) -> s
         "tab string, batch long, kind int, n long, line string",
     )
     for name, df in tables.items():
-        tuple_ = F.concat(F.lit("\t("), F.concat_ws(", ", *[_literal(c, k) for c, k in df.dtypes]), F.lit("),"))
+        columns = ", ".join(f"`{c}`" for c in df.columns)
+        insert = f"INSERT INTO `{name}` ({columns}) VALUES"
+        first = F.col(df.columns[0]).cast("long")
+        batch = F.floor(F.col(df.columns[0]) / rows_per_statement)
+        tuple_ = F.concat(F.lit("("), F.concat_ws(", ", *[_literal(c, k) for c, k in df.dtypes]), F.lit(")"))
         rows = df.select(
-            F.lit(name).alias("tab"), F.floor(F.col(df.columns[0]) / rows_per_statement).alias("batch"),
-            F.lit(1).alias("kind"), F.col(df.columns[0]).cast("long").alias("n"), tuple_.alias("line"),
+            F.lit(name).alias("tab"), batch.alias("batch"), (batch % 3).alias("layout"), F.lit(1).alias("kind"), first.alias("n"),
+            tuple_.alias("t"),
         )
-        columns = ", ".join(f"`{c}`" for c in df.columns)
-        heads = rows.select("tab", "batch").distinct().select(
-            "tab", "batch", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("n"),
-            F.lit(f"INSERT INTO `{name}` ({columns}) VALUES").alias("line"),
+        alone = rows.where("layout = 0").withColumn("line", F.concat(F.lit("\t"), "t", F.lit(",")))
+        # Two neighbours share a line; which ones follows from their number alone.
+        pairs = rows.where("layout = 1").groupBy("tab", "batch", "kind", F.expr("n div 2 * 2").alias("n")).agg(
+            F.concat(F.array_join(F.sort_array(F.collect_list("t")), ","), F.lit(",")).alias("line")
         )
-        lines = lines.unionByName(rows).unionByName(heads)
+        whole = rows.where("layout = 2").withColumn("line", F.concat(F.lit(insert + " "), "t", F.lit(";")))
+        heads = rows.where("layout < 2").select("tab", "batch").distinct().select(
+            "tab", "batch", F.explode(F.array(
+                F.struct(F.lit(0).alias("kind"), F.lit(0).cast("long").alias("n"), F.lit(insert).alias("line")),
+                F.struct(F.lit(2).alias("kind"), F.lit(0).cast("long").alias("n"), F.lit("\t(1, 'no end").alias("line")),
+                F.struct(F.lit(2).alias("kind"), F.lit(1).cast("long").alias("n"), F.lit("\t(1);").alias("line")),
+            )).alias("x"),
+        ).select("tab", "batch", "x.*")
+        for part in (alone, pairs, whole, heads):
+            lines = lines.unionByName(part.select(*lines.columns))
     path = new_path(spark, "dump")
     placed = lines.repartitionByRange("tab", "batch").sortWithinPartitions("tab", "batch", "kind", "n")
     write_lines(placed.select("line"), path)

@@ -1,4 +1,4 @@
-"""Tables out of SQL dump text: one value tuple per line below an INSERT line."""
+"""Tables out of SQL dump text: tuples after or below an INSERT line, one or several on a line."""
 
 from __future__ import annotations
 
@@ -7,11 +7,16 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from ..schema import TABLES
 from .text_files import LINE_ORDER, read_lines, unescape
 
-_INSERT = r"(?i)^INSERT\s+(?:IGNORE\s+)?INTO\s+`?(\w+)`?\s*\(([^)]*)\)\s*VALUES"
-_STATEMENT = r"(?i)^(INSERT|CREATE|ALTER|DROP|USE|SET|LOCK|UNLOCK)\b"
-# A quoted text with backslash escapes or doubled quotes, or a run up to the next comma. The loop is
-# possessive, so long texts cost neither backtracking nor stack.
-_VALUE = r"'(?:[^'\\]++|\\[\s\S]|'')*+'|[^,'\s][^,]*+"
+_INSERT = r"(?is)^\s*(?:INSERT|REPLACE)\s+(?:IGNORE\s+)?(?:INTO\s+)?`?(\w+)`?\s*(?:\(([^)]*)\))?\s*(?:VALUES\b(.*))?\z"
+# A line that begins with a word begins a statement; VALUES goes on with the one before.
+_STATEMENT = r"(?i)^\s*(?!VALUES\b)[a-z]"
+_VALUES = r"(?i)^\s*VALUES\b"
+_COMMENT = r"^\s*(--|#|/\*|$)"
+# A quoted text with backslash escapes or doubled quotes. All loops are possessive, so long texts cost
+# neither backtracking nor stack.
+_QUOTED = r"'(?:[^'\\]++|\\[\s\S]|'')*+'"
+_VALUE = rf"{_QUOTED}|[^,'\s][^,]*+"
+_TUPLE = rf"\((?:{_QUOTED}|[^'()]++)*+\)"
 
 
 def _carried_marker(lines: DataFrame) -> DataFrame:
@@ -33,27 +38,57 @@ def _carried_marker(lines: DataFrame) -> DataFrame:
     )
 
 
-def read_dump(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
-    """``(table, columns, values)`` of every inserted tuple in the dump files under ``path``."""
-    lines = read_lines(spark, path, encoding).withColumn(
+def _data_lines(spark: SparkSession, path: str, encoding: str) -> DataFrame:
+    """Lines that belong to an INSERT: its table and columns, the text, its tuples, and whether all of it was read."""
+    lines = read_lines(spark, path, encoding).where(~F.rlike("value", F.lit(_COMMENT)))
+    lines = lines.withColumn(
         "marker",
-        F.when(F.col("value").rlike(_STATEMENT), F.struct(
-            F.regexp_extract("value", _INSERT, 1).alias("table"),
-            F.regexp_extract("value", _INSERT, 2).alias("columns"),
+        F.when(F.rlike("value", F.lit(_STATEMENT)), F.struct(
+            F.regexp_extract("value", _INSERT, 1).alias("table"), F.regexp_extract("value", _INSERT, 2).alias("columns"),
         )),
     )
-    body = F.regexp_extract("value", r"(?s)^\s*\((.*)\)\s*[,;]?\s*$", 1)
-    tuples = _carried_marker(lines).where(
-        (F.col("marker.table") != "") & F.col("value").rlike(r"^\s*\(")
-    )
-    return tuples.select(
-        F.col("marker.table").alias("table"),
-        F.split(F.regexp_replace("marker.columns", r"[`\s]", ""), ",").alias("columns"),
-        F.transform(F.regexp_extract_all(body, F.lit(_VALUE), 0), _value).alias("values"),
-        *LINE_ORDER,
+    head = F.col("marker").isNotNull()
+    filled = _carried_marker(lines.withColumn("head", head)).where("marker.table <> ''")
+    text = F.when(F.col("head"), F.regexp_extract("value", _INSERT, 3)).otherwise(F.regexp_replace("value", _VALUES, ""))
+    cut = filled.withColumn("text", text).where(F.trim("text") != "")
+    names = F.when(F.col("marker.columns") != "", F.split(F.regexp_replace("marker.columns", r"[`\s]", ""), ","))
+    declared = F.create_map(*[
+        x for name, table in TABLES.items() for x in (F.lit(name), F.array(*[F.lit(f) for f in table.schema.fieldNames()]))
+    ])
+    tuples = F.regexp_extract_all("text", F.lit(_TUPLE), F.lit(0))
+    left = F.regexp_replace("text", _TUPLE, "")
+    return cut.select(
+        F.col("marker.table").alias("table"), F.coalesce(names, F.try_element_at(declared, F.col("marker.table"))).alias("columns"),
+        "text", tuples.alias("tuples"), F.rlike(left, F.lit(r"^[\s,;]*$")).alias("whole"), *LINE_ORDER,
     )
 
 
+def _values(tuple_: Column) -> Column:
+    body = tuple_.substr(F.lit(2), F.length(tuple_) - 2)
+    return F.transform(F.regexp_extract_all(body, F.lit(_VALUE), F.lit(0)), _value)
+
+
+def read_dump(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
+    """``(table, columns, values)`` of every inserted tuple in the dump files under ``path``.
+
+    Without a list of columns the declared ones are meant. Lines that do not parse to their end give no
+    tuple at all, and tuples that do not fit their columns none either: :func:`read_rejects` has them.
+    """
+    lines = _data_lines(spark, path, encoding).where("whole")
+    each = lines.select("table", "columns", F.posexplode("tuples").alias("_tuple", "t"), *LINE_ORDER)
+    rows = each.select("table", "columns", _values(F.col("t")).alias("values"), *LINE_ORDER, "_tuple")
+    return rows.where(F.size("columns") == F.size("values"))
+
+
+def read_rejects(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
+    """``(table, problem, text)`` of all text inside INSERT statements that gave no row."""
+    lines = _data_lines(spark, path, encoding)
+    broken = lines.where(~F.col("whole")).select("table", F.lit("not read to its end").alias("problem"), "text")
+    each = lines.where("whole").select("table", "columns", F.explode("tuples").alias("text"))
+    odd = each.where(F.coalesce(F.size("columns") != F.size(_values(F.col("text"))), F.lit(True)))
+    return broken.unionByName(odd.select("table", F.lit("does not fit its columns").alias("problem"), "text"))
+
+
 def _value(token: Column) -> Column:
     bare = F.trim(token)
     inner = F.replace(bare.substr(F.lit(2), F.length(bare) - 2), F.lit("''"), F.lit("'"))

@@ -136,7 +136,31 @@ def test_dump_to_typed_tables(spark, tmp_path, split):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert got == {2: "NULL", 5: "", 6: "doubled ' quote"}
     assert bad == {"1": ["text: too long"], "3": ["text: missing"], "x4": ["id: not int"]}
-    assert hosts == {("1", "a"), ("2", "b")}
+    assert hosts == {("0", "inline is no tuple line"), ("1", "a"), ("2", "b")}
+
+
+LAYOUTS = """-- a comment
+INSERT INTO `genretypes` (`id`, `text`) VALUES (1,'one'),(2,'tw(o), ''2''');
+INSERT IGNORE INTO genretypes VALUES (3, NULL), (4,'a;b'),
+  (5,'five'),(6, 'six');
+COMMIT;
+(99, 'outside');
+INSERT INTO `genretypes` (`id`, `text`)
+VALUES
+(7,'seven')
+,(8,'no end
+(9);
+/* done */
+"""
+
+
+def test_dump_layouts_and_rejects(spark, tmp_path):
+    path = write(tmp_path / "x.sql", LAYOUTS)
+    read = dump.read_dump(spark, path)
+    got = {(r.id, r.text) for r in dump.dump_table(read, "genretypes").collect()}
+    assert got == {("1", "one"), ("2", "tw(o), '2'"), ("3", None), ("4", "a;b"), ("5", "five"), ("6", "six"), ("7", "seven")}
+    rejects = {(r.problem, r.text) for r in dump.read_rejects(spark, path).collect()}
+    assert rejects == {("not read to its end", ",(8,'no end"), ("does not fit its columns", "(9)")}
 
 
 def test_long_quoted_text_neither_backtracks_nor_overflows(spark, tmp_path):
