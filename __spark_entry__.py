@@ -292,6 +292,10 @@ def queries() -> dict[str, Query]:
         "search_authors": _over(search.authors), "search_publishers": _over(search.publishers),
         "search_issue_names": _over(search.issue_names), "search_origins": _over(search.origins),
         "search_origin_publications": _over(search.origins_with_publication),
+        "search_origin_publishers": _over(search.origin_publishers),
+        "search_author_credits": _over(search.author_credits), "search_publisher_credits": _over(search.publisher_credits),
+        "search_author_relations": _over(search.author_relations),
+        "search_publisher_relations": _over(search.publisher_relations),
         "lookup_entries_by_title": _over(lambda t: search.find_entries(t, "WIDGET3")),
         "lookup_labels_by_name": _over(lambda t: search.find_labels(t, "#00000012")),
         "lookup_entries_by_author": _over(lambda t: search.find_entries(t, "#00000001", "author")),

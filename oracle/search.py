@@ -77,16 +77,47 @@ _ORIGIN_COLUMNS = """
 ORIGINS = f"select {_ORIGIN_COLUMNS} from {_ORIGINS} o"
 PUBLICATIONS = f"""
     select {_ORIGIN_COLUMNS},
-      left(coalesce(g.name, p.names, '?') || ' - ' || case o.kind when 'C' then 'covertape from magazine issue' when 'B' then 'type-in from book'
+      coalesce(g.name, p.names, '?') || ' - ' || case o.kind when 'C' then 'covertape from magazine issue' when 'B' then 'type-in from book'
         when 'M' then 'type-in from magazine issue' when 'A' then 'within compilation' when 'T' then 'within covertape'
         when 'E' then 'within electronic magazine' else 'within program' end || ' '
-        || coalesce('"' || e.title || '"', s.name, '?'), 300) as publication
+        || coalesce('"' || e.title || '"', s.name, '?') as publication
     from {_ORIGINS} o left join cat_issues i on i.id = o.issue_id left join cat_magazines g on g.id = i.magazine_id
     left join ({ISSUE_NAMES}) s on s.issue_id = i.id left join cat_entries e on e.id = o.container_id
-    left join (select p.entry_id, string_agg(b.name, ', ' order by p.publisher_seq, b.name) as names
+    left join (select p.entry_id, first(b.name order by p.publisher_seq, b.name)
+                 || case when count(*) > 1 then ' and ' || (count(*) - 1) || ' more' else '' end as names
                from cat_publishers p join cat_labels b on b.id = p.label_id where p.release_seq = 0 group by p.entry_id) p on p.entry_id = e.id"""
 
 
+ORIGIN_PUBLISHERS = f"""
+    select cast(p.entry_id as bigint) as container_id, cast(p.publisher_seq as int) as publisher_seq, b.name as label
+    from cat_publishers p join cat_labels b on b.id = p.label_id
+    where p.release_seq = 0 and p.entry_id in (select container_id from {_ORIGINS} o where container_id is not null)"""
+_SEEDS = {
+    "author": "select label_id, entry_id from cat_authors union all select team_id, entry_id from cat_authors",
+    "publisher": """select label_id, entry_id from cat_publishers
+       union all select p.label_id, c.entry_id from cat_contents c join cat_publishers p on p.entry_id = c.container_id and p.release_seq = 0 where c.is_original = 1
+       union all select label_id, container_id from cat_contents""",
+}
+
+
+def credits(by: str) -> str:
+    return (
+        "select distinct cast(label_id as bigint) as label_id, cast(entry_id as bigint) as entry_id"
+        f" from ({_SEEDS[by]}) where label_id is not null and entry_id is not null"
+    )
+
+
+def relations(known: bool) -> str:
+    def listed(column):
+        return f" and {column} in (select id from cat_labels)" if known else ""
+
+    return "select distinct cast(a as bigint) as label_id, cast(b as bigint) as related_id from (" + " union all ".join(
+        f"select id as a, {c} as b from cat_labels where {c} is not null{listed(c)}"
+        f" union all select {c}, id from cat_labels where {c} is not null and {_PEOPLE}{listed(c)}"
+        for c in ("from_id", "owner_id")
+    ) + ")"
+
+
 def _has(column: str, word: str) -> str:
     return f"contains(strip_accents(lower({column})), '{word}')"
 
@@ -111,6 +142,10 @@ SQL = {
     "search_names": over_catalogue(NAMES),
     "search_authors": over_catalogue(AUTHORS),
     "search_publishers": over_catalogue(PUBLISHERS),
+    **{f"search_{by}_credits": over_catalogue(credits(by)) for by in _SEEDS},
+    "search_author_relations": over_catalogue(relations(True)),
+    "search_publisher_relations": over_catalogue(relations(False)),
+    "search_origin_publishers": over_catalogue(ORIGIN_PUBLISHERS),
     "search_issue_names": over_catalogue(ISSUE_NAMES),
     "search_origins": over_catalogue(ORIGINS),
     "search_origin_publications": over_catalogue(PUBLICATIONS),

@@ -62,7 +62,9 @@ DEFINITIONS: dict[str, str] = {
           case when c_custkey%40=1 then c_custkey+2 when c_custkey%4=1 then c_custkey-c_custkey%8+1
                end as owner_id,
           case when c_custkey%6=0 then cast(floor(c_custkey/2) as bigint)+1 end as from_id
-        from {customer}""",
+        from {customer}
+        union all
+        select 900000001+n_nationkey, 'Lost '||n_name, '+', cast(null as bigint), 800000001+n_nationkey from {nation}""",
     "releases": """
         select case when l_partkey%29=0 then 9000000+l_partkey else E(l_partkey+1) end as entry_id,
           l_linenumber-1+case when l_partkey%7=0 and l_linenumber>4 then 1 else 0 end as release_seq,
@@ -81,7 +83,11 @@ DEFINITIONS: dict[str, str] = {
         select E(l_partkey+1) as entry_id, l_linenumber-1 as release_seq,
           case l_returnflag when 'A' then 1 when 'N' then 2 else 3 end as publisher_seq,
           min(l_suppkey)*10+l_linenumber+1 as label_id
-        from {lineitem} group by l_partkey, l_linenumber, l_returnflag""",
+        from {lineitem} group by l_partkey, l_linenumber, l_returnflag
+        union all
+        select cast(7 as bigint), 0, cast(c_custkey+10 as int), c_custkey+1 from {customer}
+        union all
+        select E(n_nationkey+1), 0, cast(1000000+n_nationkey as int), 800000001+n_nationkey from {nation}""",
     "contents": """
         select E(CONTAINER+1) as container_id,
           case l_linenumber when 6 then 2 when 7 then 3 else 1 end as media_seq,

@@ -14,20 +14,22 @@ from pyspark.sql import DataFrame, SparkSession
 from .plans import search
 from .plans.imports import listings, map_links
 from .plans.imports.reviews import ReviewIntegration
-from .plans.rules import store_findings
+from .plans.rules import read_findings, sorted_findings, store_findings
 from .plans.rules.magazines import pending_reviews
 from .schema import TABLES
 from .session import apply_settings, new_path
-from .sources.dump import dump_table, read_dump
-from .sources.tables import StoredTables, apply_schema, check_keys, check_references, rebuild
+from .sources.dump import dump_table, read_dump, read_rejects
+from .sources.tables import DatabaseTables, StoredTables, apply_schema, check_keys, check_references, rebuild
 from .sources.text_files import LINE_ORDER
 
 Tables = Mapping[str, DataFrame]
 
 
 def checks(t: Tables, out: str, advisory: bool = False) -> None:
-    """Findings partitioned by rule, and the list of pending reviews."""
+    """Findings partitioned by rule, the same as one report in order, and the list of pending reviews."""
     store_findings(t, f"{out}/findings", advisory=advisory)
+    found = read_findings(t["entries"].sparkSession, f"{out}/findings")
+    sorted_findings(found).write.mode("overwrite").parquet(f"{out}/report")
     pending_reviews(t).write.mode("overwrite").parquet(f"{out}/pending_reviews")
 
 
@@ -51,6 +53,7 @@ def manifest(t: Tables, path: str, out: str) -> None:
     staged = new_path(spark, "manifest")
     listings.read_manifest(spark, path).write.parquet(staged)
     listing = spark.read.parquet(staged)
+    listings.malformed_sizes(spark, path).write.mode("overwrite").parquet(f"{out}/malformed_sizes")
     listings.unknown_files(listing, t).write.mode("overwrite").parquet(f"{out}/unknown_files")
     for name in listings.FILE_TABLES:
         listings.missing_files(t[name], listing).write.mode("overwrite").parquet(f"{out}/missing_{name}")
@@ -64,6 +67,7 @@ def mirror(t: Tables, path: str, out: str) -> None:
     staged = new_path(spark, "mirror")
     listings.read_mirror(spark, path).write.parquet(staged)
     listing = spark.read.parquet(staged)
+    listings.malformed_sizes(spark, path, mirror=True).write.mode("overwrite").parquet(f"{out}/malformed_sizes")
     listings.unknown_mirror_files(listing, t).write.mode("overwrite").parquet(f"{out}/unknown_files")
     for name in ("downloads", "files"):
         missing = listings.missing_files(t[name], listing, listings.OLD_ARCHIVE)
@@ -86,10 +90,11 @@ def load_dump(spark: SparkSession, path: str, out: str, names: Mapping[str, str]
     and staged by table; every table then reads its own part.
     """
     staged = new_path(spark, "dump")
-    read_dump(spark, path).drop(*LINE_ORDER).write.partitionBy("table").parquet(staged)
+    read_dump(spark, path).drop(*LINE_ORDER, "_tuple").write.partitionBy("table").parquet(staged)
+    read_rejects(spark, path).write.mode("overwrite").parquet(f"{out}/_rejects/_lines")
     rows = spark.read.schema("columns array<string>, values array<string>, table string").parquet(staged)
     for name, table in TABLES.items():
-        typed, rejects = apply_schema(dump_table(rows, name, (names or {}).get(name)), table.schema)
+        typed, rejects = apply_schema(dump_table(rows, name, (names or {}).get(name)), table.schema, table.widths)
         typed.write.mode("overwrite").parquet(f"{out}/{name}")
         rejects.write.mode("overwrite").parquet(f"{out}/_rejects/{name}")
     loaded = StoredTables(spark, out)
@@ -106,6 +111,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("job", choices=["checks", "indexes", "maps", "manifest", "mirror", "reviews", "load-dump"])
     parser.add_argument("--tables", help="folder of the stored tables")
     parser.add_argument("--source", help="text file, dump, or folder of the outside tables")
+    parser.add_argument("--database", help="database of the session catalogue that holds the outside tables")
     parser.add_argument("--out", required=True)
     parser.add_argument("--advisory", action="store_true", help="also run advisory rules")
     args = parser.parse_args(argv)
@@ -115,7 +121,8 @@ def main(argv: list[str] | None = None) -> None:
     if args.job == "load-dump":
         load_dump(spark, args.source, args.out)
     elif args.job == "reviews":
-        reviews(t, StoredTables(spark, args.source), args.out)
+        source = DatabaseTables(spark, args.database) if args.database else StoredTables(spark, args.source)
+        reviews(t, source, args.out)
     elif args.job in ("maps", "manifest", "mirror"):
         {"maps": maps, "manifest": manifest, "mirror": mirror}[args.job](t, args.source, args.out)
     elif args.job == "checks":

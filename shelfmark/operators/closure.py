@@ -38,11 +38,11 @@ def label_closure(seed: DataFrame, labels: DataFrame, known_parents: bool = True
     return pairs.unionByName(reached).distinct()
 
 
-def labels_reaching(wanted: DataFrame, labels: DataFrame, known_parents: bool = True) -> DataFrame:
+def labels_reaching(wanted: DataFrame, edges: DataFrame) -> DataFrame:
     """Distinct ``label_id``: the wanted labels and those one edge before them.
 
     The closure turned round: who asks for a few labels can search the seed itself with these, without
     the pairs of every entry with every relative.
     """
-    edges = among(label_edges(labels, known_parents), "related_id", wanted, "label_id")
-    return wanted.select("label_id").unionByName(edges.select("label_id")).distinct()
+    before = among(edges, "related_id", wanted, "label_id")
+    return wanted.select("label_id").unionByName(before.select("label_id")).distinct()

@@ -113,17 +113,3 @@ def first_source(sources: Sequence[DataFrame], key: str, tie: list[str]) -> Data
     ranked = [df.withColumn("_rank", F.lit(rank)) for rank, df in enumerate(sources)]
     union = reduce(DataFrame.unionByName, ranked).where(F.col(key).isNotNull())
     return first_by(union, [key], ["_rank", *tie]).drop("_rank")
-
-
-def joined_text(df: DataFrame, key: str, order: str, text: str, out: str, width: int, sep: str = ", ") -> DataFrame:
-    """Texts of a group joined in order, for a column of ``width`` characters.
-
-    Each text but the first brings at least its separator, so the first ``width`` texts fill the column for
-    certain; the rank filter cuts every group to these before the exchange.
-    """
-    rank = F.row_number().over(Window.partitionBy(key).orderBy(order, text))
-    used = df.where(F.col(text).isNotNull()).withColumn("_rank", rank).where(F.col("_rank") <= width)
-    rows = F.sort_array(F.collect_list(F.struct("_rank", F.col(text).alias("t"))))
-    return used.groupBy(key, spread(key)).agg(rows.alias("_rows")).select(
-        key, F.left(F.array_join(F.transform("_rows", lambda r: r["t"]), sep), F.lit(width)).alias(out)
-    )

@@ -3,6 +3,8 @@
 A rule yields findings ``(entry_id, title, details)`` with ``occurrences``, the number of times the
 same finding stands. Row rules test single rows of a shared base; all chosen row rules of one base
 run in a single pass. Built rules bring a plan of their own.
+
+Fixed values: the warnings of the rules, here and in the modules beside this one, are the report's own texts.
 """
 
 from __future__ import annotations

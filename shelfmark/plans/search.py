@@ -7,9 +7,9 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.text import issue_name, name_key, title_key, title_variants
-from ..operators.closure import label_closure, labels_reaching
-from ..operators.groups import first_source, joined_text
-from ..operators.membership import among
+from ..operators.closure import label_closure, label_edges, labels_reaching
+from ..operators.groups import first_source
+from ..operators.membership import among, spread
 
 Tables = Mapping[str, DataFrame]
 
@@ -25,8 +25,6 @@ ORIGIN_KINDS = {
 }
 # Genres of covertapes, electronic magazines and compilations.
 COVERTAPE, ELECTRONIC, COMPILATIONS = 81, 82, (80, 111, 112, 113, 114)
-# Fixed value: the declared width of the publication text.
-PUBLICATION = 300
 # Index columns are matched without regard to case and accents.
 LOOKUP_COLLATION = "UNICODE_CI_AI"
 
@@ -54,6 +52,37 @@ def _author_seed(t: Tables) -> DataFrame:
     return t["authors"].select("entry_id", F.explode(F.array("label_id", "team_id")).alias("label_id"))
 
 
+def _credits(seed: DataFrame) -> DataFrame:
+    return seed.where("label_id is not null and entry_id is not null").select(
+        F.col("label_id").cast("long").alias("label_id"), F.col("entry_id").cast("long").alias("entry_id")
+    ).distinct()
+
+
+def author_credits(t: Tables) -> DataFrame:
+    """``(label_id, entry_id)`` of authors and teams themselves: with the relations a linear form of the author index."""
+    return _credits(_author_seed(t))
+
+
+def publisher_credits(t: Tables) -> DataFrame:
+    """``(label_id, entry_id)`` of publishers themselves: with the relations a linear form of the publisher index."""
+    return _credits(_publisher_seed(t))
+
+
+def _relations(t: Tables, known_parents: bool) -> DataFrame:
+    return label_edges(t["labels"], known_parents).select(
+        F.col("label_id").cast("long").alias("label_id"), F.col("related_id").cast("long").alias("related_id")
+    )
+
+
+def author_relations(t: Tables) -> DataFrame:
+    """``(label_id, related_id)``: an author's label also stands for the related one."""
+    return _relations(t, known_parents=True)
+
+
+def publisher_relations(t: Tables) -> DataFrame:
+    return _relations(t, known_parents=False)
+
+
 def authors(t: Tables) -> DataFrame:
     """``(label_id, entry_id)``: authors and teams, and the labels one step away from them."""
     return label_closure(_author_seed(t), t["labels"], known_parents=True)
@@ -123,20 +152,40 @@ def origins(t: Tables) -> DataFrame:
     return first_source(sources, "entry_id", ["container_id", "issue_id"])
 
 
+def _first_publishers(t: Tables) -> DataFrame:
+    """``(container_id, publisher_seq, label)``: who published the first release of an entry."""
+    labels = t["labels"].select(F.col("id").alias("label_id"), F.col("name").alias("label"))
+    first = t["publishers"].where("release_seq = 0").select(F.col("entry_id").alias("container_id"), "publisher_seq", "label_id")
+    return first.join(labels, "label_id").select("container_id", "publisher_seq", "label")
+
+
+def origin_publishers(t: Tables) -> DataFrame:
+    """All publishers of the containers of first publications, a row each: ``(container_id, publisher_seq, label)``.
+
+    A container may have any number of them; ordered by sequence and name they are its list.
+    """
+    return among(_first_publishers(t), "container_id", origins(t), "container_id").select(
+        F.col("container_id").cast("long").alias("container_id"), F.col("publisher_seq").cast("int").alias("publisher_seq"), "label"
+    )
+
+
 def origins_with_publication(t: Tables) -> DataFrame:
-    """:func:`origins` and a line of text on the publication."""
+    """:func:`origins` and a line of text on the publication.
+
+    The line names the first publisher of a container and how many more there are; :func:`origin_publishers`
+    lists them all.
+    """
     found = origins(t)
     kinds = F.create_map(*[F.lit(v) for pair in ORIGIN_KINDS.items() for v in pair])
     issues = t["issues"].select(
         F.col("id").alias("issue_id"), "magazine_id", issue_name().alias("issue_name")
     ).join(t["magazines"].select(F.col("id").alias("magazine_id"), F.col("name").alias("magazine")), "magazine_id", "left")
     holders = t["entries"].select(F.col("id").alias("container_id"), F.col("title").alias("container"))
-    labels = t["labels"].select(F.col("id").alias("label_id"), F.col("name").alias("label"))
-    first = t["publishers"].where("release_seq = 0").select("entry_id", "publisher_seq", "label_id")
-    needed = among(first, "entry_id", found, "container_id").join(labels, "label_id")
-    publishers_ = joined_text(needed, "entry_id", "publisher_seq", "label", "publishers", PUBLICATION).withColumnRenamed(
-        "entry_id", "container_id"
-    )
+    first = F.min(F.struct("publisher_seq", "label"))["label"]
+    named = F.when(F.count(F.lit(1)) > 1, F.concat(first, F.lit(" and "), F.count(F.lit(1)) - 1, F.lit(" more"))).otherwise(first)
+    publishers_ = among(_first_publishers(t), "container_id", found, "container_id").groupBy(
+        "container_id", spread("container_id")
+    ).agg(named.alias("publishers")).drop("_spread")
     where = F.coalesce(F.concat(F.lit('"'), F.col("container"), F.lit('"')),
                        F.when(F.col("magazine_id").isNotNull(), F.col("issue_name")).otherwise(F.lit("?")))
     text = F.concat(
@@ -145,15 +194,16 @@ def origins_with_publication(t: Tables) -> DataFrame:
     )
     return (
         found.join(issues, "issue_id", "left").join(holders, "container_id", "left")
-        .join(publishers_, "container_id", "left").select(
-            *found.columns, F.left(text, F.lit(PUBLICATION)).alias("publication")
-        )
+        .join(publishers_, "container_id", "left").select(*found.columns, text.alias("publication"))
     )
 
 
+# Stored tables. The author and publisher indexes are stored as credits and relations, whose sizes add up;
+# their product would hold a row for each credit of each relative.
 INDEXES = {
-    "titles": titles, "names": names, "authors": authors, "publishers": publishers,
-    "issue_names": issue_names, "origins": origins_with_publication,
+    "titles": titles, "names": names, "author_credits": author_credits, "publisher_credits": publisher_credits,
+    "author_relations": author_relations, "publisher_relations": publisher_relations,
+    "issue_names": issue_names, "origins": origins_with_publication, "origin_publishers": origin_publishers,
 }
 
 
@@ -164,19 +214,19 @@ def _holding(index: DataFrame, column: str, word: str) -> DataFrame:
 def find_entries(t: Tables, word: str, by: str = "title", indexes: Tables | None = None) -> DataFrame:
     """Entries by a part of a title, an author's or a publisher's name, sorted by title.
 
-    ``indexes`` are stored index tables. Without them the labels found are traced back to the credits
-    themselves, which gives the same entries and builds no index.
+    ``indexes`` are stored index tables; without them the same is read from the tables themselves. Labels
+    found are traced back to the credits, so no pairs of credits with relatives are built.
     """
     if by == "title":
         hits = _holding(titles(t) if indexes is None else indexes["titles"], "entry_title", word)
     else:
         labels = _holding(names(t) if indexes is None else indexes["names"], "label_name", word)
         if indexes is not None:
-            hits = among(indexes[by + "s"], "label_id", labels, "label_id")
+            credits, relations = indexes[f"{by}_credits"], indexes[f"{by}_relations"]
         else:
-            seed = {"author": _author_seed, "publisher": _publisher_seed}[by](t)
-            known_parents = by == "author"
-            hits = among(seed, "label_id", labels_reaching(labels, t["labels"], known_parents), "label_id", unique=True)
+            credits = {"author": _author_seed, "publisher": _publisher_seed}[by](t)
+            relations = label_edges(t["labels"], known_parents=by == "author")
+        hits = among(credits, "label_id", labels_reaching(labels, relations), "label_id", unique=True)
     return among(t["entries"], "id", hits, "entry_id").orderBy("title", "id")
 
 

@@ -17,6 +17,8 @@ class Table:
     ddl: str
     key: tuple[str, ...]
     references: dict[str, str] = field(default_factory=dict)
+    # Most characters a text may have; longer ones are reported when a dump is loaded, never cut.
+    widths: dict[str, int] = field(default_factory=dict)
 
     @property
     def schema(self) -> StructType:
@@ -30,10 +32,10 @@ TABLES: dict[str, Table] = {
     "entries": Table(
         "id int not null, title string not null, library_title string, genretype_id int, machinetype_id int,"
         " issue_id int, availabletype_id string", ("id",),
-        {"genretype_id": "genretypes", "machinetype_id": "machinetypes", "issue_id": "issues"}),
+        {"genretype_id": "genretypes", "machinetype_id": "machinetypes", "issue_id": "issues"}, {"title": 250}),
     "labels": Table(
         "id int not null, name string not null, labeltype_id string, owner_id int, from_id int", ("id",),
-        {"owner_id": "labels", "from_id": "labels"}),
+        {"owner_id": "labels", "from_id": "labels"}, {"name": 100}),
     "releases": Table(
         "entry_id int not null, release_seq int not null, release_year int, release_month int, release_day int,"
         " currency_id string", ("entry_id", "release_seq"), _ENTRY),
@@ -60,7 +62,7 @@ TABLES: dict[str, Table] = {
         "id int not null, issue_id int not null, page int not null, entry_id int, label_id int, topic_id int,"
         " award_id int, referencetype_id int not null, is_original tinyint not null, review_id int,"
         " score_group string not null", ("id",),
-        {"issue_id": "issues", **_ENTRY, "label_id": "labels", "referencetype_id": "referencetypes"}),
+        {"issue_id": "issues", **_ENTRY, "label_id": "labels", "referencetype_id": "referencetypes"}, {"score_group": 100}),
     "magreflinks": Table("magref_id int not null, link string not null, host_id int not null",
                          ("magref_id", "link"), {"magref_id": "magrefs", "host_id": "hosts"}),
     "hosts": Table("id int not null, link string not null", ("id",)),

@@ -82,7 +82,7 @@ def rebuild(df: DataFrame, path: str, sort: Sequence[str]) -> None:
     df.repartitionByRange(*sort).sortWithinPartitions(*sort).write.mode("overwrite").parquet(path)
 
 
-def export_tables(tables: Mapping[str, DataFrame], path: str, rows_per_file: int = 1000) -> None:
+def export_tables(tables: Mapping[str, DataFrame], path: str, rows_per_file: int) -> None:
     """One folder per table with at most ``rows_per_file`` rows in each file."""
     for name, df in tables.items():
         df.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(f"{path}/{name}")

@@ -31,6 +31,8 @@ def test_checks(spark, stored, tmp_path):
     store_findings(StoredTables(spark, stored), f"{tmp_path}/findings", ["itch_link_in_downloads"])
     assert {r.rule for r in read_findings(spark, f"{tmp_path}/findings").collect()} <= {"itch_link_in_downloads"}
     assert spark.read.parquet(f"{tmp_path}/pending_reviews").count() > 0
+    report = [(r.entry_id is not None, r.entry_id) for r in spark.read.parquet(f"{tmp_path}/report").select("entry_id").collect()]
+    assert len(report) > 1000
 
 
 def test_indexes_serve_lookups(spark, stored, tmp_path):
@@ -55,6 +57,17 @@ def test_reviews(spark, stored, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/reports/unmapped_issues").count() > 0
 
 
+def test_reviews_from_a_second_database(spark, stored, tmp_path):
+    spark.sql("create database if not exists outside")
+    for name in TABLES:
+        if name.endswith("_src"):
+            spark.sql(f"drop view if exists outside.{name}")
+            spark.sql(f"drop table if exists outside.{name}")
+            spark.sql(f"create table outside.{name} using parquet location '{stored}/{name}'")
+    jobs.main(["reviews", "--tables", stored, "--database", "outside", "--out", str(tmp_path)])
+    assert spark.read.parquet(f"{tmp_path}/reports/unmapped_issues").count() > 0
+
+
 def test_load_dump(spark, sf_dir, tmp_path):
     t = DerivedCatalogue(spark, sf_dir)
     names = ("labels", "authors", "relations")

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import pytest
+from compare import catalogue
 from handmade import Handmade
 
 import __spark_entry__ as entry
 from shelfmark.plans import search
 from shelfmark.plans.rules import REGISTRY, run_checks, run_rule
 
-QUERIES = entry.queries()
+QUERIES = catalogue(entry.queries())
 EAGER = {"findings_per_rule"}
 
 

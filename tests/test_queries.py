@@ -2,19 +2,12 @@
 
 from __future__ import annotations
 
-import re
-
 import pytest
-from compare import connect, differences
+from compare import catalogue, connect, differences
 
 import __spark_entry__ as entry
 
-def _catalogue(named: dict) -> dict:
-    """Without the training-data queries, which have tests of their own."""
-    return {k: v for k, v in named.items() if k != "pipeline" and not re.match(r"op\d+_", k)}
-
-
-QUERIES, ORACLE = _catalogue(entry.queries()), _catalogue(entry.oracle_sql())
+QUERIES, ORACLE = catalogue(entry.queries()), catalogue(entry.oracle_sql())
 
 
 @pytest.fixture(scope="module")

@@ -64,7 +64,7 @@ def test_origins_follow_the_cascade(spark):
     assert found[2].publication == 'New Corp - type-in from book "Book"'
     assert found[8].publication == "Mag - type-in from magazine issue #5 - 1984/Feb"
     assert found[9].publication == 'Mag - within covertape "Tape"'
-    assert found[10].publication == 'Corp, Ann - within compilation "Pack"'
+    assert found[10].publication == 'Corp and 1 more - within compilation "Pack"'
     assert found[4].publication == '? - within program "Prog"'
 
 
