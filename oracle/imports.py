@@ -48,7 +48,15 @@ _REVIEWS = """
        and t.issue in ('Issue ' || o.number || ', ' || o.dated, 'Issue 0' || o.number || ', ' || o.dated, 'Issue ' || o.dated)
       union
       select t.issue_code, o.id, 5 from theirs t join ours o on o.magazine_id = t.magazine_id
-       and o.number = try_cast(substr(split_part(t.issue, ',', 1), 7) as int) where t.issue like 'Issue %,%'),
+       and o.number = try_cast(substr(split_part(t.issue, ',', 1), 7) as int) where t.issue like 'Issue %,%'
+      union
+      select s.issue_code, i.id, 1 from cat_issues_src s join cat_magazines_src m on m.mag_id = s.mag_id
+      join cat_magazines g on g.id >= 8000001 join cat_issues i on i.magazine_id = g.id
+      where (m.mag_name = 'Sinclair User Annual' and s.issue = '1984 Annual' and g.name = 'Sinclair User' and i.special = 'Annual 1984' and i.parent_id is null)
+         or (m.mag_name = 'ZX Collection' and s.issue = 'Issue December 1984' and g.name = 'ZX Collection' and i.date_year = 1984 and i.parent_id is null)
+         or (m.mag_name = 'Popular Computing Weekly Supplement' and s.issue = 'Issue May 1986' and g.name = 'Popular Computing Weekly' and i.number = 21 and i.parent_id is not null)
+         or (m.mag_name = 'ZX Computing' and s.issue = 'Issue September 1982' and g.name = 'ZX Computing' and i.date_year = 1982 and i.date_month = 8 and i.parent_id is null)
+         or (m.mag_name = 'Sinclair User' and s.issue = 'Top 50 Spectrum Software Classics' and g.name = 'Sinclair User' and i.supplement = 'Top 50 Spectrum Software Classics')),
     iss_map as (
       select issue_code, min(id) as issue_id, tier, count(*) as candidates from choices group by issue_code, tier
       qualify row_number() over (partition by issue_code order by tier) = 1),

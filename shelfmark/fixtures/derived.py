@@ -53,7 +53,12 @@ DEFINITIONS: dict[str, str] = {
           nullif(p_partkey%30,0) as machinetype_id,
           case when p_partkey%7=0 or p_partkey%16 in (7,8) then p_partkey+1 end as issue_id,
           case p_partkey%17 when 0 then '*' when 1 then 'N' when 2 then null else 'A' end as availabletype_id
-        from {part}""",
+        from {part}
+        union all
+        select id, title, title, genre, machine, cast(null as bigint), 'A' from (values
+          (31929,'Exempt loading screen',1,19),(31930,'Same without exemption',1,19),(37752,'Exempt running screen',1,1),
+          (37753,'Same without exemption 2',1,1),(2000113,'Exempt release',1,1),(2000114,'Same without exemption 3',1,1)
+        ) t(id, title, genre, machine)""",
     "labels": """
         select c_custkey+1 as id,
           case when c_custkey%18=0 then left(c_name,12)||' [2]' when c_custkey%9=0 then c_name||' [2]'
@@ -124,7 +129,11 @@ DEFINITIONS: dict[str, str] = {
         select s_suppkey+1 as id, s_name as name,
           case when s_suppkey%2=0 then '/{{y4}}/{{i3}}-{{v1}}/{{p2}}' end as link_mask,
           case when s_suppkey%5=0 then '/{{M3}}{{y4}}{{s0}}{{u0}}' end as archive_mask
-        from {supplier}""",
+        from {supplier}
+        union all
+        select id, name, cast(null as string), cast(null as string) from (values
+          (8000001,'ACE (Advanced Computer Entertainment)'),(8000002,'Sinclair User'),(8000003,'ZX Collection'),
+          (8000004,'Popular Computing Weekly'),(8000005,'ZX Computing'),(8000006,'Which Micro? & Software Review')) t(id, name)""",
     "issues": """
         select o_orderkey+1 as id, cast(floor(o_custkey/16) as int)+1 as magazine_id,
           case when o_orderkey%10<>3 then nullif(cast(o_orderkey%400 as int),0) end as number,
@@ -136,7 +145,15 @@ DEFINITIONS: dict[str, str] = {
           case when o_orderkey%4=0 then cast(day(o_orderdate) as int) end as date_day,
           case when o_orderkey%45=1 then o_orderkey end as parent_id,
           case when o_orderkey%5=0 then 3 end as cover_page
-        from {orders}""",
+        from {orders}
+        union all
+        select id, magazine_id, number, cast(null as int), special, supplement, date_year, date_month, cast(null as int),
+          parent_id, cast(null as int) from (values
+          (7000001,8000002,cast(null as int),'Annual 1984',cast(null as string),1984,cast(null as int),cast(null as bigint)),
+          (7000002,8000003,null,null,null,1984,12,null),(7000003,8000004,21,null,'Extra',1986,5,7000006),
+          (7000004,8000005,null,null,null,1982,8,null),(7000005,8000002,null,null,'Top 50 Spectrum Software Classics',1983,1,7000001),
+          (7000006,8000004,20,null,null,1986,5,null),(7000007,8000001,12,null,null,1988,9,null)
+        ) t(id, magazine_id, number, special, supplement, date_year, date_month, parent_id)""",
     "magrefs": """
         select event_id+1 as id, cast(floor(event_id/2) as bigint)+1 as issue_id,
           cast(floor(value) as int)%100 as page,
@@ -163,7 +180,13 @@ DEFINITIONS: dict[str, str] = {
           cast(case when page_id%16=7 then 0 else page_id%12 end as int) as filetype_id, nullif(page_id%26,0) as machinetype_id,
           page_id%8 as scr_border, case when page_id%5=0 then 1 else 0 end as is_demo,
           cast(floor(page_id/2) as int)%2 as release_seq, cast(length(html) as int) as file_size, md5(html) as file_md5
-        from {pages}""",
+        from {pages}
+        union all
+        select id, entry_id, file_link, filetype_id, machinetype_id, 7, 0, 0, 1, md5(file_link) from (values
+          (9000001,31929,'/zxdb/x/a-load-31929.scr',1,19),(9000002,31930,'/zxdb/x/a-load-31930.scr',1,19),
+          (9000003,37752,'/zxdb/x/37752.scr',2,1),(9000004,37753,'/zxdb/x/37753.scr',2,1),
+          (9000005,2000113,'/zxdb/x/(2000113).tap',8,1),(9000006,2000114,'/zxdb/x/(2000114).tap',8,1)
+        ) t(id, entry_id, file_link, filetype_id, machinetype_id)""",
     "files": """
         select page_id+1 as id, case when page_id%4=0 then page_id+1 end as label_id,
           case when page_id%4=1 then page_id+1 end as issue_id, case when page_id%4=2 then 1 end as tool_id,
@@ -235,7 +258,11 @@ DEFINITIONS: dict[str, str] = {
     "magazines_src": """
         select s_suppkey+1 as mag_id, case when s_suppkey%8=7 then 'Unknown '||s_name else lower(s_name) end
           as mag_name
-        from {supplier}""",
+        from {supplier}
+        union all
+        select * from (values (9000001,'Sinclair User Annual'),(9000002,'ZX Collection'),
+          (9000003,'Popular Computing Weekly Supplement'),(9000004,'ZX Computing'),(9000005,'Sinclair User'),(9000006,'ACE'),
+          (9000007,'Which Micro Software Review')) t(mag_id, mag_name)""",
     "issues_src": """
         select o_orderkey+1 as issue_code, cast(floor(o_custkey/16) as int)+1 as mag_id,
           case o_orderkey%5
@@ -245,7 +272,11 @@ DEFINITIONS: dict[str, str] = {
                         ||cast(year(o_orderdate) as string)
             when 2 then 'Issue '||MONTH(o_orderdate)||' '||cast(year(o_orderdate) as string)
             when 3 then 'Issue '||cast((o_orderkey+1)%400 as string)||', Someday' else 'Annual' end as issue
-        from {orders}""",
+        from {orders}
+        union all
+        select * from (values (9100001,9000001,'1984 Annual'),(9100002,9000002,'Issue December 1984'),
+          (9100003,9000003,'Issue May 1986'),(9100004,9000004,'Issue September 1982'),
+          (9100005,9000005,'Top 50 Spectrum Software Classics'),(9100006,9000006,'Issue 12, September 1988')) t(issue_code, mag_id, issue)""",
     "reviewers_src": "select user_id as reviewer_id, cast(user_id%120 as int)+1 as mag_id from {events} group by user_id",
     "awards_src": "select n_nationkey as award_id, n_nationkey*5+1 as mag_type from {nation}",
     "genretypes": """
