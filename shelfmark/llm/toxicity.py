@@ -9,12 +9,13 @@ these words, each once: insults are inflected.
 
 from __future__ import annotations
 
-from collections import Counter, deque
+from collections import deque
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # The bounded training sample; in how many of its texts a feature must occur, and by how many standard errors its
@@ -45,6 +46,30 @@ def _logistic(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * x))
 
 
+def telling(texts: list[str], toxic: np.ndarray, least: int, chunk: int = 500) -> set[int]:
+    """Hashes of the features that occur in ``least`` texts and tell toxic texts from others.
+
+    Only hashes and counts are held, merged chunk by chunk: the features of all texts together are many
+    times the texts.
+    """
+    known = [np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)]
+    for at in range(0, len(texts), chunk):
+        own = [np.fromiter(map(xxhash.xxh64_intdigest, f), np.uint64, len(f)) for f in map(features_of, texts[at:at + chunk])]
+        bad = np.repeat(toxic[at:at + chunk].astype(np.int64), [len(x) for x in own])
+        keys = np.concatenate([known[0], *own])
+        counts, among = np.concatenate([known[1], np.ones(len(bad), np.int64)]), np.concatenate([known[2], bad])
+        order = np.argsort(keys)
+        keys = keys[order]
+        heads = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.empty(0, np.int64)
+        known = [keys[heads], *(np.add.reduceat(x[order], heads) if len(heads) else x for x in (counts, among))]
+    keys, counts, among = known
+    sides = max(int(toxic.sum()), 1), max(int((~toxic).sum()), 1)
+    share = counts / sum(sides)
+    error = np.sqrt(np.maximum(share * (1 - share), 1e-12) * (1 / sides[0] + 1 / sides[1]))
+    apart = np.abs(among / sides[0] - (counts - among) / sides[1])
+    return set(keys[(counts >= least) & (apart >= LEAST_ERRORS * error)].tolist())
+
+
 def descend(loss: Callable, point: np.ndarray, memory: int = 10) -> np.ndarray:
     """A minimum of a smooth function by limited-memory quasi-Newton steps (L-BFGS)."""
     value, gradient = loss(point)
@@ -83,18 +108,10 @@ class SeverityModel:
 
     @classmethod
     def fit(cls, texts: list[str], toxic: np.ndarray, least: int = LEAST_TEXTS, penalty: float = PENALTY) -> SeverityModel:
-        bags = [features_of(t) for t in texts]
-        often = Counter(w for bag in bags for w in bag)
-        among = Counter(w for bag, bad in zip(bags, toxic) if bad for w in bag)
-        sides = max(int(toxic.sum()), 1), max(int((~toxic).sum()), 1)
-
-        def telling(word: bytes, count: int) -> bool:
-            share = count / sum(sides)
-            error = np.sqrt(max(share * (1 - share), 1e-12) * (1 / sides[0] + 1 / sides[1]))
-            return abs(among[word] / sides[0] - (count - among[word]) / sides[1]) >= LEAST_ERRORS * error
-
-        words = {w: i for i, w in enumerate(sorted(w for w, n in often.items() if n >= least and telling(w, n)))}
-        rows = [np.array([words[w] for w in bag if w in words], np.int64) for bag in bags]
+        chosen = telling(texts, toxic, least)
+        bags = [sorted(w for w in features_of(t) if xxhash.xxh64_intdigest(w) in chosen) for t in texts]
+        words = {w: i for i, w in enumerate(sorted({w for bag in bags for w in bag}))}
+        rows = [np.array([words[w] for w in bag], np.int64) for bag in bags]
         sizes = np.array([len(r) for r in rows], np.int64)
         columns = np.concatenate(rows) if rows else np.empty(0, np.int64)
         lines = np.repeat(np.arange(len(rows)), sizes)
