@@ -143,8 +143,10 @@ def training_sample(labelled: DataFrame, text: str, lang: str, per_language: int
     rows = labelled.where(F.col(text).isNotNull() & F.col(lang).isNotNull() & (F.length(text) <= chars) & F.rlike(text, F.lit(r"\p{L}")))
     rows = rows.select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.xxhash64(text).alias("hash"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("hash"))
-    # The rank filter is pushed below the exchange, so a task sends only this many rows of a language.
-    return rows.dropDuplicates(["lang", "hash"]).withColumn("rank", rank).where(F.col("rank") <= per_language)
+    # Hashes are chosen first; the rank filter is pushed below the exchange, so a task sends only this many of a
+    # language. The chosen ones, no more than that many for each language, then fetch their texts, copies once.
+    chosen = rows.select("lang", "hash").distinct().withColumn("rank", rank).where(F.col("rank") <= per_language).drop("rank")
+    return rows.join(F.broadcast(chosen), ["lang", "hash"]).dropDuplicates(["lang", "hash"])
 
 
 def train(labelled: DataFrame, text: str = "text", lang: str = "lang") -> LanguageModel:
