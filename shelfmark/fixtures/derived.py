@@ -90,7 +90,7 @@ DEFINITIONS: dict[str, str] = {
           min(l_suppkey)*10+l_linenumber+1 as label_id
         from {lineitem} group by l_partkey, l_linenumber, l_returnflag
         union all
-        select cast(7 as bigint), 0, cast(c_custkey+10 as int), c_custkey+1 from {customer}
+        select c_custkey-c_custkey+7, 0, cast(c_custkey+10 as int), c_custkey+1 from {customer}
         union all
         select E(n_nationkey+1), 0, cast(1000000+n_nationkey as int), 800000001+n_nationkey from {nation}""",
     "contents": """

@@ -53,18 +53,20 @@ def _running(df: DataFrame, key: list[str], order: str, values: dict[str, tuple[
                 out: F.coalesce(c.over(window), F.lit(0)) if values[out][1] == "sum" else c.over(window)
                 for out, c in inside.items()
             })
+        # A level orders ranges by the name the level below gave them, so each has a name of its own.
+        place, theirs = f"_range_{left}", f"_of_range_{left}"
         cut = F.floor(F.col(order) / width).cast("long")
-        ranges = rows.groupBy(*key, cut.alias("_range")).agg(*[c.alias(f"{out}_total") for out, c in inside.items()])
+        ranges = rows.groupBy(*key, cut.alias(place)).agg(*[c.alias(f"{out}_total") for out, c in inside.items()])
         carried = level(
-            ranges, "_range", {f"{out}_carried": (f"{out}_total", how) for out, (_, how) in values.items()},
+            ranges, place, {f"{out}_carried": (f"{out}_total", how) for out, (_, how) in values.items()},
             left - (width.bit_length() - 1),
         )
         given = carried.select(
-            *[F.col(k).alias(f"_of_{k}") for k in key], F.col("_range").alias("_of_range"), *[f"{out}_carried" for out in values]
+            *[F.col(k).alias(f"_of_{k}") for k in key], F.col(place).alias(theirs), *[f"{out}_carried" for out in values]
         )
-        window = Window.partitionBy(*key, "_range").orderBy(order).rangeBetween(Window.unboundedPreceding, -1)
-        local = rows.withColumn("_range", cut).withColumns({f"{out}_here": c.over(window) for out, c in inside.items()})
-        same = F.col("_range") == F.col("_of_range")
+        window = Window.partitionBy(*key, place).orderBy(order).rangeBetween(Window.unboundedPreceding, -1)
+        local = rows.withColumn(place, cut).withColumns({f"{out}_here": c.over(window) for out, c in inside.items()})
+        same = F.col(place) == F.col(theirs)
         for k in key:
             same &= F.col(k).eqNullSafe(F.col(f"_of_{k}"))
         joined = local.join(given, same, "left")
