@@ -142,10 +142,13 @@ def training_sample(labelled: DataFrame, text: str, lang: str, per_language: int
     """At most ``per_language`` distinct texts of each language, of at most ``chars`` characters, by their hash."""
     rows = labelled.where(F.col(text).isNotNull() & F.col(lang).isNotNull() & (F.length(text) <= chars) & F.rlike(text, F.lit(r"\p{L}")))
     rows = rows.select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.xxhash64(text).alias("hash"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("hash"))
-    # Hashes are chosen first; the rank filter is pushed below the exchange, so a task sends only this many of a
-    # language. The chosen ones, no more than that many for each language, then fetch their texts, copies once.
-    chosen = rows.select("lang", "hash").distinct().withColumn("rank", rank).where(F.col("rank") <= per_language).drop("rank")
+    # Hashes are chosen first, in 64 parts of a language and then among the best of each part, so that no task
+    # sees more than 64 times the sample. The chosen ones then fetch their texts, copies once.
+    chosen = rows.select("lang", "hash", F.pmod("hash", F.lit(64)).alias("part")).distinct()
+    for group in (("lang", "part"), ("lang",)):
+        rank = F.row_number().over(Window.partitionBy(*group).orderBy("hash"))
+        chosen = chosen.withColumn("rank", rank).where(F.col("rank") <= per_language).drop("rank")
+    chosen = chosen.drop("part")
     return rows.join(F.broadcast(chosen), ["lang", "hash"]).dropDuplicates(["lang", "hash"])
 
 
