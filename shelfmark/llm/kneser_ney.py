@@ -1,12 +1,14 @@
-"""A modified Kneser-Ney bigram model, interpolated, over sorted hash arrays.
+"""A modified Kneser-Ney model, interpolated, of any order, over sorted hash arrays.
 
-Words are 64-bit hashes. Tasks count pairs of neighbours in large chunks and deal the sorted chunks by
-context; a second task per shard merges them to one sorted array of pairs with counts and one of
-contexts with their totals, written as flat files to the shared folder, and deals the words on, whose
-arrays are merged the same way. Workers map these files and look up sorted queries shard by shard, so the
-model need not fit a worker's memory and only pages that are asked for are read.
+Words are 64-bit hashes. Tasks count n-grams of the highest order in large chunks and deal them by their last
+two words, which are the last two of all their shorter forms as well: a second task per shard merges them, drops
+the first word time and again, and so has each shorter n-gram whole, with its count and the number of words
+before it. It writes the n-grams of each length as flat sorted files to the shared folder and deals sums of
+contexts and words on, whose arrays are merged the same way. Workers map these files and look up sorted queries
+shard by shard, so the model need not fit a worker's memory and only pages that are asked for are read.
 
-The order is two: counts of longer n-grams of a corpus take several times the corpus itself on disk.
+One start stands before each text; n-grams that begin with it keep their plain count on each level, as nothing
+can come before them. A model of order n also answers each lower order.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ..session import cut_lineage, new_path
+from ..session import new_path
 from .common import words_of
 from .files import map_file, write_file
 
@@ -28,8 +30,9 @@ from .files import map_file, write_file
 CHUNK = 3_000_000
 LOOKUP = 1_000_000
 SHARDS = 32
-# Words cannot hold blanks, so these two are none.
-END, START = (np.uint64(xxhash.xxh64_intdigest(mark)) for mark in (b"\n", b"\n\n"))
+ORDER = 3
+# Words cannot hold blanks, so these three are none. Nothing comes before a start.
+END, START, NOTHING = (np.uint64(xxhash.xxh64_intdigest(mark)) for mark in (b"\n", b"\n\n", b"\n\n\n"))
 ODD, FIRST = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -42,12 +45,16 @@ def token_hashes(text: str | None) -> np.ndarray:
     return out
 
 
-def contexts_of(tokens: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """The token before each token; a start before the first of each text."""
-    before = np.empty_like(tokens)
-    before[1:] = tokens[:-1]
-    before[starts] = START
-    return before
+def history_of(tokens: np.ndarray, starts: np.ndarray, order: int) -> list[np.ndarray]:
+    """The tokens one, two, ... places before each token: a start before the first of each text, nothing before that."""
+    out, last, mark = [], tokens, START
+    for _ in range(order - 1):
+        before = np.empty_like(tokens)
+        before[1:] = last[:-1]
+        before[starts] = mark
+        out.append(before)
+        last, mark = before, NOTHING
+    return out
 
 
 def pair_keys(before: np.ndarray, tokens: np.ndarray) -> np.ndarray:
@@ -56,6 +63,17 @@ def pair_keys(before: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     return mixed ^ (mixed >> np.uint64(32))
 
 
+def gram_keys(history: list[np.ndarray], tokens: np.ndarray) -> np.ndarray:
+    """Keys of tokens after their history, nearest first."""
+    for before in history:
+        tokens = pair_keys(before, tokens)
+    return tokens
+
+
+def context_keys(history: list[np.ndarray]) -> np.ndarray:
+    return gram_keys(history[1:], history[0])
+
+
 def _sums(keys: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
     """Sorted distinct keys and the sums of their values."""
     order = np.argsort(keys, kind="stable")
@@ -64,27 +82,34 @@ def _sums(keys: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
     return [keys[heads], *(np.add.reduceat(v[order], heads) if len(heads) else v[:0] for v in values)]
 
 
-def _count_pairs(shards: int):
-    """Rows ``(shard, pairs)``: each a chunk's distinct pairs of some contexts, packed."""
+def _packed(values: np.ndarray) -> bytes:
+    return pa.compress(np.ascontiguousarray(values).tobytes(), codec="zstd", asbytes=True) if values.size else b""
+
+
+def _unpacked(data: bytes, kind: str, size: int) -> np.ndarray:
+    if not size:
+        return np.empty(0, kind)
+    return np.frombuffer(pa.decompress(data, size * np.dtype(kind).itemsize, codec="zstd", asbytes=True), kind)
+
+
+def _count_grams(shards: int, order: int):
+    """Rows ``(shard, size, words, grams, counts)``: each a chunk's distinct n-grams of some last pairs, as places in its words."""
     def flush(texts: list[np.ndarray]) -> pd.DataFrame:
         tokens = np.concatenate(texts)
         starts = np.cumsum([0] + [len(t) for t in texts[:-1]])
-        before = contexts_of(tokens, starts)
-        keys, index, counts = np.unique(pair_keys(before, tokens), return_index=True, return_counts=True)
-        before, tokens = before[index], tokens[index]
-        shard = (before % np.uint64(shards)).astype(np.int64)
-        order = np.lexsort((before, shard))
-        before, tokens, counts, shard = before[order], tokens[order], counts[order], shard[order]
+        history = history_of(tokens, starts, order)
+        _, index, counts = np.unique(gram_keys(history, tokens), return_index=True, return_counts=True)
+        columns = [x[index] for x in (tokens, *history)]
+        shard = (pair_keys(columns[1], columns[0]) % np.uint64(shards)).astype(np.int32)
+        place = np.lexsort((columns[1], columns[0], shard))
+        columns, counts, shard = [x[place] for x in columns], counts[place].astype(np.uint32), shard[place]
         cuts = np.append(np.flatnonzero(np.concatenate(([True], shard[1:] != shard[:-1]))), len(shard))
         rows = []
         for a, b in zip(cuts[:-1], cuts[1:]):
-            own = before[a:b]
-            heads = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
-            rows.append((
-                int(shard[a]), own[heads].tobytes(), np.diff(np.append(heads, b - a)).astype(np.uint32).tobytes(),
-                tokens[a:b].tobytes(), counts[a:b].astype(np.uint32).tobytes(),
-            ))
-        return pd.DataFrame(rows, columns=["shard", "contexts", "widths", "tokens", "counts"])
+            words, grams = np.unique(np.concatenate([x[a:b] for x in columns]), return_inverse=True)
+            grams = grams.astype(_place_kind(len(words)))
+            rows.append((int(shard[a]), int(b - a), words.tobytes(), _packed(grams), _packed(counts[a:b])))
+        return pd.DataFrame(rows, columns=["shard", "size", "words", "grams", "counts"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, size = [], 0
@@ -102,8 +127,13 @@ def _count_pairs(shards: int):
     return run
 
 
-COUNTS = "shard long, contexts binary, widths binary, tokens binary, counts binary"
-WORDS = "shard long, words binary, counts binary, befores binary, stats array<long>"
+COUNTS = "shard long, size long, words binary, grams binary, counts binary"
+SUMS = "kind string, shard long, size long, keys binary, sums binary"
+STATS = "kind string, stats array<long>"
+
+
+def _place_kind(words: int) -> str:
+    return "u2" if words <= 0x10000 else "u4"
 
 
 def _levels(counts: np.ndarray) -> list[int]:
@@ -111,45 +141,82 @@ def _levels(counts: np.ndarray) -> list[int]:
     return [int((counts == n).sum()) for n in (1, 2, 3, 4)]
 
 
-def _merge_pairs(folder: str, shards: int):
+def _kinds(counts: np.ndarray) -> list[np.ndarray]:
+    """Of each count: itself, and whether it is one, two or more."""
+    one, two = (counts == 1).astype(np.uint64), (counts == 2).astype(np.uint64)
+    return [counts, one, two, np.uint64(1) - one - two]
+
+
+def _write_table(folder: str, name: str, keys: np.ndarray, columns: list[np.ndarray]) -> None:
+    """Sorted keys and a byte a value; values from 255 on stand in lists of places and values."""
+    large = [np.flatnonzero(c >= 255) for c in columns]
+    parts = [np.array([len(keys), *map(len, large)], np.uint64), keys]
+    parts += [x.astype(np.uint64) for at, c in zip(large, columns) for x in (at, c[at])]
+    parts += [np.minimum(c, 255).astype(np.uint8) for c in columns]
+    write_file(folder, name, [x.tobytes() for x in parts])
+
+
+def _merge_grams(folder: str, shards: int, order: int):
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        read = lambda column, kind: np.concatenate([np.frombuffer(x, kind) for x in frame[column]])
-        before = np.repeat(read("contexts", np.uint64), read("widths", np.uint32))
-        tokens, counts = read("tokens", np.uint64), read("counts", np.uint32).astype(np.uint64)
-        order = np.lexsort((tokens, before))
-        before, tokens, counts = before[order], tokens[order], counts[order]
-        heads = np.flatnonzero(np.concatenate(([True], (before[1:] != before[:-1]) | (tokens[1:] != tokens[:-1]))))
-        before, tokens, counts = before[heads], tokens[heads], np.add.reduceat(counts, heads)
-        one, two = (counts == 1).astype(np.uint64), (counts == 2).astype(np.uint64)
-        contexts = _sums(before, counts, one, two, np.uint64(1) - one - two)
-        shard = int(frame["shard"].iloc[0])
-        write_file(folder, f"contexts-{shard}", [contexts[0].tobytes(), *(x.tobytes() for x in contexts[1:])])
-        keys = pair_keys(before, tokens)
-        order = np.argsort(keys, kind="stable")
-        write_file(folder, f"pairs-{shard}", [keys[order].tobytes(), np.minimum(counts[order], 0xFFFFFFFF).astype(np.uint32).tobytes()])
-        words, total, befores = _sums(tokens, counts, np.ones(len(tokens), np.uint64))
-        stats = _levels(counts)
-        to = (words % np.uint64(shards)).astype(np.int64)
-        rows = []
-        for target in range(shards):
-            own = to == target
-            if own.any() or target == 0:
-                rows.append((
-                    target, words[own].tobytes(), total[own].tobytes(), befores[own].astype(np.uint32).tobytes(),
-                    stats if target == 0 else [0, 0, 0, 0],
-                ))
-        return pd.DataFrame(rows, columns=["shard", "words", "counts", "befores", "stats"])
+        number, held = int(frame["shard"].iloc[0]), []
+        for size, words, grams in zip(frame["size"], frame["words"], frame["grams"]):
+            words = np.frombuffer(words, np.uint64)
+            held.append(words[_unpacked(grams, _place_kind(len(words)), size * order)].reshape(order, size))
+        tokens, *history = np.concatenate(held, axis=1)
+        del held
+        counts = np.concatenate([_unpacked(c, "u4", n) for c, n in zip(frame["counts"], frame["size"])]).astype(np.uint64)
+        rows, levels = [], []
+
+        def deal(kind: str, keys: np.ndarray, *values: np.ndarray) -> None:
+            keys, *values = _sums(keys, *values)
+            target = (keys % np.uint64(shards)).astype(np.int32)
+            place = np.argsort(target, kind="stable")
+            keys, values, target = keys[place], [v[place] for v in values], target[place]
+            cuts = np.append(np.flatnonzero(np.concatenate(([True], target[1:] != target[:-1]))), len(target))
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                rows.append((kind, int(target[a]), int(b - a), keys[a:b].tobytes(), _packed(np.concatenate([v[a:b] for v in values]))))
+
+        for length in range(order, 0, -1):
+            keys = gram_keys(history, tokens)
+            place = np.argsort(keys, kind="stable")
+            heads = np.flatnonzero(np.concatenate(([True], keys[place][1:] != keys[place][:-1])))
+            counts = np.add.reduceat(counts[place], heads)
+            # Chunks may hold an n-gram each; of shorter ones each row is a word before them.
+            befores = np.diff(np.append(heads, len(place))).astype(np.uint64)
+            first = place[heads]
+            keys, tokens, history = keys[first], tokens[first], [h[first] for h in history]
+            if length == 1:
+                deal("words", tokens, counts, befores)
+                break
+            real = history[-1] != NOTHING
+            values = [counts] if length == order else [counts, np.where(history[-1] == START, counts, befores)]
+            values = [v[real] for v in values]
+            _write_table(folder, f"grams{length}-{number}", keys[real], values)
+            if real.any():
+                deal(f"contexts{length}", context_keys(history)[real], *(k for v in values for k in _kinds(v)))
+            levels += [n for v in values for n in _levels(v)]
+            history = history[:-1]
+        rows.append(("levels", 0, len(levels), b"", _packed(np.array(levels, np.uint64))))
+        return pd.DataFrame(rows, columns=["kind", "shard", "size", "keys", "sums"])
 
     return run
 
 
-def _merge_words(folder: str):
+def _merge_sums(folder: str, order: int):
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        read = lambda column, kind: np.concatenate([np.frombuffer(x, kind) for x in frame[column]])
-        words, counts, befores = _sums(read("words", np.uint64), read("counts", np.uint64), read("befores", np.uint32).astype(np.uint64))
-        write_file(folder, f"words-{int(frame['shard'].iloc[0])}", [words.tobytes(), counts.tobytes(), befores.tobytes()])
-        stats = [len(words), int(counts.sum()), int(befores.sum()), *_levels(befores), int((befores >= 3).sum())]
-        return pd.DataFrame({"stats": [stats]})
+        kind, number = frame["kind"].iloc[0], int(frame["shard"].iloc[0])
+        if kind == "levels":
+            stats = np.sum([_unpacked(x, "u8", n) for x, n in zip(frame["sums"], frame["size"])], axis=0)
+            return pd.DataFrame({"kind": [kind], "stats": [[int(x) for x in stats]]})
+        width = 2 if kind == "words" else 4 if kind == f"contexts{order}" else 8
+        values = np.concatenate([_unpacked(x, "u8", n * width).reshape(width, n) for x, n in zip(frame["sums"], frame["size"])], axis=1)
+        keys, *values = _sums(np.concatenate([np.frombuffer(x, np.uint64) for x in frame["keys"]]), *values)
+        _write_table(folder, f"{kind}-{number}", keys, values)
+        stats = [len(keys)]
+        if kind == "words":
+            counts, befores = values
+            stats += [int(counts.sum()), int(befores.sum()), *_levels(befores), int((befores >= 3).sum())]
+        return pd.DataFrame({"kind": [kind], "stats": [stats]})
 
     return run
 
@@ -165,102 +232,133 @@ def discounts(levels: list[int]) -> tuple[float, float, float]:
 
 
 @dataclass
-class BigramModel:
+class KneserNeyModel:
     folder: str
     shards: int
+    order: int
     tokens: int  # in training
     vocabulary: int  # distinct tokens
     pairs: int  # distinct pairs
-    upper: tuple[float, float, float]
-    lower: tuple[float, float, float]
-    spare: float  # share of the lower order that goes to all words alike
+    plain: dict[int, tuple[float, float, float]]  # discounts of counts, by length
+    after: dict[int, tuple[float, float, float]]  # discounts of numbers of words before, by length
+    spare: float  # share of the lowest order that goes to all words alike
 
-    def _find(self, kind: str, keys: np.ndarray, shard: np.ndarray, widths: tuple[str, ...]) -> list[np.ndarray]:
-        """Values of sorted distinct keys in the files of their shards; 0 for unknown keys."""
-        out = [np.zeros(len(keys)) for _ in widths]
+    def _find(self, kind: str, keys: np.ndarray, shard: np.ndarray, width: int) -> list[np.ndarray]:
+        """Values of distinct keys in the files of their shards; 0 for unknown keys."""
+        out = [np.zeros(len(keys)) for _ in range(width)]
         for number in np.unique(shard):
             asked = np.flatnonzero(shard == number)
-            name = f"{kind}-{number}"
             try:
-                whole = map_file(self.folder, name, "u1")
+                whole = map_file(self.folder, f"{kind}-{number}", "u1")
             except FileNotFoundError:
                 continue  # no training text has a key of this shard
-            each = 8 + sum(np.dtype(w).itemsize for w in widths)
-            size = len(whole) // each
-            held = whole[:8 * size].view(np.uint64)
+            size, *large = (int(x) for x in whole[:8 * (1 + width)].view(np.uint64))
+            if not size:
+                continue
+            start = 8 * (1 + width)
+            held = whole[start:start + 8 * size].view(np.uint64)
             at = np.searchsorted(held, keys[asked])
             at[at == size] = 0
-            known = held[at] == keys[asked] if size else np.zeros(len(asked), bool)
-            start = 8 * size
-            for column, width in zip(out, widths):
-                end = start + size * np.dtype(width).itemsize
-                column[asked[known]] = whole[start:end].view(width)[at[known]]
-                start = end
+            known = held[at] == keys[asked]
+            asked, at = asked[known], at[known]
+            start += 8 * size
+            lists = []
+            for n in large:
+                lists.append((whole[start:start + 8 * n].view(np.uint64), whole[start + 8 * n:start + 16 * n].view(np.uint64)))
+                start += 16 * n
+            for column, (places, values) in zip(out, lists):
+                found = whole[start:start + size][at].astype(float)
+                above = found == 255
+                found[above] = values[np.searchsorted(places, at[above].astype(np.uint64))]
+                column[asked] = found
+                start += size
         return out
 
-    def probabilities(self, before: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Of each token after the one before, and how often it occurs in training."""
+    def probabilities(self, history: list[np.ndarray], tokens: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+        """Of each token after those before it, by the model of each order from two on, and how often it occurs in training."""
         shards = np.uint64(self.shards)
         words, word = np.unique(tokens, return_inverse=True)
-        count, befores = self._find("words", words, words % shards, ("u8", "u8"))
-        contexts, context = np.unique(before, return_inverse=True)
-        total, one, two, more = self._find("contexts", contexts, contexts % shards, ("u8",) * 4)
-        keys, index, pair = np.unique(pair_keys(before, tokens), return_index=True, return_inverse=True)
-        (seen,) = self._find("pairs", keys, before[index] % shards, ("u4",))
-        low = np.maximum(befores - self._off(self.lower, befores), 0) / max(self.pairs, 1) + self.spare / (self.vocabulary + 1)
-        d1, d2, d3 = self.upper
-        sure = np.maximum(total, 1)
-        back = np.where(total > 0, (d1 * one + d2 * two + d3 * more) / sure, 1.0)
-        high = np.maximum(seen - self._off(self.upper, seen), 0)[pair] / sure[context]
-        return high + back[context] * low[word], count[word]
+        count, befores = self._find("words", words, words % shards, 2)
+        low = np.maximum(befores - self._off(self.after[1], befores), 0) / max(self.pairs, 1) + self.spare / (self.vocabulary + 1)
+        last, out = low[word], []
+        for length in range(2, self.order + 1):
+            own, kinds = history[:length - 1], 1 if length == self.order else 2
+            contexts, context = np.unique(context_keys(own), return_inverse=True)
+            sums = self._find(f"contexts{length}", contexts, contexts % shards, 4 * kinds)
+            keys, index, gram = np.unique(gram_keys(own, tokens), return_index=True, return_inverse=True)
+            seen = self._find(f"grams{length}", keys, pair_keys(own[0][index], tokens[index]) % shards, kinds)
+
+            def mixed(kind: int, steps: tuple[float, float, float]) -> np.ndarray:
+                total, one, two, more = sums[4 * kind:4 * kind + 4]
+                sure = np.maximum(total, 1)
+                back = np.where(total > 0, (steps[0] * one + steps[1] * two + steps[2] * more) / sure, 1.0)
+                high = np.maximum(seen[kind] - self._off(steps, seen[kind]), 0)[gram] / sure[context]
+                return high + back[context] * last  # noqa: B023
+
+            out.append(mixed(0, self.plain[length]))
+            if kinds == 2:
+                last = mixed(1, self.after[length])
+        return out, count[word]
 
     @staticmethod
     def _off(steps: tuple[float, float, float], counts: np.ndarray) -> np.ndarray:
         return np.array((0.0, *steps))[np.minimum(counts, 3).astype(np.int64)]
 
+    @property
+    def scores(self) -> list[str]:
+        """Names of the scores: of bigrams, then of each higher order."""
+        return ["score", *(f"score_{n}" for n in range(3, self.order + 1))]
+
     def score(self, texts: list[np.ndarray]) -> pd.DataFrame:
-        """``(n_tokens, n_known, base_score, score)`` of texts given as token hashes."""
+        """``(n_tokens, n_known, base_score, score, score_3, ...)`` of texts given as token hashes."""
         tokens = np.concatenate(texts)
         sizes = np.array([len(t) for t in texts])
         starts = np.cumsum(sizes) - sizes
-        chance, count = self.probabilities(contexts_of(tokens, starts), tokens)
+        chances, count = self.probabilities(history_of(tokens, starts, self.order), tokens)
         base = np.log10((count + 1) / (self.tokens + 1 * (self.vocabulary + 1)))
         return pd.DataFrame({
             "n_tokens": sizes, "n_known": np.add.reduceat((count > 0).astype(np.int64), starts),
-            "base_score": np.add.reduceat(base, starts), "score": np.add.reduceat(np.log10(chance), starts),
-        })
+            "base_score": np.add.reduceat(base, starts),
+        } | {name: np.add.reduceat(np.log10(chance), starts) for name, chance in zip(self.scores, chances)})
 
 
-def train(docs: DataFrame, text: str = "text", shards: int | None = None) -> BigramModel:
+def train(docs: DataFrame, text: str = "text", shards: int | None = None, order: int = ORDER) -> KneserNeyModel:
     """Count all given documents. Null and empty texts are one end each; without documents all is unknown.
 
-    A shard holds the pairs of its contexts, which a context has at most one of for each word.
+    A shard holds the n-grams of its last pairs, and sums of its contexts from each shard.
     """
+    if order < 2:
+        raise ValueError("the order is two at least")
     spark = docs.sparkSession
     shards = shards or max(SHARDS, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    folder = new_path(spark, "bigrams")
-    counted = docs.select(F.col(text).alias("text")).mapInPandas(_count_pairs(shards), COUNTS)
-    words = counted.groupBy("shard").applyInPandas(_merge_pairs(folder, shards), WORDS)
-    words = cut_lineage(words, "words")
-    levels = words.agg(*[F.coalesce(F.sum(F.get("stats", F.lit(i))), F.lit(0)) for i in range(4)]).first()
-    merged = words.drop("stats").groupBy("shard").applyInPandas(_merge_words(folder), "stats array<long>")
-    merged = cut_lineage(merged, "word-stats")
-    stats = [int(x) for x in merged.agg(*[F.coalesce(F.sum(F.get("stats", F.lit(i))), F.lit(0)) for i in range(8)]).first()]
-    vocabulary, tokens, pairs, *low, three = stats
-    upper, lower = discounts([int(x) for x in levels]), discounts(low)
-    spare = (lower[0] * low[0] + lower[1] * low[1] + lower[2] * three) / pairs if pairs else 1.0
-    return BigramModel(folder, shards, tokens, vocabulary, pairs, upper, lower, spare)
-
-
-def scored(docs: DataFrame, model: BigramModel, text: str = "text", carry: list[str] | None = None) -> DataFrame:
-    """``(doc, n_tokens, n_known, base_score, score)`` for every row; ``doc`` is a struct of the columns to carry.
-
-    Scores are log10 probabilities of the whole text and its end.
+    folder = new_path(spark, "grams")
+    counted = docs.select(F.col(text).alias("text")).mapInPandas(_count_grams(shards, order), COUNTS)
+    sums = counted.groupBy("shard").applyInPandas(_merge_grams(folder, shards, order), SUMS)
+    merged = sums.groupBy("kind", "shard").applyInPandas(_merge_sums(folder, order), STATS)
+    # One row of a few numbers for each kind.
+    size = 8 * order
+    found = merged.groupBy("kind").agg(F.array(*[F.coalesce(F.sum(F.get("stats", F.lit(i))), F.lit(0)) for i in range(size)]).alias("stats"))
+    stats = {r["kind"]: [int(x) for x in r["stats"]] for r in found.collect()}
+    vocabulary, tokens, pairs, *low, three = stats.get("words", [0] * 8)[:8]
+    steps = stats.get("levels", [0] * size)
+    plain, after = {}, {1: discounts(low)}
+    for length in range(order, 1, -1):
+        plain[length], steps = discounts(steps[:4]), steps[4:]
+        if length < order:
+            after[length], steps = discounts(steps[:4]), steps[4:]
+    spare = (after[1][0] * low[0] + after[1][1] * low[1] + after[1][2] * three) / pairs if pairs else 1.0
+    return KneserNeyModel(folder, shards, order, tokens, vocabulary, pairs, plain, after, spare)
+
+
+def scored(docs: DataFrame, model: KneserNeyModel, text: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """``(doc, n_tokens, n_known, base_score, score, score_3, ...)`` for every row; ``doc`` is a struct of the columns to carry.
+
+    Scores are log10 probabilities of the whole text and its end: ``score`` of bigrams, ``score_3`` of trigrams.
     """
     rows = docs.select(F.struct(*[F.col(c) for c in carry or docs.columns]).alias("doc"), F.col(text).alias("text"))
     schema = T.StructType([
         rows.schema["doc"], *[T.StructField(c, T.LongType()) for c in ("n_tokens", "n_known")],
-        *[T.StructField(c, T.DoubleType()) for c in ("base_score", "score")],
+        *[T.StructField(c, T.DoubleType()) for c in ("base_score", *model.scores)],
     ])
 
     def run(batches: Iterator) -> Iterator:

@@ -96,6 +96,7 @@ def op7_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc.doc_id", fold("doc.doc_id", 7).alias("fold"), "n_tokens", "n_known",
         F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score",
         kneser_ney.perplexity("score", "n_tokens").alias("perplexity"),
+        "score_3", kneser_ney.perplexity("score_3", "n_tokens").alias("perplexity_3"),
     ).withColumn("held_out", F.col("fold") == 2).drop("fold")
 
 
