@@ -4,8 +4,11 @@ The kernel of two texts is the number of character n-grams of one to three chara
 (each counted once, a blended spectrum of presences), divided by the geometric mean of their own
 numbers. Landmarks are texts of the training sample; the kernel between all texts and the landmarks,
 multiplied by the inverse root of the kernel among the landmarks, gives the features of a kernel ridge
-regression, one target per language against the rest. A batch of texts is scored by two matrix
-products: presences by landmarks, and kernel values by regression weights.
+regression, one target per language against the rest. As the kernel is a product of presences, landmarks
+and weights are multiplied once: a text's score is the sum of the weights of its n-grams, divided by the
+root of their number.
+
+N-grams are of real characters, each a number of its own, so that no two of any scripts are taken for one.
 """
 
 from __future__ import annotations
@@ -21,87 +24,56 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 SAMPLE_TEXTS = 400
 SAMPLE_CHARS = 20_000
 LANDMARKS = 40
-# Letters with a class of their own; all others share 16 classes by code point.
-OWN_LETTERS = 47
 RIDGE = 1e-2
-BATCH = 128
-# Numbers of n-grams: 64 classes, their pairs, their triples.
-PAIRS, TRIPLES = 64, 64 + 64 ** 2
-GRAMS = TRIPLES + 64 ** 3
+# Presences held at once while the kernel of the sample is computed.
+BLOCK = 1 << 24
+# More than any code point: an n-gram is a number of up to three such digits, after its length less one.
+BASE = 0x110000
 NO_LANGUAGE = "und"
 
 
 def letter_table() -> np.ndarray:
-    """Packed bits: which code points are letters."""
-    return np.packbits(np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000))
+    """Which code points are letters."""
+    return np.fromiter((chr(c).isalpha() for c in range(BASE)), bool, BASE)
 
 
 def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.lower().encode("utf-32-le", "replace"), "<u4")
 
 
-@dataclass
-class Alphabet:
-    """Character classes 0..63: 0 between letters, then frequent letters, then 16 shared classes."""
-
-    classes: np.ndarray  # by code point
-
-    @classmethod
-    def of(cls, texts: list[str]) -> Alphabet:
-        letters = np.unpackbits(letter_table()).astype(bool)
-        counts = np.zeros(0x110000, np.int64)
-        for text in texts:
-            points = code_points(text)
-            counts += np.bincount(points[letters[points]], minlength=0x110000)
-        order = np.lexsort((np.arange(0x110000), -counts))[:OWN_LETTERS]
-        classes = np.where(letters, 1 + OWN_LETTERS + np.arange(0x110000) % 16, 0).astype(np.uint8)
-        classes[order[counts[order] > 0]] = 1 + np.arange((counts[order] > 0).sum())
-        return cls(classes)
-
-    def grams(self, text: str) -> np.ndarray | None:
-        """Distinct n-grams as numbers below ``GRAMS``; None for a text without letters."""
-        marks = self.classes[code_points(text)]
-        inside = marks > 0
-        if not inside.any():
-            return None
-        # One blank stands for everything between two words, and at both ends.
-        keep = inside.copy()
-        keep[1:] |= inside[:-1]
-        marks = np.concatenate(([0], marks[keep], [0])).astype(np.int32)
-        pairs = marks[:-1] * 64 + marks[1:]
-        found = np.zeros(GRAMS, bool)
-        found[marks] = True
-        found[PAIRS + pairs] = True
-        found[TRIPLES + pairs[:-1] * 64 + marks[2:]] = True
-        found[0] = False
-        return np.flatnonzero(found)
+def grams_of(text: str, letters: np.ndarray) -> np.ndarray | None:
+    """Sorted distinct n-grams as numbers; None for a text without letters."""
+    points = code_points(text)
+    inside = letters[points]
+    if not inside.any():
+        return None
+    # One blank, 0, stands for everything between two words, and at both ends.
+    keep = inside.copy()
+    keep[1:] |= inside[:-1]
+    marks = np.concatenate(([0], np.where(inside, points, 0)[keep], [0])).astype(np.int64)
+    pairs = marks[:-1] * BASE + marks[1:]
+    triples = pairs[:-1] * BASE + marks[2:]
+    return np.unique(np.concatenate((marks[marks > 0], pairs + BASE ** 3, triples + 2 * BASE ** 3)))
 
 
 @dataclass
 class LanguageModel:
-    alphabet: Alphabet
-    column: np.ndarray  # of each n-gram among those of the landmarks, or -1
-    landmarks: np.ndarray  # presences, n-grams x landmarks, each landmark divided by the root of its number
-    weights: np.ndarray  # landmarks x languages
+    letters: np.ndarray  # by code point
+    known: np.ndarray  # sorted n-grams of the landmarks
+    weights: np.ndarray  # known n-grams x languages
     languages: list[str]
 
     @classmethod
     def fit(cls, texts: list[str], languages: list[str]) -> LanguageModel:
-        alphabet = Alphabet.of(texts)
-        rows = [(g, lang) for t, lang in zip(texts, languages) if (g := alphabet.grams(t)) is not None]
+        letters = letter_table()
+        rows = [(g, lang) for t, lang in zip(texts, languages) if (g := grams_of(t, letters)) is not None]
         names = sorted({lang for _, lang in rows})
         if not names:
-            return cls(alphabet, np.full(GRAMS, -1, np.int32), np.zeros((0, 0), np.float32), np.zeros((0, 0)), [])
+            return cls(letters, np.empty(0, np.int64), np.zeros((0, 0)), [])
         chosen = [g for name in names for g in [r[0] for r in rows if r[1] == name][:LANDMARKS]]
         known = np.unique(np.concatenate(chosen))
-        column = np.full(GRAMS, -1, np.int32)
-        column[known] = np.arange(len(known))
-        landmarks = np.zeros((len(known), len(chosen)), np.float32)
-        for i, grams in enumerate(chosen):
-            landmarks[column[grams], i] = 1 / np.sqrt(len(grams))
-        model = cls(alphabet, column, landmarks, np.zeros((len(chosen), len(names))), names)
-        kernel = np.concatenate([model.kernel([g for g, _ in rows[i:i + BATCH]]) for i in range(0, len(rows), BATCH)])
-        among = model.kernel(chosen)
+        model = cls(letters, known, np.zeros((len(known), len(names))), names)
+        kernel, among = model.kernel([g for g, _ in rows], chosen), model.kernel(chosen, chosen)
         values, vectors = np.linalg.eigh((among + among.T) / 2)
         sound = values > 1e-6 * values.max()
         root = vectors[:, sound] / np.sqrt(values[sound])
@@ -112,28 +84,43 @@ class LanguageModel:
         gram = (features * share[:, None]).T @ features
         ridge = RIDGE * np.trace(gram) / len(gram)
         solved = np.linalg.solve(gram + ridge * np.eye(len(gram)), (features * share[:, None]).T @ targets)
-        model.weights = root @ solved
+        for grams, own in zip(chosen, root @ solved):
+            model.weights[model.columns(grams)] += own / np.sqrt(len(grams))
         return model
 
-    def kernel(self, grams: list[np.ndarray]) -> np.ndarray:
-        present = np.zeros((len(grams), len(self.landmarks)), np.float32)
-        sizes = np.ones(len(grams))
-        for i, own in enumerate(grams):
-            at = self.column[own]
-            present[i, at[at >= 0]] = 1
-            sizes[i] = len(own)
-        return (present @ self.landmarks).astype(float) / np.sqrt(sizes)[:, None]
+    def columns(self, grams: np.ndarray) -> np.ndarray:
+        """Places of n-grams among the known ones, without those that are not."""
+        at = np.searchsorted(self.known, grams)
+        at[at == len(self.known)] = 0
+        return at[self.known[at] == grams]
+
+    def kernel(self, left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+        """Of all texts with all landmarks, block by block."""
+        step = max(1, BLOCK // len(self.known))
+
+        def presences(grams: list[np.ndarray]) -> np.ndarray:
+            out = np.zeros((len(grams), len(self.known)), np.float32)
+            for row, own in zip(out, grams):
+                row[self.columns(own)] = 1
+            return out
+
+        out = np.zeros((len(left), len(right)))
+        for i in range(0, len(right), step):
+            held = presences(right[i:i + step]).T
+            for j in range(0, len(left), step):
+                out[j:j + step, i:i + step] = presences(left[j:j + step]) @ held
+        sizes = [np.sqrt([len(g) for g in side]) for side in (left, right)]
+        return out / sizes[0][:, None] / sizes[1]
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         names, scores = [NO_LANGUAGE] * len(texts), np.zeros(len(texts))
-        for at in range(0, len(texts), BATCH):
-            grams = [(i, g) for i in range(at, min(at + BATCH, len(texts)))
-                     if texts[i] and (g := self.alphabet.grams(texts[i])) is not None]
-            if not grams or not self.languages:
+        for i, text in enumerate(texts):
+            grams = grams_of(text, self.letters) if text and self.languages else None
+            if grams is None:
                 continue
-            values = self.kernel([g for _, g in grams]) @ self.weights
-            for (i, _), best, row in zip(grams, values.argmax(axis=1), values):
-                names[i], scores[i] = self.languages[best], min(max(row[best], 0.0), 1.0)
+            row = self.weights[self.columns(grams)].sum(axis=0) / np.sqrt(len(grams))
+            best = row.argmax()
+            names[i], scores[i] = self.languages[best], min(max(row[best], 0.0), 1.0)
         return names, scores
 
 
@@ -164,7 +151,7 @@ def identify(spark: SparkSession, text: Column | str, model: LanguageModel) -> C
     ``und`` with score 0 for a null text, one without letters, and any text if nothing was learned. Of
     equal scores the language that sorts first wins. The score is the winner's regression value cut to 0..1.
     """
-    shared = spark.sparkContext.broadcast(model)  # at most 4 MB a language, whatever the corpus
+    shared = spark.sparkContext.broadcast(model)  # bounded by the landmarks, whatever the corpus
 
     @F.pandas_udf("lang string, score double")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
