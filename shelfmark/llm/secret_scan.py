@@ -2,8 +2,9 @@
 
 Candidates are found by pattern in every text. Their hashes are counted over the whole corpus by
 distinct repositories and owners: what many owners have is an example copied from some manual, what one
-owner has alone looks like a live credential. Three kinds of candidate are always spans. The fourth, a
-long mixed run of characters without any key name, becomes a span only if it is its owner's own.
+few have looks like a live credential. Three kinds of candidate are always spans. The fourth, a long mixed
+run of characters without any key name, becomes a span unless it is an example. For this kind copies of one
+text in several places count as their first owner's, so that they do not turn its secret into an example.
 
 DataFrame functions only: no code runs in Python on the executors.
 """
@@ -38,8 +39,9 @@ KINDS = (
     Kind("hex", "[0-9a-f]{24,}", 0, 24),
     Kind("blob", "[A-Za-z0-9+/_-]{32,}", 0, 32, (), ("[0-9]", "[a-z]", "[A-Z]"), False),
 )
-# A candidate of this many owners is an example; a blob is a span only if it has one owner.
+# A candidate of this many owners is an example; a blob of this many holders is none of the spans.
 EXAMPLE_OWNERS = 3
+# What the DuckDB counterpart grants a blob. It is narrower than the operator: it differs where a blob has two owners or more.
 BLOB_OWNERS = 1
 MARK = "[SECRET]"
 SPAN = "struct<start:bigint,rank:int,end:bigint,kind:string,base:boolean,hash:bigint>"
@@ -88,42 +90,50 @@ def candidate_spans(text: Column | str) -> Column:
 
 
 def ownership(candidates: DataFrame) -> DataFrame:
-    """``(hash, repositories, owners)`` of rows ``(hash, repository, owner)``.
+    """``(hash, repositories, owners, holders)`` of rows ``(hash, repository, owner, text)``, the text as its hash.
 
-    A repository is one of its owner. Each step is a partial count, so a hash that a third of all
-    documents hold shrinks to a row per task before any exchange. A null counts as one owner or repository.
+    A repository is one of its owner. Holders are owners over distinct texts: each text counts for the first of its
+    owners alone. Each step is a partial count, so a hash that a third of all documents hold shrinks to a row per
+    task before any exchange. A null counts as one owner or repository.
     """
     pairs = candidates.groupBy("hash", "owner", "repository").agg(F.count(F.lit(1)).alias("n"))
     owners = pairs.groupBy("hash", "owner").agg(F.count(F.lit(1)).alias("repositories"))
-    return owners.groupBy("hash", spread("hash")).agg(
-        F.sum("repositories").alias("repositories"), F.count(F.lit(1)).alias("owners")
-    ).select("hash", "repositories", "owners")
+    texts = candidates.groupBy("hash", "text").agg(F.min(F.struct("owner")).alias("first"))
+    holders = texts.select("hash", "first").distinct()
+    number = lambda n: F.lit(n).cast("long")
+    rows = owners.select("hash", "repositories", number(1).alias("owners"), number(0).alias("holders")).unionByName(
+        holders.select("hash", number(0).alias("repositories"), number(0).alias("owners"), number(1).alias("holders"))
+    )
+    return rows.groupBy("hash", spread("hash")).agg(
+        *[F.sum(c).alias(c) for c in ("repositories", "owners", "holders")]
+    ).select("hash", "repositories", "owners", "holders")
 
 
 def scan(docs: DataFrame, carry: list[str], text: str = "text", repository: str = "doc_id", owner: str = "source") -> DataFrame:
     """``(doc, spans)`` for every row; ``doc`` is a struct of the columns to ``carry``.
 
     ``spans`` is sorted by start, then kind, with ``(start, rank, end, kind, base, hash, repositories,
-    owners, live)``, positions in code points, end exclusive. Null, empty and blank texts have no spans. Repeated
+    owners, holders, live)``, positions in code points, end exclusive. Null, empty and blank texts have no spans. Repeated
     rows are scanned and returned as often as they come, and count once where repositories and owners are counted. Blobs
-    that overlap another span of their text, or have more than one owner, are left out.
+    that overlap another span of their text, or have as many holders as an example, are left out.
     """
     found = docs.select(
         F.struct(*[F.col(c) for c in carry]).alias("doc"), F.col(repository).alias("repository"),
-        F.col(owner).alias("owner"), candidate_spans(text).alias("spans"),
+        F.col(owner).alias("owner"), F.xxhash64(text).alias("text"), candidate_spans(text).alias("spans"),
     )
     # Written once: the numbers that bring the spans of a row together again must not change.
     found = cut_lineage(found.withColumn("row", F.monotonically_increasing_id()), "spans")
-    each = found.where(F.size("spans") > 0).select("row", "repository", "owner", F.explode("spans").alias("span"))
-    rows = each.select("row", "repository", "owner", "span", F.col("span.hash").alias("hash"))
-    counts = ownership(rows.select("hash", "repository", "owner"))
+    each = found.where(F.size("spans") > 0).select("row", "repository", "owner", "text", F.explode("spans").alias("span"))
+    rows = each.select("row", "repository", "owner", "text", "span", F.col("span.hash").alias("hash"))
+    counts = ownership(rows.select("hash", "repository", "owner", "text"))
     judged = rows.join(counts, "hash").select("row", F.struct(
-        "span.*", "repositories", "owners", (F.col("owners") < EXAMPLE_OWNERS).alias("live")
+        "span.*", "repositories", "owners", "holders",
+        (F.when(F.col("span.base"), F.col("owners")).otherwise(F.col("holders")) < EXAMPLE_OWNERS).alias("live"),
     ).alias("span"))
     lists = judged.groupBy("row").agg(F.array_sort(F.collect_list("span")).alias("judged"))
     base = F.filter("judged", lambda s: s["base"])
     alone = lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    kept = F.filter("judged", lambda s: s["base"] | ((s["owners"] <= BLOB_OWNERS) & alone(s)))
+    kept = F.filter("judged", lambda s: s["base"] | ((s["holders"] < EXAMPLE_OWNERS) & alone(s)))
     lists = lists.select("row", kept.alias("judged"))
     empty = found.where(F.size("spans") == 0).select("doc", F.array().cast(lists.schema["judged"].dataType).alias("spans"))
     full = found.where(F.size("spans") > 0).select("row", "doc").join(lists, "row").select("doc", F.col("judged").alias("spans"))
