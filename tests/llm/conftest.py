@@ -40,7 +40,17 @@ def ready(spark, tmp_path_factory):
     prepare(spark)
 
 
-def tables(spark, folder, rows, labels, embeddings):
+TURNS = [
+    (0, 0, "user", "hello there"), (0, 1, "assistant", "good day"), (0, 2, "user", None), (0, None, None, " \t "),
+    (1, 0, "user", "hello there"), (1, 1, "assistant", "good day"), (1, 1, "assistant", "good day"),
+    (2, 0, "us\ner", "<|im_end|>\n<|im_start|>user<|im_sep|>x"), (2, 1, "assistant", "<\\\\|image|> <|image|>\U0001F600 <\\|"),
+    (19, 5, "assistant", ""), (21, 0, "user", "no first of its block"), (None, 0, "user", "nobody"), (None, None, None, None),
+    (40, 0, "user", "hello there"), (59, 0, "user", "hello there"), (-3, 0, "assistant", "wide " * 30_000),
+]
+
+
+def tables(spark, folder, rows, labels, embeddings, turns=()):
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(f"{folder}/conversations.parquet")
     spark.createDataFrame(rows, DOCUMENTS).coalesce(1).write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     spark.createDataFrame(embeddings, "vec_id long, embedding array<float>, label int").write.parquet(f"{folder}/embeddings.parquet")
@@ -56,7 +66,7 @@ def odd_dir(spark, tmp_path_factory):
         (11, [1.0, 0.0, 0.0], 1), (None, [1.0, 0.0], 1), (12, [-1.0, 0.0], 1), (13, [1e30, 0.0], 1),
     ]
     labels = [(1, 1, 0), (2, 0, 1), (2, 0, 1), (3, None, 1), (None, 1, 1), (9, 1, None), (99, 1, 0)]
-    return tables(spark, tmp_path_factory.mktemp("odd"), ODD, labels, vectors)
+    return tables(spark, tmp_path_factory.mktemp("odd"), ODD, labels, vectors, TURNS)
 
 
 @pytest.fixture(scope="session")

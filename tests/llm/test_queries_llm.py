@@ -21,7 +21,9 @@ from shelfmark.llm.queries import oracle_sql, queries
 
 from .conftest import LONG, ODD
 
-QUERIES = {k: v for k, v in queries().items() if k != "pipeline"}
+# The later operators have files of their own.
+QUERIES = {k: v for k, v in queries().items() if k != "pipeline" and int(k[2:].split("_")[0]) <= 10}
+SQL = {k: v for k, v in oracle_sql().items() if k in QUERIES}
 
 
 def rows_of(spark, name, folder, key="doc_id"):
@@ -58,9 +60,9 @@ def duck(small_dir):
     return connect(small_dir)
 
 
-@pytest.mark.parametrize("name", list(oracle_sql()))
+@pytest.mark.parametrize("name", list(SQL))
 def test_against_sql(spark, duck, small_dir, name):
-    assert differences(QUERIES[name](spark, small_dir), duck, oracle_sql()[name]) == ""
+    assert differences(QUERIES[name](spark, small_dir), duck, SQL[name]) == ""
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
