@@ -21,10 +21,10 @@ import pandas as pd
 import regex
 from pyspark.sql import Column, functions as F
 
-# Pieces, parts of pieces and pairs a worker remembers; beyond that it forgets all and starts again.
+# Words a worker remembers, and each of pieces, parts of pieces, windows and pairs. With the lengths below that bounds the
+# bytes: some 200 a word, 500 at most, and 300 at most of the others. Words save the search for pieces, so they are more.
+WORDS = 1 << 18
 REMEMBERED = 1 << 18
-# Blank-separated words are remembered longer: they save the search for pieces.
-WORDS = 1 << 19
 # Parts of pieces up to this many bytes are remembered.
 SHORT = 12
 # Windows up to this many bytes are merged by plain search, longer ones with a heap.
@@ -40,6 +40,30 @@ def packed(ids: list[int]) -> bytes:
     return out.tobytes()
 
 
+class Remembered:
+    """A bounded dictionary. What was not asked for while the last half of it came in is forgotten.
+
+    Entries are put into ``new``; once that holds half of them, it becomes ``old`` and what was old goes.
+    """
+
+    def __init__(self, most: int):
+        self.half = most // 2
+        self.new: dict = {}
+        self.old: dict = {}
+
+    def aged(self, key):
+        """The value of a key that ``new`` has not; None if it is forgotten."""
+        value = self.old.get(key)
+        if value is not None:
+            self.put(key, value)
+        return value
+
+    def put(self, key, value) -> None:
+        if len(self.new) >= self.half:
+            self.new, self.old = {}, self.new
+        self.new[key] = value
+
+
 class Vocabulary:
     """Ranks of a byte-level vocabulary in tiktoken's format, and the pattern that cuts texts to pieces."""
 
@@ -50,11 +74,8 @@ class Vocabulary:
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.pattern = regex.compile(pattern)
         self.after_blank = regex.compile(r"\s\x20")
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
-        self.parts: dict[bytes, list[int]] = {}
-        self.windows: dict[bytes, list[int]] = {}
+        self.words = Remembered(WORDS)  # words to packed tokens
+        self.pieces, self.parts, self.windows, self.pairs = (Remembered(REMEMBERED) for _ in range(4))
 
     def merge(self, data: bytes) -> list[int]:
         """Tokens of a window: the neighbours of lowest joint rank merge first, the leftmost of equals."""
@@ -101,23 +122,25 @@ class Vocabulary:
 
     def neighbours(self, left: int, right: int) -> bool:
         """Whether two tokens stay as they are next to each other."""
-        known = self.pairs.get((left, right))
+        pair = left << 32 | right
+        known = self.pairs.new.get(pair)
+        if known is None:
+            known = self.pairs.aged(pair)
         if known is None:
-            if len(self.pairs) >= REMEMBERED:
-                self.pairs.clear()
             known = self.merge(self.tokens[left] + self.tokens[right]) == [left, right]
-            self.pairs[left, right] = known
+            self.pairs.put(pair, known)
         return known
 
     def window(self, data: bytes) -> list[int]:
         """``merge`` that remembers short windows: borders of syllables and endings come again and again."""
         if len(data) > SHORT:
             return self.merge(data)
-        known = self.windows.get(data)
+        known = self.windows.new.get(data)
+        if known is None:
+            known = self.windows.aged(data)
         if known is None:
-            if len(self.windows) >= REMEMBERED:
-                self.windows.clear()
-            known = self.windows[data] = self.merge(data)
+            known = self.merge(data)
+            self.windows.put(data, known)
         return known
 
     def join(self, left: list[int], right: list[int]) -> list[int]:
@@ -145,7 +168,9 @@ class Vocabulary:
 
     def _halves(self, data: bytes) -> list[int]:
         """Encoding by a tree of halves; lists it returns are shared and never changed."""
-        known = self.parts.get(data)
+        known = self.parts.new.get(data)
+        if known is None:
+            known = self.parts.aged(data)
         if known is not None:
             return known
         if len(data) < 2:
@@ -153,19 +178,17 @@ class Vocabulary:
         middle = len(data) // 2
         ids = self.join(self._halves(data[:middle]), self._halves(data[middle:]))
         if len(data) <= SHORT:
-            if len(self.parts) >= REMEMBERED:
-                self.parts.clear()
-            self.parts[data] = ids
+            self.parts.put(data, ids)
         return ids
 
     def _piece(self, piece: str) -> bytes:
-        ids = self.pieces.get(piece)
+        ids = self.pieces.new.get(piece)
+        if ids is None:
+            ids = self.pieces.aged(piece)
         if ids is None:
             ids = packed(self.encode_bytes(piece.encode("utf-8", "replace")))
             if len(piece) <= PLAIN:
-                if len(self.pieces) >= REMEMBERED:
-                    self.pieces.clear()
-                self.pieces[piece] = ids
+                self.pieces.put(piece, ids)
         return ids
 
     def _cut(self, text: str) -> bytes:
@@ -183,17 +206,18 @@ class Vocabulary:
             return self._cut(text)
         words = text.split(" ")
         known = self.words
-        out = list(map(known.get, words))
+        out = list(map(known.new.get, words))
         out[0] = self._cut(words[0])
         if None in out:
             for i, ids in enumerate(out):
                 if ids is None:
                     word = words[i]
-                    ids = out[i] = self._cut(" " + word)
-                    if len(word) <= PLAIN:
-                        if len(known) >= WORDS:
-                            known.clear()
-                        known[word] = ids
+                    ids = known.aged(word)
+                    if ids is None:
+                        ids = self._cut(" " + word)
+                        if len(word) <= PLAIN:
+                            known.put(word, ids)
+                    out[i] = ids
         return b"".join(out)
 
     def decode(self, ids: bytes | None) -> bytes:
@@ -228,6 +252,22 @@ def encoded(text: Column | str, path: str, pattern: str) -> Column:
     return encode(text)
 
 
+def round_trip(text: Column | str, path: str, pattern: str) -> Column:
+    """Struct ``(ids, decoded)`` of a text: its tokens as of :func:`encoded`, and the bytes these decode to.
+
+    One function, so that a task has one Python worker with one set of remembered words. Decoding sees the packed
+    tokens alone.
+    """
+    @F.pandas_udf("ids binary, decoded binary")
+    def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        vocab = vocabulary(path, pattern)
+        for texts in batches:
+            ids = [vocab.encode(t) for t in texts]
+            yield pd.DataFrame({"ids": ids, "decoded": [vocab.decode(x) for x in ids]}, dtype=object)
+
+    return both(text)
+
+
 def decoded(ids: Column | str, path: str, pattern: str) -> Column:
     """The bytes of tokens packed by ``encoded``; empty for null."""
     @F.pandas_udf("binary")

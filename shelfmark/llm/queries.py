@@ -58,11 +58,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
     vocabulary = public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
-    ids = docs.select("doc_id", bpe.encoded("text", *vocabulary).alias("ids"))
-    both = ids.select("doc_id", "ids", bpe.decoded("ids", *vocabulary).alias("bytes"))
+    both = docs.select("doc_id", bpe.round_trip("text", *vocabulary).alias("b"))
     return both.select(
-        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"),
+        "doc_id", (F.octet_length("b.ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("b.ids", 256).alias("ids_sha256"), F.sha2("b.decoded", 256).alias("decoded_sha256"),
     )
 
 
