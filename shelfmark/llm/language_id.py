@@ -20,9 +20,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-# The bounded training sample: texts per language, their length, landmarks per language.
+# The bounded training sample: texts per language, of any length, and landmarks per language.
 SAMPLE_TEXTS = 400
-SAMPLE_CHARS = 20_000
 LANDMARKS = 40
 RIDGE = 1e-2
 # Presences held at once while the kernel of the sample is computed.
@@ -66,7 +65,12 @@ class LanguageModel:
     @classmethod
     def fit(cls, texts: list[str], languages: list[str]) -> LanguageModel:
         letters = letter_table()
-        rows = [(g, lang) for t, lang in zip(texts, languages) if (g := grams_of(t, letters)) is not None]
+        return cls.fit_grams([(g, lang) for t, lang in zip(texts, languages) if (g := grams_of(t, letters)) is not None])
+
+    @classmethod
+    def fit_grams(cls, rows: list[tuple[np.ndarray, str]]) -> LanguageModel:
+        """Fit on the n-grams of texts and their languages."""
+        letters = letter_table()
         names = sorted({lang for _, lang in rows})
         if not names:
             return cls(letters, np.empty(0, np.int64), np.zeros((0, 0)), [])
@@ -113,21 +117,32 @@ class LanguageModel:
         return out / sizes[0][:, None] / sizes[1]
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+        """Best language and score of each text: blocks of presences times the weights of their n-grams."""
         names, scores = [NO_LANGUAGE] * len(texts), np.zeros(len(texts))
-        for i, text in enumerate(texts):
-            grams = grams_of(text, self.letters) if text and self.languages else None
-            if grams is None:
+        if not self.languages:
+            return names, scores
+        step = max(1, BLOCK // (8 * len(self.known)))
+        for at in range(0, len(texts), step):
+            rows = [
+                (i, self.columns(grams), len(grams)) for i, text in enumerate(texts[at:at + step], at)
+                if text and (grams := grams_of(text, self.letters)) is not None
+            ]
+            if not rows:
                 continue
-            row = self.weights[self.columns(grams)].sum(axis=0) / np.sqrt(len(grams))
-            best = row.argmax()
-            names[i], scores[i] = self.languages[best], min(max(row[best], 0.0), 1.0)
+            # Only n-grams that some text of the block has take part.
+            used, place = np.unique(np.concatenate([own for _, own, _ in rows]), return_inverse=True)
+            presences = np.zeros((len(rows), len(used)))
+            presences[np.repeat(np.arange(len(rows)), [len(own) for _, own, _ in rows]), place] = 1
+            values = presences @ self.weights[used] / np.sqrt([size for _, _, size in rows])[:, None]
+            best = values.argmax(axis=1)
+            for (i, _, _), language, value in zip(rows, best, values[np.arange(len(rows)), best]):
+                names[i], scores[i] = self.languages[language], min(max(value, 0.0), 1.0)
         return names, scores
 
 
-def training_sample(labelled: DataFrame, text: str, lang: str, per_language: int = SAMPLE_TEXTS,
-                    chars: int = SAMPLE_CHARS) -> DataFrame:
-    """At most ``per_language`` distinct texts of each language, of at most ``chars`` characters, by their hash."""
-    rows = labelled.where(F.col(text).isNotNull() & F.col(lang).isNotNull() & (F.length(text) <= chars) & F.rlike(text, F.lit(r"\p{L}")))
+def training_sample(labelled: DataFrame, text: str, lang: str, per_language: int = SAMPLE_TEXTS) -> DataFrame:
+    """At most ``per_language`` distinct texts of each language, whatever their length, by their hash."""
+    rows = labelled.where(F.col(text).isNotNull() & F.col(lang).isNotNull() & F.rlike(text, F.lit(r"\p{L}")))
     rows = rows.select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.xxhash64(text).alias("hash"))
     # Hashes are chosen first, in 64 parts of a language and then among the best of each part, so that no task
     # sees more than 64 times the sample. The chosen ones then fetch their texts, copies once.
@@ -139,10 +154,19 @@ def training_sample(labelled: DataFrame, text: str, lang: str, per_language: int
     return rows.join(F.broadcast(chosen), ["lang", "hash"]).dropDuplicates(["lang", "hash"])
 
 
+def _sample_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    letters = letter_table()
+    for frame in batches:
+        grams = [grams_of(text, letters) for text in frame["text"]]
+        out = frame[["lang", "hash"]].assign(grams=pd.Series(grams, index=frame.index, dtype=object))
+        yield out[[g is not None for g in grams]]
+
+
 def train(labelled: DataFrame, text: str = "text", lang: str = "lang") -> LanguageModel:
-    """Fit on a bounded sample of labelled rows; only that sample comes to the driver."""
-    rows = training_sample(labelled, text, lang).select("lang", "hash", "text").toPandas().sort_values(["lang", "hash"])
-    return LanguageModel.fit(rows["text"].tolist(), rows["lang"].tolist())
+    """Fit on a bounded sample of labelled rows; what comes to the driver are its distinct n-grams, not its texts."""
+    sample = training_sample(labelled, text, lang).select("lang", "hash", "text")
+    rows = sample.mapInPandas(_sample_grams, "lang string, hash long, grams array<long>").toPandas().sort_values(["lang", "hash"])
+    return LanguageModel.fit_grams([(np.asarray(g, np.int64), lang) for g, lang in zip(rows["grams"], rows["lang"])])
 
 
 def identify(spark: SparkSession, text: Column | str, model: LanguageModel) -> Column:
