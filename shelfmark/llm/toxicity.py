@@ -21,7 +21,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 # The bounded training sample; in how many of its texts a feature must occur, and by how many standard errors its
 # frequencies in toxic and harmless texts must differ.
 SAMPLE_DOCS = 10_000
-SAMPLE_CHARS = 20_000
 LEAST_TEXTS = 5
 GRADES = 3
 LEAST_ERRORS = 4.0
@@ -181,13 +180,17 @@ def labelled(labels: DataFrame, ident: str = "doc_id") -> DataFrame:
 def train(docs: DataFrame, labels: DataFrame, ident: str = "doc_id", text: str = "text", sample: int = SAMPLE_DOCS) -> SeverityModel:
     """Fit on the ``sample`` labelled documents whose ids have the smallest hashes.
 
-    Only these come to the driver, and only their ids are sent to the tasks that read documents. Texts
-    above ``SAMPLE_CHARS`` characters are not learned from. Documents with several labels count as often.
+    The sample is taken after ids and texts have met, so labels without a document take no place in it. An id counts
+    once, toxic if any of its labels says so; of several texts of an id the one with the smallest hash counts. What comes
+    to the driver is each text's distinct words, whatever its length: features follow from them alone.
     """
-    chosen = labels.where(F.col(ident).isNotNull()).orderBy(F.xxhash64(ident), "toxic").limit(sample)
-    rows = docs.select(ident, text).where(F.length(text) <= SAMPLE_CHARS).join(F.broadcast(chosen), ident)
-    sampled = rows.select(F.col(text).alias("text"), "toxic").toPandas().sort_values(["text", "toxic"])
-    return SeverityModel.fit(sampled["text"].tolist(), sampled["toxic"].to_numpy(bool))
+    judged = labels.where(F.col(ident).isNotNull()).groupBy(ident).agg(F.max("toxic").alias("toxic"))
+    hashes = docs.where(F.col(text).isNotNull()).groupBy(ident).agg(F.min(F.xxhash64(text)).alias("_hash"))
+    chosen = hashes.join(judged, ident).orderBy(F.xxhash64(ident), ident).limit(sample)
+    rows = docs.select(ident, F.col(text).alias("_text"), F.xxhash64(text).alias("_hash")).join(F.broadcast(chosen), [ident, "_hash"])
+    words = F.array_join(F.array_distinct(F.split(F.lower(F.regexp_replace("_text", r"[\x00-\x7F&&[^A-Za-z0-9]]+", " ")), " ")), " ")
+    sampled = rows.dropDuplicates([ident, "_hash"]).select(words.alias("words"), "toxic").toPandas().sort_values(["words", "toxic"])
+    return SeverityModel.fit(sampled["words"].tolist(), sampled["toxic"].to_numpy(bool))
 
 
 def severity(spark: SparkSession, text: Column | str, model: SeverityModel) -> Column:
