@@ -14,18 +14,19 @@ from shelfmark.llm import bpe, language_id, mixing, secret_scan, simhash
 from shelfmark.llm.common import fold, fresh, prepare
 from shelfmark.session import new_path
 
-# A document is rejected only where the classifier finds no language it knows at all.
-LEAST_SCORE = 0.1
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language the labelled ones teach; those without letters and those like none go."""
+    """Documents in a language the labelled ones teach; those without letters, or with no n-gram of any language, go.
+
+    The score falls with the length of a text, so no text is rejected for a low one: only for none at all.
+    """
     prepare(spark)
     model = language_id.train(docs.where(fold("doc_id", 3) != 1))
     (found,) = fresh(docs, "_language")
     scored = docs.withColumn(found, language_id.identify(spark, "text", model))
-    sure = (F.col(f"{found}.lang") != language_id.NO_LANGUAGE) & (F.col(f"{found}.score") >= LEAST_SCORE)
+    sure = (F.col(f"{found}.lang") != language_id.NO_LANGUAGE) & (F.col(f"{found}.score") > 0)
     return scored.where(sure).select(*docs.columns)
 
 
@@ -48,13 +49,16 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``(doc_id, source, n_tokens, ids, round_trip)``: packed token ids, and whether they decode to the text."""
+    """``(doc_id, source, n_tokens, ids, round_trip)``: packed token ids, and whether they decode to the text.
+
+    A null or empty text has no tokens and decodes to the empty text; every row comes back.
+    """
     prepare(spark)
     vocabulary = public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
-    ids = docs.select("doc_id", "source", "text", bpe.encoded("text", *vocabulary).alias("ids"))
-    same = bpe.decoded("ids", *vocabulary) == F.coalesce("text", F.lit("")).cast("binary")
-    return ids.select(
-        "doc_id", "source", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids", same.alias("round_trip")
+    both = docs.select("doc_id", "source", "text", bpe.round_trip("text", *vocabulary).alias("both"))
+    return both.select(
+        "doc_id", "source", (F.octet_length("both.ids") / 4).cast("long").alias("n_tokens"), F.col("both.ids").alias("ids"),
+        (F.col("both.decoded") == F.coalesce("text", F.lit("")).cast("binary")).alias("round_trip"),
     )
 
 
