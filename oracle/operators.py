@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from shelfmark.fixtures.derived import DEFINITIONS
+from shelfmark.fixtures.files import DUMP_BATCH, DUMP_LAYOUTS
 from shelfmark.schema import TABLES
 
 from . import over_catalogue
@@ -85,9 +86,10 @@ SQL = {
     "refresh_titles": over_catalogue(TITLES),
     "export_batches": over_catalogue("select 'issues' as tab, count(*) as rows, true as in_batches from cat_issues union all select 'labels', count(*), true from cat_labels"),
     "dump_rejects": over_catalogue(" union all ".join(
-        f"select '{t}' as tab, v.problem, v.text, count(distinct floor({c} / 500)) as occurrences from cat_{t},"
-        " (values ('not read to its end', chr(9) || '(1, \'\'no end'), ('does not fit its columns', '(1)')) v(problem, text)"
-        f" where floor({c} / 500) % 3 < 2 group by v.problem, v.text"
+        f"select if(v.problem = 'head not read', '', '{t}') as tab, v.problem, v.text, count(distinct floor({c} / {DUMP_BATCH})) as occurrences from cat_{t},"
+        " (values ('not read to its end', chr(9) || '(1, \'\'no end', 0, 1), ('does not fit its columns', '(1)', 0, 1),"
+        f" ('head not read', 'INSERT INTO `catalogue`.`{t}` SET `id` = 1;', 3, 3)) v(problem, text, low, high)"
+        f" where floor({c} / {DUMP_BATCH}) % {DUMP_LAYOUTS} between v.low and v.high group by v.problem, v.text"
         for t, c in (("labels", "id"), ("notes", "entry_id"))
     )),
     "dump_labels": over_catalogue("select cast(id as int) as id, name, labeltype_id, cast(owner_id as int) as owner_id, cast(from_id as int) as from_id from cat_labels"),

@@ -80,19 +80,27 @@ def write_mirror(spark: SparkSession, sf_dir: str) -> str:
     return _write(rows.select("n", line.alias("line")).unionByName(edges), ["n"], "mirror")
 
 
-def _literal(column: str, kind: str) -> Column:
+def _literal(column: str, kind: str, raw: bool = False) -> Column:
+    """A value as it stands in a dump; ``raw`` leaves newlines as they are and doubles quotes."""
     value = F.col(column).cast("string")
     if kind == "string":
-        for plain, escaped in (("\\", "\\\\"), ("'", "\\'"), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+        escapes = (("\\", "\\\\"), ("'", "''" if raw else "\\'"), ("\n", "\n" if raw else "\\n"), ("\r", "\\r"), ("\t", "\\t"))
+        for plain, escaped in escapes:
             value = F.replace(value, F.lit(plain), F.lit(escaped))
         value = F.concat(F.lit("'"), value, F.lit("'"))
     return F.coalesce(value, F.lit("NULL"))
 
 
-def write_dump(tables: dict[str, DataFrame], rows_per_statement: int = 500) -> str:
-    """Dump text in three layouts: a tuple per line, two tuples per line, or a whole statement per row.
+# Rows of one batch, and the layouts batches take in turn.
+DUMP_BATCH, DUMP_LAYOUTS = 100, 5
 
-    Every batch of rows is one statement, except in the last layout; some lines are planted that are no tuples.
+
+def write_dump(tables: dict[str, DataFrame]) -> str:
+    """Dump text in five layouts: a tuple per line, two tuples per line, a whole statement per row, a head with a database
+    and tuples over several lines, and texts with raw newlines.
+
+    Every batch of rows is one statement, except in the third layout; some lines are planted that are no tuples, and
+    heads that cannot be read.
     """
     spark = next(iter(tables.values())).sparkSession
     lines = spark.createDataFrame(
@@ -103,29 +111,40 @@ def write_dump(tables: dict[str, DataFrame], rows_per_statement: int = 500) -> s
     for name, df in tables.items():
         columns = ", ".join(f"`{c}`" for c in df.columns)
         insert = f"INSERT INTO `{name}` ({columns}) VALUES"
+        spread_ = f"INSERT INTO `catalogue`.`{name}`\n  (" + ",\n   ".join(f"`{c}`" for c in df.columns) + ")\nVALUES"
         first = F.col(df.columns[0]).cast("long")
-        batch = F.floor(F.col(df.columns[0]) / rows_per_statement)
-        tuple_ = F.concat(F.lit("("), F.concat_ws(", ", *[_literal(c, k) for c, k in df.dtypes]), F.lit(")"))
+        batch = F.floor(F.col(df.columns[0]) / DUMP_BATCH)
+        tuple_of = lambda by, raw=False: F.concat(
+            F.lit("("), F.concat_ws(by, *[_literal(c, k, raw) for c, k in df.dtypes]), F.lit(")")
+        )
+        layout = F.pmod(batch, F.lit(DUMP_LAYOUTS))
+        tuple_ = F.when(layout == 3, tuple_of(",\n    ")).when(layout == 4, tuple_of(", ", True)).otherwise(tuple_of(", "))
         rows = df.select(
-            F.lit(name).alias("tab"), batch.alias("batch"), (batch % 3).alias("layout"), F.lit(1).alias("kind"), first.alias("n"),
+            F.lit(name).alias("tab"), batch.alias("batch"), layout.alias("layout"), F.lit(1).alias("kind"), first.alias("n"),
             tuple_.alias("t"),
         )
-        alone = rows.where("layout = 0").withColumn("line", F.concat(F.lit("\t"), "t", F.lit(",")))
+        alone = rows.where("layout in (0, 3, 4)").withColumn("line", F.concat(F.lit("\t"), "t", F.lit(",")))
         # Two neighbours share a line; which ones follows from their number alone.
         pairs = rows.where("layout = 1").groupBy("tab", "batch", "kind", F.expr("n div 2 * 2").alias("n")).agg(
             F.concat(F.array_join(F.sort_array(F.collect_list("t")), ","), F.lit(",")).alias("line")
         )
         whole = rows.where("layout = 2").withColumn("line", F.concat(F.lit(insert + " "), "t", F.lit(";")))
-        heads = rows.where("layout < 2").select("tab", "batch").distinct().select(
-            "tab", "batch", F.explode(F.array(
-                F.struct(F.lit(0).alias("kind"), F.lit(0).cast("long").alias("n"), F.lit(insert).alias("line")),
-                F.struct(F.lit(2).alias("kind"), F.lit(0).cast("long").alias("n"), F.lit("\t(1, 'no end").alias("line")),
-                F.struct(F.lit(2).alias("kind"), F.lit(1).cast("long").alias("n"), F.lit("\t(1);").alias("line")),
-            )).alias("x"),
-        ).select("tab", "batch", "x.*")
+
+        def planted(kind: int, n: int, line: str) -> Column:
+            return F.struct(F.lit(kind).alias("kind"), F.lit(n).cast("long").alias("n"), F.lit(line).alias("line"))
+
+        batches = rows.select("tab", "batch", "layout").distinct()
+        around = F.when(F.col("layout") < 2, F.array(
+            planted(0, 0, insert), planted(2, 0, "\t(1, 'no end"), planted(2, 1, "\t(1);")
+        )).when(F.col("layout") == 3, F.array(
+            planted(0, 0, spread_), planted(2, 0, ";"), planted(2, 1, f"INSERT INTO `catalogue`.`{name}` SET `id` = 1;")
+        )).when(F.col("layout") == 4, F.array(planted(0, 0, insert), planted(2, 0, ";")))
+        heads = batches.where(around.isNotNull()).select("tab", "batch", F.explode(around).alias("x")).select("tab", "batch", "x.*")
         for part in (alone, pairs, whole, heads):
             lines = lines.unionByName(part.select(*lines.columns))
     path = new_path(spark, "dump")
-    placed = lines.repartitionByRange("tab", "batch").sortWithinPartitions("tab", "batch", "kind", "n")
+    # Rows with one number keep their lines together.
+    each = lines.select("tab", "batch", "kind", "n", F.col("line").alias("whole"), F.posexplode(F.split("line", "\n")).alias("at", "line"))
+    placed = each.repartitionByRange("tab", "batch").sortWithinPartitions("tab", "batch", "kind", "n", "whole", "at")
     write_lines(placed.select("line"), path)
     return path

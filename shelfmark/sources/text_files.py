@@ -12,10 +12,10 @@ from ..operators.groups import first_by
 LINE_ORDER = ["_file", "_block", "_pos"]
 
 
-def read_lines(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
+def read_lines(spark: SparkSession, path: str, encoding: str = "UTF-8", raw: bool = False) -> DataFrame:
     """``(_file, _block, _pos, value)``: every line with its place, decoded from ``encoding``.
 
-    Lines end at a newline only; a carriage return before it is dropped, one inside a line stays.
+    Lines end at a newline only; a carriage return before it is dropped unless ``raw``, one inside a line stays.
     """
     lines = spark.read.option("lineSep", "\n").text(path).select(
         F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
@@ -23,7 +23,7 @@ def read_lines(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataF
     )
     if encoding.upper().replace("-", "") != "UTF8":
         lines = lines.withColumn("value", F.decode(F.col("value").cast("binary"), encoding))
-    return lines.withColumn("value", F.regexp_replace("value", r"\r\z", ""))
+    return lines if raw else lines.withColumn("value", F.regexp_replace("value", r"\r\z", ""))
 
 
 def unescape(column: Column) -> Column:

@@ -163,6 +163,94 @@ def test_dump_layouts_and_rejects(spark, tmp_path):
     assert rejects == {("not read to its end", ",(8,'no end"), ("does not fit its columns", "(9)")}
 
 
+ANY_LAYOUT = """/* a comment
+over it's lines */
+/* here */ INSERT INTO `zx`.`genretypes`
+  (`id`,
+   `text`)
+VALUES
+  (1, 'one
+line, it''s \\' (more)
+INSERT INTO nothing'), (2, 'two'),
+  (
+    3,
+    'three'
+  ),
+  (4, '
+');
+# it's a comment
+INSERT INTO zx . genretypes (id, text) VALUES (5, 'a'), (6,
+'b\r
+c')
+, (7, 'no end
+, (8, 'eight'),
+  (9, '-- no comment
+# nor this');
+-- it's over
+INSERT INTO `genretypes` SET `id` = 10, `text` = 'ten';
+INSERT INTO "zx"."genretypes" ("id", "text") SELECT 11, 'eleven'
+  FROM `other`;
+REPLACE `genretypes` VALUES (12, 'twelve'); (13, 'thirteen');
+INSERT INTO (14, 'no table') VALUES (14, 'fourteen'),
+(15, 'fifteen');
+CREATE TABLE `x` (
+  `id` int COMMENT 'it''s'
+);
+(16, 'sixteen');
+INSERT INTO `genretypes` VALUES (17, 'seventeen')
+ON DUPLICATE KEY UPDATE `text` = 'x';
+"""
+
+
+@pytest.mark.parametrize("split", ["40", "1000"])
+def test_dump_in_any_layout(spark, tmp_path, split):
+    """Rows plus rejects are what was planted, however the splits fall."""
+    path = write(tmp_path / "y.sql", ANY_LAYOUT)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        read = dump.read_dump(spark, path)
+        got = {(r.id, r.text) for r in dump.dump_table(read, "genretypes").collect()}
+        rejects = {(r.table, r.problem, r.text) for r in dump.read_rejects(spark, path).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == {
+        ("1", "one\nline, it's ' (more)\nINSERT INTO nothing"), ("2", "two"), ("3", "three"), ("4", "\n"), ("5", "a"), ("6", "b\r\nc"),
+        ("8", "eight"), ("9", "-- no comment\n# nor this"), ("12", "twelve"), ("13", "thirteen"), ("17", "seventeen"),
+    }
+    assert rejects == {
+        ("genretypes", "not read to its end", ", (7, 'no end"),
+        ("", "head not read", "INSERT INTO `genretypes` SET `id` = 10, `text` = 'ten';"),
+        ("", "head not read", "INSERT INTO \"zx\".\"genretypes\" (\"id\", \"text\") SELECT 11, 'eleven'\n  FROM `other`;"),
+        ("", "head not read", "INSERT INTO (14, 'no table') VALUES (14, 'fourteen'),\n(15, 'fifteen');"),
+    }
+
+
+def test_dump_lexer_against_a_walk(spark, tmp_path):
+    """Random rows with quotes, backslashes, newlines and comments in their texts, cut into splits of 1 KB."""
+    import random
+
+    rng = random.Random(7)
+    pieces = ["a", "'", "\\", "\n", "--", "#", "(", ")", ",", ";", "/*", "*/", '"', "`", " ", "VALUES ", "INSERT INTO x ", "\t", "\r\n"]
+    rows = [(i, "".join(rng.choice(pieces) for _ in range(rng.randrange(30))) + "z") for i in range(400)]
+    # A text that goes on with what can follow a value would be taken for the end of one without an end.
+    literal = lambda t: "'" + "".join({"'": rng.choice(["''", "\\'"]), "\\": "\\\\"}.get(c, c) for c in t) + "'"
+    text = "".join(
+        rng.choice(["INSERT INTO `zx`.genretypes\n(id, text)\nVALUES\n", "INSERT INTO genretypes VALUES "])
+        + rng.choice([", ", ",\n", "\n, "]).join(rng.choice(["({}, {})", "({},\n {}\n)"]).format(i, literal(t)) for i, t in rows[at:at + 5]) + ";\n"
+        for at in range(0, len(rows), 5)
+    )
+    path = write(tmp_path / "w.sql", text)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1024")
+    try:
+        got = {int(r.id): r.text for r in dump.dump_table(dump.read_dump(spark, path), "genretypes").collect()}
+        assert dump.read_rejects(spark, path).count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == dict(rows)
+
+
 def test_long_quoted_text_neither_backtracks_nor_overflows(spark, tmp_path):
     body = "ab\\'c, " * 200_000
     read = dump.read_dump(spark, write(tmp_path / "l.sql", f"INSERT INTO `notes` (`entry_id`, `text`) VALUES\n(1, '{body}');\n"))
