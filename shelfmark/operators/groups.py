@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .membership import spread
-from .sequences import running_before
+from .sequences import order_span, running_before
 
 
 def pair_counts(df: DataFrame, key: Sequence[Column], names: Sequence[str]) -> DataFrame:
@@ -43,7 +43,7 @@ def twins(df: DataFrame, key: list[str], ident: str, carry: str, weight: str | N
         F.count(F.lit(1)).alias("_rows"),
     ).where("_rows > 1").drop("_rows", "_spread")
     repeated = rows.join(firsts, key).select(*rows.columns, "first")
-    counted = running_before(repeated, key, ident, "_w", "_earlier")
+    counted = running_before(repeated, key, ident, "_w", "_earlier", span=order_span(df, ident))
     return counted.where("_earlier > 0").withColumn(
         "occurrences", F.col("_w") * F.col("_earlier")
     ).drop("_w", "_earlier")
@@ -113,3 +113,45 @@ def first_source(sources: Sequence[DataFrame], key: str, tie: list[str]) -> Data
     ranked = [df.withColumn("_rank", F.lit(rank)) for rank, df in enumerate(sources)]
     union = reduce(DataFrame.unionByName, ranked).where(F.col(key).isNotNull())
     return first_by(union, [key], ["_rank", *tie]).drop("_rank")
+
+
+# Bytes of one segment of an ordered text.
+SEGMENT = 1 << 16
+
+
+def segmented_text(df: DataFrame, key: list[str], order: str, text: str, sep: str = ", ", size: int = SEGMENT) -> DataFrame:
+    """The texts of each group in order, joined: ``(key…, segment, text)``, one row for each ``size`` bytes.
+
+    A piece belongs to the segment in which it begins, counted in bytes of all pieces before it and their separators; so a
+    segment holds ``size`` bytes and the rest of one piece at most, and segments joined by ``sep`` are the
+    whole. Rows follow the integer ``order``, NULL first, then the text; NULL texts are left out, as are groups without any.
+    Offsets are running sums over ranges of places: no window holds a whole group, only rows of one place
+    are sorted together.
+    """
+    low, high = order_span(df, order)
+    pieces = df.where(F.col(text).isNotNull()).select(
+        *key, F.coalesce(F.col(order).cast("long") - low + 1, F.lit(0).cast("long")).alias("_place"), F.col(text).alias("_text"),
+        (F.octet_length(text) + F.octet_length(F.lit(sep))).cast("long").alias("_bytes"),
+    )
+    places = pieces.groupBy(*key, "_place").agg(F.sum("_bytes").alias("_bytes"))
+    placed = running_before(places, key, "_place", "_bytes", "_offset", span=(0, high - low + 1)).select(
+        *[F.col(k).alias(f"_of_{k}") for k in key], F.col("_place").alias("_of_place"), "_offset"
+    )
+    tied = Window.partitionBy(*key, "_place").orderBy("_text").rowsBetween(Window.unboundedPreceding, -1)
+    local = pieces.withColumn("_here", F.coalesce(F.sum("_bytes").over(tied), F.lit(0)))
+    same = F.col("_place") == F.col("_of_place")
+    for k in key:
+        same &= F.col(k).eqNullSafe(F.col(f"_of_{k}"))
+    segment = F.floor((F.col("_offset") + F.col("_here")) / size).alias("segment")
+    in_order = F.array_sort(F.collect_list(F.struct("_place", "_here", "_text")))
+    return local.join(placed, same).groupBy(*key, segment).agg(
+        F.array_join(F.transform(in_order, lambda p: p["_text"]), sep).alias("text")
+    )
+
+
+def whole_text(segments: DataFrame, key: list[str], out: str, sep: str = ", ") -> DataFrame:
+    """``(key…, out)``: the segments of each group as one text, for groups whose text a caller wants as one value."""
+    in_order = F.array_sort(F.collect_list(F.struct("segment", "text")))
+    return segments.groupBy(*key, spread(*key)).agg(
+        F.array_join(F.transform(in_order, lambda s: s["text"]), sep).alias(out)
+    ).drop("_spread")

@@ -28,38 +28,48 @@ def sequence_gaps(df: DataFrame, parent: list[str], seq: str, start: int) -> Dat
 WINDOW_BITS = 16
 
 
+def order_span(df: DataFrame, order: str) -> tuple[int, int]:
+    """``(low, high)`` of an integer order, ``(0, 0)`` without any value: one aggregate over one column."""
+    row = df.agg(F.min(order).cast("long").alias("low"), F.max(order).cast("long").alias("high")).first()
+    return (row.low, row.high) if row.low is not None else (0, 0)
+
+
 def running_before(
-    df: DataFrame, key: list[str], order: str, value: str, out: str, how: str = "sum", width: int = 1 << WINDOW_BITS
+    df: DataFrame, key: list[str], order: str, value: str, out: str, how: str = "sum", width: int = 1 << WINDOW_BITS,
+    span: tuple[int, int] | None = None,
 ) -> DataFrame:
-    """Sum or maximum of ``value`` over the rows of the group with a strictly smaller ``order``."""
-    return _running(df, key, order, {out: (value, how)}, width)
+    """Sum or maximum of ``value`` over the rows of the group with a strictly smaller ``order``.
+
+    ``span`` are the least and the largest order, where the caller knows them; otherwise ``df`` is asked.
+    """
+    return _running(df, key, order, {out: (value, how)}, width, span or order_span(df, order))
 
 
-def _running(df: DataFrame, key: list[str], order: str, values: dict[str, tuple[str, str]], width: int) -> DataFrame:
-    """``out: (value, how)`` over the rows of the group with a strictly smaller ``order``, an integer.
+def _running(df: DataFrame, key: list[str], order: str, values: dict[str, tuple[str, str]], width: int, span: tuple[int, int]) -> DataFrame:
+    """``out: (value, how)`` over the rows of the group with a strictly smaller ``order``, an integer in ``span``.
 
     Groups are cut into ranges of ``width`` order values. Each range is one small window; totals of whole
     ranges are carried over in the same way, ranges of ranges, until one window covers what is left
-    of the order's type. So no window holds more than ``width`` different places, however the values lie.
+    of the span. So no window holds more than ``width`` different places, however the values lie, and an order of
+    few values takes a single window.
     """
     how_to = {"sum": F.sum, "max": F.max}
-    bits = {"tinyint": 8, "smallint": 16, "int": 32}.get(df.schema[order].dataType.simpleString(), 64)
 
-    def level(rows: DataFrame, order: str, values: dict[str, tuple[str, str]], left: int) -> DataFrame:
+    def level(rows: DataFrame, order: str, values: dict[str, tuple[str, str]], low: int, high: int, depth: int) -> DataFrame:
         inside = {out: how_to[how](value) for out, (value, how) in values.items()}
-        if left <= 0:
+        if high - low < width:
             window = Window.partitionBy(*key).orderBy(order).rangeBetween(Window.unboundedPreceding, -1)
             return rows.withColumns({
                 out: F.coalesce(c.over(window), F.lit(0)) if values[out][1] == "sum" else c.over(window)
                 for out, c in inside.items()
             })
         # A level orders ranges by the name the level below gave them, so each has a name of its own.
-        place, theirs = f"_range_{left}", f"_of_range_{left}"
+        place, theirs = f"_range_{depth}", f"_of_range_{depth}"
         cut = F.floor(F.col(order) / width).cast("long")
         ranges = rows.groupBy(*key, cut.alias(place)).agg(*[c.alias(f"{out}_total") for out, c in inside.items()])
         carried = level(
             ranges, place, {f"{out}_carried": (f"{out}_total", how) for out, (_, how) in values.items()},
-            left - (width.bit_length() - 1),
+            low // width - 1, high // width + 1, depth + 1,  # one more on both sides, as large orders are divided inexactly
         )
         given = carried.select(
             *[F.col(k).alias(f"_of_{k}") for k in key], F.col(place).alias(theirs), *[f"{out}_carried" for out in values]
@@ -77,7 +87,7 @@ def _running(df: DataFrame, key: list[str], order: str, values: dict[str, tuple[
         }
         return joined.select(*[F.col(c) for c in rows.columns], *[c.alias(out) for out, c in both.items()])
 
-    return level(df, order, values, bits - (width.bit_length() - 1))
+    return level(df, order, values, *span, 0)
 
 
 def inversions(df: DataFrame, key: str, seq: str, value: str) -> DataFrame:
@@ -108,7 +118,7 @@ def inversions(df: DataFrame, key: str, seq: str, value: str) -> DataFrame:
         "_top", F.when(F.col("_one"), F.struct(F.col("value").alias("v"), (-F.col("seq").cast("long")).alias("s")))
     )
     counted = _running(
-        weighed, [key, "_bit", "_above"], "seq", {"_before": ("_w", "sum"), "_peak": ("_top", "max")}, 1 << WINDOW_BITS
+        weighed, [key, "_bit", "_above"], "seq", {"_before": ("_w", "sum"), "_peak": ("_top", "max")}, 1 << WINDOW_BITS, order_span(df, seq)
     ).where(~F.col("_one") & (F.col("_before") > 0))
     return counted.groupBy(key, "seq", "value").agg(
         F.max("_peak").alias("_peak"), (F.first("n") * F.sum("_before")).alias("occurrences")

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from shelfmark.operators import groups
 from shelfmark.operators.changes import update_from
 from shelfmark.operators.groups import canonical_ids, first_by, pair_counts, twins
 from shelfmark.operators.membership import absent, among, without_suffix
@@ -100,8 +101,8 @@ def test_sparse_ids_of_a_hot_key_share_windows(small):
     )
     out = running_before(far, ["k"], "id", "w", "before", "sum", 256)
     plan = out._jdf.queryExecution().optimizedPlan().toString()
-    # 64 bits at 8 a level: seven levels of ranges below a last window.
-    assert all(f"_range_{left}" in plan for left in range(56, 0, -8))
+    # Places span 44 bits; at 8 a level that is five levels of ranges below a last window.
+    assert all(f"_range_{depth}" in plan for depth in range(5)) and "_range_5" not in plan
     assert sorted(r.before for r in out.collect()) == list(range(3000))
 
 
@@ -172,3 +173,30 @@ def test_common_suffix(hot):
     links = hot.select(F.concat("payload", F.when(F.col("k") == 0, ".tap").otherwise(".xyz")).alias("link"))
     known = hot.sparkSession.createDataFrame([(".tap",), (".tar.gz",)], "ext string")
     assert without_suffix(links, "link", known, "ext").count() == hot.where("k <> 0").count()
+
+
+def test_segmented_text_of_a_hot_group(spark):
+    """A third of all pieces in one group, places far apart, ties and NULLs; segments of bounded size, none lost."""
+    rows = [("hot", i * 70_001 % 1_000_003, f"piece {i % 97}") for i in range(3000)]
+    rows += [("hot", None, "first"), ("tied", 5, "é"), ("tied", 5, "b"), ("tied", 5, "b"), ("tied", None, None), (None, 1, "no key")]
+    rows += [(f"k{i % 900}", i, "x" * (i % 40)) for i in range(6000)]
+    df = spark.createDataFrame(rows, "k string, o long, t string")
+    segments = groups.segmented_text(df, ["k"], "o", "t", "; ", 100)
+    found = segments.collect()
+    whole = {r.k: r.whole for r in groups.whole_text(segments, ["k"], "whole", "; ").collect()}
+    expected = {}
+    for k, o, t in sorted((r for r in rows if r[2] is not None), key=lambda r: (r[1] is not None, r[1] or 0, r[2].encode())):
+        expected.setdefault(k, []).append(t)
+    assert whole == {k: "; ".join(own) for k, own in expected.items()}
+    longest = max(len(t.encode()) for _, _, t in rows if t)
+    assert max(len(r.text.encode()) for r in found) <= 100 + longest and len([r for r in found if r.k == "hot"]) > 250
+    assert groups.segmented_text(df.limit(0), ["k"], "o", "t").count() == 0
+
+
+def test_short_orders_take_one_window(spark):
+    """The levels follow the values of the order, not its type."""
+    df = spark.range(1000).selectExpr("id % 5 as k", "id % 7 as o", "id as v")
+    assert running_before(df, ["k"], "o", "v", "s")._jdf.queryExecution().executedPlan().toString().count("Window") == 1
+    wide = df.withColumn("o", F.when(F.col("o") == 0, -(1 << 62)).when(F.col("o") == 6, 1 << 62).otherwise(F.col("o")))
+    sums = lambda d: sorted((r.k, r.v, r.s) for r in running_before(d, ["k"], "o", "v", "s").collect())
+    assert sums(df) == sums(wide)
