@@ -19,7 +19,7 @@ from shelfmark.fixtures import files  # noqa: E402
 from shelfmark.fixtures.derived import DerivedCatalogue  # noqa: E402
 from shelfmark.functions.text import link_from_mask  # noqa: E402
 from shelfmark.operators import groups, membership, sequences  # noqa: E402
-from shelfmark.plans import search  # noqa: E402
+from shelfmark.plans import grams, search  # noqa: E402
 from shelfmark.plans.imports import listings, map_links  # noqa: E402
 from shelfmark.plans.imports.reviews import ReviewIntegration  # noqa: E402
 from shelfmark.plans.rules import REGISTRY, read_findings, run_checks, run_rule, store_findings  # noqa: E402
@@ -197,6 +197,28 @@ def dump_rejects(t: Mapping[str, DataFrame]) -> DataFrame:
     ).withColumnRenamed("table", "tab")
 
 
+# Segments small enough that the derived lists have several.
+LIST_BYTES = 256
+
+
+def tag_member_lists(t: Mapping[str, DataFrame]) -> DataFrame:
+    """The members of each tag by id, as ordered texts in segments."""
+    members = t["members"].select(F.col("tag_id").cast("long").alias("tag_id"), "entry_id", F.col("entry_id").cast("string").alias("member"))
+    return groups.segmented_text(members, ["tag_id"], "entry_id", "member", size=LIST_BYTES)
+
+
+def search_publisher_lists(t: Mapping[str, DataFrame]) -> DataFrame:
+    return search.publisher_lists(t, LIST_BYTES)
+
+
+def _by_grams(t: Mapping[str, DataFrame], find: Callable[..., DataFrame], index: str, word: str) -> DataFrame:
+    """A lookup over gram lists that are built and stored first."""
+    build, (text, ident) = search.INDEXES[index], search.GRAM_INDEXES[index]
+    folder = new_path(t["entries"].sparkSession, "grams")
+    grams.store_grams(build(t), text, ident, f"{folder}/{index}")
+    return find(t, word, lists=folder)
+
+
 def _dumped(t: Mapping[str, DataFrame], name: str) -> DataFrame:
     spark = t[name].sparkSession
     path = files.write_dump({"labels": t["labels"], "notes": t["notes"]})
@@ -281,6 +303,7 @@ def queries() -> dict[str, Query]:
     over_catalogue = (
         catalogue_broken_references, magazine_page_links, series_gaps_plain, findings_in_one_pass,
         findings_per_rule, rebuild_titles, refresh_titles, export_batches, dump_rejects,
+        tag_member_lists, search_publisher_lists,
     )
     out: dict[str, Query] = {q.__name__: q for q in plain}
     out |= {q.__name__: _over(q) for q in over_catalogue}
@@ -301,6 +324,11 @@ def queries() -> dict[str, Query]:
         "lookup_entries_by_author": _over(lambda t: search.find_entries(t, "#00000001", "author")),
         "lookup_entries_by_publisher": _over(lambda t: search.find_entries(t, "#00000001", "publisher")),
     }
+    out |= {
+        "grams_entries_by_title": _over(partial(_by_grams, find=search.find_entries, index="titles", word="WIDGET3")),
+        "grams_entries_by_short_word": _over(partial(_by_grams, find=search.find_entries, index="titles", word="8T")),
+        "grams_labels_by_name": _over(partial(_by_grams, find=search.find_labels, index="names", word="#00000012")),
+    }
     out["manifest_listing"] = _with_manifest(lambda listing, t: listing)
     out["manifest_unknown_files"] = _with_manifest(listings.unknown_files)
     out["manifest_malformed_sizes"] = lambda spark, sf_dir: listings.malformed_sizes(spark, files.write_manifest(spark, sf_dir))
@@ -332,9 +360,7 @@ def _training_data(what: str) -> dict:
     try:
         from shelfmark.llm import queries as training
         import corpus_pipeline  # noqa: F401
-    except ModuleNotFoundError as missing:
-        if missing.name not in ("shelfmark.llm", "shelfmark.llm.queries", "corpus_pipeline"):
-            raise
+    except ImportError:  # also where a library that only the subpackage needs is missing
         return {}
     return getattr(training, what)()
 

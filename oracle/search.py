@@ -83,8 +83,7 @@ PUBLICATIONS = f"""
         || coalesce('"' || e.title || '"', s.name, '?') as publication
     from {_ORIGINS} o left join cat_issues i on i.id = o.issue_id left join cat_magazines g on g.id = i.magazine_id
     left join ({ISSUE_NAMES}) s on s.issue_id = i.id left join cat_entries e on e.id = o.container_id
-    left join (select p.entry_id, first(b.name order by p.publisher_seq, b.name)
-                 || case when count(*) > 1 then ' and ' || (count(*) - 1) || ' more' else '' end as names
+    left join (select p.entry_id, string_agg(b.name, ', ' order by p.publisher_seq, b.name) as names
                from cat_publishers p join cat_labels b on b.id = p.label_id where p.release_seq = 0 group by p.entry_id) p on p.entry_id = e.id"""
 
 
@@ -92,6 +91,24 @@ ORIGIN_PUBLISHERS = f"""
     select cast(p.entry_id as bigint) as container_id, cast(p.publisher_seq as int) as publisher_seq, b.name as label
     from cat_publishers p join cat_labels b on b.id = p.label_id
     where p.release_seq = 0 and p.entry_id in (select container_id from {_ORIGINS} o where container_id is not null)"""
+
+
+def segments(key: str, place: str, text: str, size: int, source: str) -> str:
+    """Ordered texts of each group, cut where a multiple of ``size`` bytes has gone before."""
+    return f"""
+        select {key}, cast(floor(gone / {size}) as bigint) as segment, string_agg({text}, ', ' order by {place}, {text}) as text
+        from (select {key}, {place}, {text},
+                     coalesce(sum(strlen({text}) + 2) over (partition by {key} order by {place} nulls first, {text}
+                                                            rows between unbounded preceding and 1 preceding), 0) as gone
+              from ({source})) group by 1, 2"""
+
+
+LIST_BYTES = 256
+PUBLISHER_LISTS = segments("container_id", "publisher_seq", "label", LIST_BYTES, ORIGIN_PUBLISHERS)
+MEMBER_LISTS = segments(
+    "tag_id", "entry_id", "member", LIST_BYTES,
+    "select cast(tag_id as bigint) as tag_id, entry_id, cast(entry_id as varchar) as member from cat_members where entry_id is not null",
+)
 _SEEDS = {
     "author": "select label_id, entry_id from cat_authors union all select team_id, entry_id from cat_authors",
     "publisher": """select label_id, entry_id from cat_publishers
@@ -146,11 +163,16 @@ SQL = {
     "search_author_relations": over_catalogue(relations(True)),
     "search_publisher_relations": over_catalogue(relations(False)),
     "search_origin_publishers": over_catalogue(ORIGIN_PUBLISHERS),
+    "search_publisher_lists": over_catalogue(PUBLISHER_LISTS),
+    "tag_member_lists": over_catalogue(MEMBER_LISTS),
     "search_issue_names": over_catalogue(ISSUE_NAMES),
     "search_origins": over_catalogue(ORIGINS),
     "search_origin_publications": over_catalogue(PUBLICATIONS),
     "lookup_entries_by_title": over_catalogue(entries_by_title("widget3")),
     "lookup_labels_by_name": over_catalogue(labels_by_name("#00000012")),
+    "grams_entries_by_title": over_catalogue(entries_by_title("widget3")),
+    "grams_entries_by_short_word": over_catalogue(entries_by_title("8t")),
+    "grams_labels_by_name": over_catalogue(labels_by_name("#00000012")),
     "lookup_entries_by_author": over_catalogue(entries_by_label(AUTHORS, "#00000001")),
     "lookup_entries_by_publisher": over_catalogue(entries_by_label(PUBLISHERS, "#00000001")),
 }

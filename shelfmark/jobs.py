@@ -12,6 +12,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from .plans import search
+from .plans.grams import store_grams
 from .plans.imports import listings, map_links
 from .plans.imports.reviews import ReviewIntegration
 from .plans.rules import read_findings, sorted_findings, store_findings
@@ -34,10 +35,13 @@ def checks(t: Tables, out: str, advisory: bool = False) -> None:
 
 
 def indexes(t: Tables, out: str) -> None:
-    """All search tables, sorted by their lookup columns."""
+    """All search tables, sorted by their lookup columns, and gram lists for lookups by a part of a name."""
     for name, build in search.INDEXES.items():
         index = build(t)
         rebuild(index, f"{out}/{name}", index.columns[:2])
+        if name in search.GRAM_INDEXES:
+            stored = index.sparkSession.read.parquet(f"{out}/{name}")
+            store_grams(stored, *search.GRAM_INDEXES[name], f"{out}/_grams/{name}")
 
 
 def maps(t: Tables, path: str, out: str) -> None:

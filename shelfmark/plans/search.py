@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.text import issue_name, name_key, title_key, title_variants
 from ..operators.closure import label_closure, label_edges, labels_reaching
-from ..operators.groups import first_source
-from ..operators.membership import among, spread
+from ..operators.groups import SEGMENT, first_source, segmented_text, whole_text
+from ..operators.membership import among
+from . import grams
 
 Tables = Mapping[str, DataFrame]
 
@@ -25,8 +26,6 @@ ORIGIN_KINDS = {
 }
 # Genres of covertapes, electronic magazines and compilations.
 COVERTAPE, ELECTRONIC, COMPILATIONS = 81, 82, (80, 111, 112, 113, 114)
-# Index columns are matched without regard to case and accents.
-LOOKUP_COLLATION = "UNICODE_CI_AI"
 
 
 def titles(t: Tables) -> DataFrame:
@@ -169,11 +168,16 @@ def origin_publishers(t: Tables) -> DataFrame:
     )
 
 
+def publisher_lists(t: Tables, size: int = SEGMENT) -> DataFrame:
+    """``(container_id, segment, text)``: the publishers of a container by sequence and name, in segments of ``size`` bytes."""
+    return segmented_text(origin_publishers(t), ["container_id"], "publisher_seq", "label", size=size)
+
+
 def origins_with_publication(t: Tables) -> DataFrame:
-    """:func:`origins` and a line of text on the publication.
+    """:func:`origins` and a line of text on the publication, which names all publishers of the container.
 
-    The line names the first publisher of a container and how many more there are; :func:`origin_publishers`
-    lists them all.
+    The line is as long as the list; where only some entries are looked at, filter the result by them, or read
+    :func:`publisher_lists`, which has each list once.
     """
     found = origins(t)
     kinds = F.create_map(*[F.lit(v) for pair in ORIGIN_KINDS.items() for v in pair])
@@ -181,11 +185,7 @@ def origins_with_publication(t: Tables) -> DataFrame:
         F.col("id").alias("issue_id"), "magazine_id", issue_name().alias("issue_name")
     ).join(t["magazines"].select(F.col("id").alias("magazine_id"), F.col("name").alias("magazine")), "magazine_id", "left")
     holders = t["entries"].select(F.col("id").alias("container_id"), F.col("title").alias("container"))
-    first = F.min(F.struct("publisher_seq", "label"))["label"]
-    named = F.when(F.count(F.lit(1)) > 1, F.concat(first, F.lit(" and "), F.count(F.lit(1)) - 1, F.lit(" more"))).otherwise(first)
-    publishers_ = among(_first_publishers(t), "container_id", found, "container_id").groupBy(
-        "container_id", spread("container_id")
-    ).agg(named.alias("publishers")).drop("_spread")
+    publishers_ = whole_text(segmented_text(_first_publishers(t), ["container_id"], "publisher_seq", "label"), ["container_id"], "publishers")
     where = F.coalesce(F.concat(F.lit('"'), F.col("container"), F.lit('"')),
                        F.when(F.col("magazine_id").isNotNull(), F.col("issue_name")).otherwise(F.lit("?")))
     text = F.concat(
@@ -203,24 +203,37 @@ def origins_with_publication(t: Tables) -> DataFrame:
 INDEXES = {
     "titles": titles, "names": names, "author_credits": author_credits, "publisher_credits": publisher_credits,
     "author_relations": author_relations, "publisher_relations": publisher_relations,
-    "issue_names": issue_names, "origins": origins_with_publication, "origin_publishers": origin_publishers,
+    "issue_names": issue_names, "origins": origins, "publisher_lists": publisher_lists,
 }
 
 
-def _holding(index: DataFrame, column: str, word: str) -> DataFrame:
-    return index.where(F.contains(F.collate(F.col(column), LOOKUP_COLLATION), F.lit(word)))
+# Indexes whose lookups read gram lists, and their columns.
+GRAM_INDEXES = {"titles": ("entry_title", "entry_id"), "names": ("label_name", "label_id")}
+
+
+def _holding(index: DataFrame, column: str, word: str, lists: str | None = None) -> DataFrame:
+    """Rows of an index whose name holds a word, from the gram lists under ``lists`` where there are any."""
+    found = grams.holding(index.sparkSession, lists, column, word) if lists else None
+    if found is not None:
+        return found
+    return index.where(F.contains(F.collate(F.col(column), grams.LOOKUP_COLLATION), F.lit(word)))
+
+
+def _lists(folder: str | None, name: str) -> str | None:
+    return f"{folder}/{name}" if folder else None
 
 
-def find_entries(t: Tables, word: str, by: str = "title", indexes: Tables | None = None) -> DataFrame:
+def find_entries(t: Tables, word: str, by: str = "title", indexes: Tables | None = None, lists: str | None = None) -> DataFrame:
     """Entries by a part of a title, an author's or a publisher's name, sorted by title.
 
     ``indexes`` are stored index tables; without them the same is read from the tables themselves. Labels
-    found are traced back to the credits, so no pairs of credits with relatives are built.
+    found are traced back to the credits, so no pairs of credits with relatives are built. ``lists`` is the folder of the
+    gram lists of :data:`GRAM_INDEXES`: with it a lookup reads one list instead of a whole index.
     """
     if by == "title":
-        hits = _holding(titles(t) if indexes is None else indexes["titles"], "entry_title", word)
+        hits = _holding(titles(t) if indexes is None else indexes["titles"], "entry_title", word, _lists(lists, "titles"))
     else:
-        labels = _holding(names(t) if indexes is None else indexes["names"], "label_name", word)
+        labels = _holding(names(t) if indexes is None else indexes["names"], "label_name", word, _lists(lists, "names"))
         if indexes is not None:
             credits, relations = indexes[f"{by}_credits"], indexes[f"{by}_relations"]
         else:
@@ -230,10 +243,10 @@ def find_entries(t: Tables, word: str, by: str = "title", indexes: Tables | None
     return among(t["entries"], "id", hits, "entry_id").orderBy("title", "id")
 
 
-def find_labels(t: Tables, word: str, indexes: Tables | None = None) -> DataFrame:
-    """Labels by a part of their name, sorted by name."""
+def find_labels(t: Tables, word: str, indexes: Tables | None = None, lists: str | None = None) -> DataFrame:
+    """Labels by a part of their name, sorted by name; ``lists`` as in :func:`find_entries`."""
     index = indexes["names"] if indexes is not None else names(t)
-    return among(t["labels"], "id", _holding(index, "label_name", word), "label_id").orderBy("name", "id")
+    return among(t["labels"], "id", _holding(index, "label_name", word, _lists(lists, "names")), "label_id").orderBy("name", "id")
 
 
 def refresh_titles(index: DataFrame, t: Tables, changed: DataFrame) -> DataFrame:

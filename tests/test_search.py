@@ -1,10 +1,12 @@
 from __future__ import annotations
 
+import re
+
 import pytest
 from handmade import Handmade, rows
 
 from shelfmark.fixtures.derived import DerivedCatalogue
-from shelfmark.plans import search
+from shelfmark.plans import grams, search
 
 
 def pairs(df):
@@ -64,7 +66,7 @@ def test_origins_follow_the_cascade(spark):
     assert found[2].publication == 'New Corp - type-in from book "Book"'
     assert found[8].publication == "Mag - type-in from magazine issue #5 - 1984/Feb"
     assert found[9].publication == 'Mag - within covertape "Tape"'
-    assert found[10].publication == 'Corp and 1 more - within compilation "Pack"'
+    assert found[10].publication == 'Corp, Ann - within compilation "Pack"'
     assert found[4].publication == '? - within program "Prog"'
 
 
@@ -92,3 +94,30 @@ def test_index_properties(catalogue):
     assert titles.count() == titles.distinct().count()
     changed = catalogue["aliases"].select("entry_id")
     assert search.refresh_titles(titles, catalogue, changed).exceptAll(titles).count() == 0
+
+
+NAMES = ["Über Zoé", "uber alles", "Straße 7", "strasse", "a", "ab", "", None, "ＦＵＬＬ width", "tab\there", "zoe", "ZOÉ", "xx yy", "%_\\", "oe ligature œuvre", "日本語 text"]
+
+
+@pytest.mark.parametrize("word", ["zoe", "ZOÉ", "über", "ab", "a", "%", "_\\", "full", "ss", "œ", "日本", "nowhere", "x y", "her", ""])
+def test_grams_find_what_a_scan_finds(spark, gram_folder, word):
+    index = spark.createDataFrame(list(enumerate(NAMES)), "label_id long, label_name string").select("label_name", "label_id")
+    scanned = sorted(r.label_id for r in search._holding(index, "label_name", word).collect())
+    assert sorted(r.label_id for r in search._holding(index, "label_name", word, gram_folder).collect()) == scanned
+
+
+@pytest.fixture(scope="module")
+def gram_folder(spark, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("grams") / "names")
+    index = spark.createDataFrame(list(enumerate(NAMES)), "label_id long, label_name string")
+    grams.store_grams(index, "label_name", "label_id", folder)
+    return folder
+
+
+def test_a_lookup_reads_its_own_lists(spark, gram_folder):
+    """Two buckets at most, and the gram is pushed to the files."""
+    plan = grams.holding(spark, gram_folder, "label_name", "strasse")._jdf.queryExecution().toString()
+    buckets = sorted({grams.bucket_of(grams.ODD), *(grams.bucket_of(g) for g in ("str", "tra", "ras", "ass", "sse"))})
+    (filters,) = set(re.findall(r"PartitionFilters: \[[^\]]*bucket#\d+ IN \(([\d,]+)\)|$", plan)) - {""} or {""}
+    read = sorted(map(int, filters.split(",")))
+    assert len(read) == 2 and set(read) <= set(buckets) and "PushedFilters: [In(gram" in plan
