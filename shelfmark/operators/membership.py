@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from ..session import cut_lineage
 
 
 SALTS = 32
@@ -91,18 +93,41 @@ def without_suffix(df: DataFrame, column: str, suffixes: DataFrame, suffix: str)
     return absent(df, column, known, "_text")
 
 
-def lonely_prefixes(df: DataFrame, ident: str, name: str, stem: str) -> DataFrame:
-    """Rows with a stem that starts no other row's name.
+def prefix_counts(names: DataFrame, name: str, stems: DataFrame, stem: str) -> DataFrame:
+    """``(_key, _hits)``: for every distinct stem, the number of names that it starts; NULLs are left out.
 
-    Names are cut to the stem lengths that occur; only cuts that are stems are counted, and a popular stem
-    is one partially aggregated counter instead of a list of partner rows.
+    In the order of their bytes the names that a stem starts lie together, so their number is a difference of two ranks:
+    names before the end of that range less names before its beginning. Equal names are one row with a count, each
+    stem is two rows, and all of them are range-sorted together; the ranges are written once, as another sample would
+    cut them elsewhere. Ranks are running counts inside a range and of whole ranges.
     """
+    held = names.where(F.col(name).isNotNull()).groupBy(F.col(name).cast("binary").alias("at")).agg(F.count(F.lit(1)).alias("n"))
+    wanted = key_set(stems, stem, "stem")
+    # No text holds the byte FF: it comes after all that may follow a stem.
+    ends = F.array(
+        F.struct(F.col("stem").cast("binary").alias("at"), F.lit(0).alias("kind")),
+        F.struct(F.concat(F.col("stem").cast("binary"), F.unhex(F.lit("FF"))).alias("at"), F.lit(2).alias("kind")),
+    )
+    events = held.select("at", F.lit(1).alias("kind"), "n", F.lit(None).cast("string").alias("stem")).unionByName(
+        wanted.select(F.explode(ends).alias("e"), "stem").select("e.at", "e.kind", F.lit(0).cast("long").alias("n"), "stem")
+    )
+    placed = events.repartitionByRange("at", "kind").withColumn("range", F.spark_partition_id())
+    placed = cut_lineage(placed, "ranks")
+    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    before = placed.groupBy("range").agg(F.sum("n").alias("held")).select("range", F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("before"))
+    inside = Window.partitionBy("range").orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = placed.withColumn("inside", F.sum("n").over(inside)).where("stem is not null").join(before, "range")
+    rank = F.col("before") + F.col("inside")
+    return ranked.groupBy(F.col("stem").alias("_key"), spread("stem")).agg(
+        F.sum(F.when(F.col("kind") == 2, rank).otherwise(-rank)).alias("_hits")
+    ).drop("_spread")
+
+
+def lonely_prefixes(df: DataFrame, ident: str, name: str, stem: str) -> DataFrame:
+    """Rows with a stem that starts no other row's name; what is exchanged are names and stems, whatever their lengths."""
     stems = df.where(F.col(stem).isNotNull())
-    lengths = stems.agg(F.collect_set(F.char_length(stem))).scalar()
-    starts = df.select(name, F.explode(lengths).alias("_n")).where(F.char_length(name) >= F.col("_n"))
-    cuts = starts.select(F.expr(f"left({name}, _n)").alias("_key")).join(key_set(stems, stem, "_key"), "_key", "left_semi")
-    counts = cuts.groupBy("_key", spread("_key")).agg(F.count(F.lit(1)).alias("_hits")).drop("_spread")
-    own = F.col(name).startswith(F.col(stem)).cast("int")
+    counts = prefix_counts(df, name, stems, stem)
+    own = F.coalesce(F.col(name).startswith(F.col(stem)), F.lit(False)).cast("int")
     return (
         stems.join(counts, stems[stem] == counts["_key"], "left")
         .where(F.coalesce("_hits", F.lit(0)) - own == 0)

@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from shelfmark.operators import groups
+from shelfmark.operators import groups, membership
 from shelfmark.operators.changes import update_from
 from shelfmark.operators.groups import canonical_ids, first_by, pair_counts, twins
 from shelfmark.operators.membership import absent, among, without_suffix
@@ -200,3 +200,14 @@ def test_short_orders_take_one_window(spark):
     wide = df.withColumn("o", F.when(F.col("o") == 0, -(1 << 62)).when(F.col("o") == 6, 1 << 62).otherwise(F.col("o")))
     sums = lambda d: sorted((r.k, r.v, r.s) for r in running_before(d, ["k"], "o", "v", "s").collect())
     assert sums(df) == sums(wide)
+
+
+def test_prefix_counts_by_ranks(spark):
+    """A stem that a third of all names begin with, repeated names, empty and non-ASCII stems, against brute force."""
+    names = [f"Widget {i % 500}" for i in range(2000)] + ["Widget"] * 3 + [f"x{i:05d}" for i in range(4000)]
+    names += ["", None, "é", "éa", "e", "日本", "日本語", "x0000\U0010ffff", "x0000\U0010ffff!"]
+    stems = ["Widget", "Widget 1", "x0", "x0000", "", "é", "日", "日本", "nothing", None, "Widget", "x00001x", "\U0010ffff", "x0000\U0010ffff"]
+    n = spark.createDataFrame([(t,) for t in names], "name string")
+    s = spark.createDataFrame([(t,) for t in stems], "stem string")
+    got = {r._key: r._hits for r in membership.prefix_counts(n, "name", s, "stem").collect()}
+    assert got == {t: sum(m is not None and m.startswith(t) for m in names) for t in set(stems) if t is not None}
