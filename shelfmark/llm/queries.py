@@ -94,9 +94,10 @@ def op7_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = kneser_ney.scored(docs, model, carry=["doc_id"])
     return scored.select(
         "doc.doc_id", fold("doc.doc_id", 7).alias("fold"), "n_tokens", "n_known",
-        F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score",
-        kneser_ney.perplexity("score", "n_tokens").alias("perplexity"),
-        "score_3", kneser_ney.perplexity("score_3", "n_tokens").alias("perplexity_3"),
+        F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score",
+        # The score is that of the whole model; that of its bigrams comes beside it.
+        F.col("score_3").alias("score"), kneser_ney.perplexity("score_3", "n_tokens").alias("perplexity"),
+        F.col("score").alias("score_2"), kneser_ney.perplexity("score", "n_tokens").alias("perplexity_2"),
     ).withColumn("held_out", F.col("fold") == 2).drop("fold")
 
 

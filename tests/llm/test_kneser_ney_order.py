@@ -64,8 +64,8 @@ def test_order_three(spark, documents, small_dir):
     texts = documents.text.tolist()
     expected = trigrams([t for t, h in zip(texts, held) if not h], texts)
     for doc_id, n, want in zip(documents.doc_id, (len(words(t)) + 1 for t in texts), expected):
-        assert found[doc_id].score_3 == pytest.approx(want, rel=1e-9)
-        assert found[doc_id].perplexity_3 == pytest.approx(10 ** (-want / n), rel=1e-9)
+        assert found[doc_id].score == pytest.approx(want, rel=1e-9)
+        assert found[doc_id].perplexity == pytest.approx(10 ** (-want / n), rel=1e-9)
 
 
 def test_longer_contexts_tell(spark):

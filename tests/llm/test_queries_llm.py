@@ -259,7 +259,7 @@ def test_kneser_ney(spark, documents, small_dir):
         row = found[doc_id]
         assert row.held_out == out
         assert (row.n_tokens, row.n_known, row.train_tokens) == want[:3]
-        assert row.base_score == pytest.approx(want[3], rel=1e-9) and row.score == pytest.approx(want[4], rel=1e-9)
+        assert row.base_score == pytest.approx(want[3], rel=1e-9) and row.score_2 == pytest.approx(want[4], rel=1e-9)
         gain += out * (row.score - row.base_score)
     assert gain > 0
 
