@@ -19,7 +19,7 @@ from shelfmark.fixtures import files  # noqa: E402
 from shelfmark.fixtures.derived import DerivedCatalogue  # noqa: E402
 from shelfmark.functions.text import link_from_mask  # noqa: E402
 from shelfmark.operators import groups, membership, sequences  # noqa: E402
-from shelfmark.plans import grams, search  # noqa: E402
+from shelfmark.plans import grams, refresh, search  # noqa: E402
 from shelfmark.plans.imports import listings, map_links  # noqa: E402
 from shelfmark.plans.imports.reviews import ReviewIntegration  # noqa: E402
 from shelfmark.plans.rules import REGISTRY, read_findings, run_checks, run_rule, store_findings  # noqa: E402
@@ -176,6 +176,47 @@ def refresh_titles(t: Mapping[str, DataFrame]) -> DataFrame:
     return search.refresh_titles(stale, t, changed)
 
 
+# What the catalogue was before some rows came, went or changed, by table: rows that were missing, values that
+# were others, and ids by which copies of rows that are gone stood beside the others.
+EARLIER = {
+    "entries": ("id % 13 = 5", {"title": "if(id % 11 = 3, concat(title, ' II'), title)", "genretype_id": "if(id % 17 = 2, 81, genretype_id)",
+                                "issue_id": "if(id % 19 = 4, null, issue_id)"}, ("id % 23 = 1", {"id": "id + 500000000"})),
+    "labels": ("id % 13 = 5", {"name": "if(id % 11 = 3, concat('Old ', name), name)", "owner_id": "if(id % 17 = 2, null, owner_id)",
+                               "from_id": "if(id % 19 = 4, id - 1, from_id)"}, ("id % 23 = 1", {"id": "id + 500000000", "owner_id": "id"})),
+    "aliases": ("entry_id % 7 = 2", {"title": "if(entry_id % 11 = 3, concat(title, ' IV'), title)"}, ("entry_id % 23 = 1", {"title": "concat('Gone ', title)"})),
+    "authors": ("entry_id % 13 = 7", {"team_id": "if(entry_id % 11 = 1, null, team_id)"}, ("entry_id % 23 = 1", {"label_id": "label_id + 1"})),
+    "publishers": ("(entry_id + publisher_seq) % 13 = 6", {"label_id": "if(entry_id % 11 = 1, label_id + 1, label_id)"},
+                   ("entry_id % 17 = 3", {"publisher_seq": "publisher_seq + 1000"})),
+    "contents": ("container_id % 13 = 2", {"is_original": "if(entry_id % 11 = 5, 1 - is_original, is_original)",
+                                           "label_id": "if(entry_id % 17 = 3, null, label_id)"}, ("entry_id % 23 = 1", {"prog_seq": "prog_seq + 1000", "is_original": "1"})),
+    "issues": ("id % 13 = 1", {"number": "if(id % 11 = 2, number + 1, number)", "date_year": "if(id % 17 = 2, 1900, date_year)"},
+               ("id % 23 = 1", {"id": "id + 500000000"})),
+    "releases": ("entry_id % 13 = 4", {"release_year": "if(entry_id % 11 = 6, 1900, release_year)"}, ("entry_id % 23 = 1", {"release_seq": "release_seq + 1000"})),
+    "booktypeins": ("entry_id % 7 = 1", {"is_original": "if(entry_id % 11 = 5, 1 - is_original, is_original)"}, ("entry_id % 23 = 1", {"book_id": "book_id + 1"})),
+    "magrefs": ("id % 13 = 3", {"is_original": "if(id % 11 = 4, 1 - is_original, is_original)"}, ("id % 23 = 1", {"id": "id + 500000000", "is_original": "1"})),
+}
+
+
+def _earlier(df: DataFrame, missing: str, edits: Mapping[str, str], gone: tuple[str, Mapping[str, str]]) -> DataFrame:
+    def version(rows: DataFrame, values: Mapping[str, str]) -> DataFrame:
+        return rows.select(*[
+            F.expr(values[f.name]).cast(f.dataType).alias(f.name) if f.name in values else F.col(f.name) for f in df.schema.fields
+        ])
+
+    there = df.where(f"({missing}) is not true")
+    return version(there, edits).unionByName(version(df.where(gone[0]), gone[1]))
+
+
+def _refreshed(t: Mapping[str, DataFrame], name: str) -> DataFrame:
+    """An index built from the earlier tables and brought up to date by the rows that changed since."""
+    before = {table: _earlier(t[table], *how) for table, how in EARLIER.items()}
+    stored = {
+        n: search.publisher_lists(before, LIST_BYTES) if n == "publisher_lists" else search.INDEXES[n](before)
+        for n in ({name, "origins"} if name == "publisher_lists" else {name})
+    }
+    return refresh.refreshed(name, stored, t, refresh.deltas(before, t), LIST_BYTES)
+
+
 def export_batches(t: Mapping[str, DataFrame]) -> DataFrame:
     spark = t["issues"].sparkSession
     path = new_path(spark, "export")
@@ -329,6 +370,7 @@ def queries() -> dict[str, Query]:
         "grams_entries_by_short_word": _over(partial(_by_grams, find=search.find_entries, index="titles", word="8T")),
         "grams_labels_by_name": _over(partial(_by_grams, find=search.find_labels, index="names", word="#00000012")),
     }
+    out |= {f"refreshed_{name}": _over(partial(_refreshed, name=name)) for name in search.INDEXES}
     out["manifest_listing"] = _with_manifest(lambda listing, t: listing)
     out["manifest_unknown_files"] = _with_manifest(listings.unknown_files)
     out["manifest_malformed_sizes"] = lambda spark, sf_dir: listings.malformed_sizes(spark, files.write_manifest(spark, sf_dir))

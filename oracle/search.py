@@ -154,7 +154,14 @@ def entries_by_label(index: str, word: str) -> str:
     )
 
 
+# A refreshed index holds what one built anew does.
+_INDEXES = {
+    "titles": TITLES, "names": NAMES, **{f"{by}_credits": credits(by) for by in _SEEDS}, "author_relations": relations(True),
+    "publisher_relations": relations(False), "issue_names": ISSUE_NAMES, "origins": ORIGINS, "publisher_lists": PUBLISHER_LISTS,
+}
+
 SQL = {
+    **{f"refreshed_{name}": over_catalogue(sql) for name, sql in _INDEXES.items()},
     "search_titles": over_catalogue(TITLES),
     "search_names": over_catalogue(NAMES),
     "search_authors": over_catalogue(AUTHORS),

@@ -11,7 +11,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import search
+from .plans import refresh as updates, search
 from .plans.grams import store_grams
 from .plans.imports import listings, map_links
 from .plans.imports.reviews import ReviewIntegration
@@ -44,6 +44,23 @@ def indexes(t: Tables, out: str) -> None:
             store_grams(stored, *search.GRAM_INDEXES[name], f"{out}/_grams/{name}")
 
 
+def refresh(t: Tables, before: Tables, stored: str, out: str) -> None:
+    """New versions of the index tables under ``stored``, which were built from ``before``, for the tables as they are now.
+
+    Gram lists are dealt by gram over whole indexes; those of the titles and names are written anew.
+    """
+    spark = t["entries"].sparkSession
+    changed = new_path(spark, "delta")
+    for name, df in updates.deltas(before, t).items():
+        df.write.parquet(f"{changed}/{name}")
+    delta = {name: spark.read.schema(t[name].schema).parquet(f"{changed}/{name}") for name in updates.SOURCES}
+    indexes_ = {name: spark.read.parquet(f"{stored}/{name}") for name in search.INDEXES}
+    for name, index in indexes_.items():
+        rebuild(updates.refreshed(name, indexes_, t, delta), f"{out}/{name}", index.columns[:2])
+        if name in search.GRAM_INDEXES:
+            store_grams(spark.read.parquet(f"{out}/{name}"), *search.GRAM_INDEXES[name], f"{out}/_grams/{name}")
+
+
 def maps(t: Tables, path: str, out: str) -> None:
     """Web links with one site's links replaced by those of a map list; unclean rows beside them."""
     found = map_links.read_map_list(t["entries"].sparkSession, path)
@@ -112,10 +129,12 @@ def load_dump(spark: SparkSession, path: str, out: str, names: Mapping[str, str]
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
-    parser.add_argument("job", choices=["checks", "indexes", "maps", "manifest", "mirror", "reviews", "load-dump"])
+    parser.add_argument("job", choices=["checks", "indexes", "refresh", "maps", "manifest", "mirror", "reviews", "load-dump"])
     parser.add_argument("--tables", help="folder of the stored tables")
     parser.add_argument("--source", help="text file, dump, or folder of the outside tables")
     parser.add_argument("--database", help="database of the session catalogue that holds the outside tables")
+    parser.add_argument("--before", help="folder of the tables that the stored indexes were built from")
+    parser.add_argument("--indexes", help="folder of the stored indexes")
     parser.add_argument("--out", required=True)
     parser.add_argument("--advisory", action="store_true", help="also run advisory rules")
     args = parser.parse_args(argv)
@@ -129,6 +148,8 @@ def main(argv: list[str] | None = None) -> None:
         reviews(t, source, args.out)
     elif args.job in ("maps", "manifest", "mirror"):
         {"maps": maps, "manifest": manifest, "mirror": mirror}[args.job](t, args.source, args.out)
+    elif args.job == "refresh":
+        refresh(t, StoredTables(spark, args.before), args.indexes, args.out)
     elif args.job == "checks":
         checks(t, args.out, args.advisory)
     else:

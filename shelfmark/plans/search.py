@@ -158,19 +158,20 @@ def _first_publishers(t: Tables) -> DataFrame:
     return first.join(labels, "label_id").select("container_id", "publisher_seq", "label")
 
 
-def origin_publishers(t: Tables) -> DataFrame:
+def origin_publishers(t: Tables, found: DataFrame | None = None) -> DataFrame:
     """All publishers of the containers of first publications, a row each: ``(container_id, publisher_seq, label)``.
 
-    A container may have any number of them; ordered by sequence and name they are its list.
+    A container may have any number of them; ordered by sequence and name they are its list. ``found`` are the
+    origins where they are known.
     """
-    return among(_first_publishers(t), "container_id", origins(t), "container_id").select(
+    return among(_first_publishers(t), "container_id", origins(t) if found is None else found, "container_id").select(
         F.col("container_id").cast("long").alias("container_id"), F.col("publisher_seq").cast("int").alias("publisher_seq"), "label"
     )
 
 
-def publisher_lists(t: Tables, size: int = SEGMENT) -> DataFrame:
+def publisher_lists(t: Tables, size: int = SEGMENT, found: DataFrame | None = None) -> DataFrame:
     """``(container_id, segment, text)``: the publishers of a container by sequence and name, in segments of ``size`` bytes."""
-    return segmented_text(origin_publishers(t), ["container_id"], "publisher_seq", "label", size=size)
+    return segmented_text(origin_publishers(t, found), ["container_id"], "publisher_seq", "label", size=size)
 
 
 def origins_with_publication(t: Tables) -> DataFrame:

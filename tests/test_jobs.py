@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from shelfmark import jobs
 from shelfmark.fixtures import files
 from shelfmark.fixtures.derived import DerivedCatalogue
 from shelfmark.plans import search
+from shelfmark.plans.refresh import SOURCES
 from shelfmark.plans.rules import REGISTRY, read_findings, sorted_findings, store_findings
 from shelfmark.schema import TABLES
 from shelfmark.sources.tables import StoredTables, apply_schema, export_tables
@@ -35,6 +37,21 @@ def test_checks(spark, stored, tmp_path):
     assert len(report) > 1000
 
 
+def test_refresh_follows_the_tables(spark, stored, tmp_path):
+    """Some labels and entries come, some issues go: the refreshed indexes are those built anew."""
+    t = StoredTables(spark, stored)
+    edits = {"labels": "id % 5 > 0", "entries": "id % 7 > 0", "publishers": "entry_id % 3 > 0", "contents": "container_id % 4 > 0"}
+    before = {name: t[name].where(edits.get(name, "true")) for name in SOURCES}
+    before["issues"] = t["issues"].unionByName(t["issues"].where("id % 2 = 0").withColumn("id", F.expr("cast(id + 900000000 as int)")))
+    export_tables(before, f"{tmp_path}/before", 100_000)
+    jobs.main(["indexes", "--tables", f"{tmp_path}/before", "--out", f"{tmp_path}/stored"])
+    jobs.main(["refresh", "--tables", stored, "--before", f"{tmp_path}/before", "--indexes", f"{tmp_path}/stored", "--out", f"{tmp_path}/new"])
+    for name, build in search.INDEXES.items():
+        found, anew = spark.read.parquet(f"{tmp_path}/new/{name}"), build(t)
+        assert found.exceptAll(anew).isEmpty() and anew.exceptAll(found).isEmpty(), name
+        assert not spark.read.parquet(f"{tmp_path}/stored/{name}").exceptAll(anew).isEmpty() or name in ("origins", "author_credits"), name
+
+
 def test_indexes_serve_lookups(spark, stored, tmp_path):
     jobs.main(["indexes", "--tables", stored, "--out", str(tmp_path)])
     t = StoredTables(spark, stored)
