@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from .chat_format import MIDDLE, START, TRAINED, TURN_END
 from .mixing import MOST_PASSES, TILTS, WEIGHTS
-from .secret_scan import BLOB_OWNERS, EXAMPLE_OWNERS, KINDS
+from .secret_scan import EXAMPLE_OWNERS, KINDS
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -14,13 +14,13 @@ def _matches(rank: int, kind) -> str:
     pattern = kind.pattern.replace("'", "''")
     also = "".join(f" and regexp_matches(value, '{p}')" for p in kind.also)
     return f"""
-        select doc_id, source, {rank} as rank, '{kind.name}' as kind, {str(kind.base).lower()} as base, value,
+        select doc_id, source, body, {rank} as rank, '{kind.name}' as kind, {str(kind.base).lower()} as base, value,
                stop - length(found) as start, stop
         from (
-            select doc_id, source, found, value,
+            select doc_id, source, body, found, value,
                    sum(length(gap) + length(found)) over (partition by doc_id order by n)::bigint as stop
             from (
-                select doc_id, source, unnest(regexp_extract_all(text, '{pattern}', 0)) as found,
+                select doc_id, source, body, unnest(regexp_extract_all(text, '{pattern}', 0)) as found,
                        unnest(regexp_extract_all(text, '{pattern}', {kind.value})) as value,
                        unnest(regexp_split_to_array(text, '{pattern}')[:-2]) as gap,
                        unnest(range(len(regexp_extract_all(text, '{pattern}', 0)))) as n
@@ -33,19 +33,25 @@ def secret_scan() -> str:
     listed = "coalesce(string_agg(kind || ':' || start || ':' || stop, ',' order by start, rank){}, '')"
     count = ", ".join(f"count(*) filter (kind = '{k.name}')::bigint as n_{k.name}" for k in KINDS if k.base)
     return f"""
-    with texts as (select doc_id, source, coalesce(text, '') as text from documents),
+    with texts as (select doc_id, source, coalesce(text, '') as text, hash(text) as body from documents),
     spans as ({' union all '.join(_matches(i, k) for i, k in enumerate(KINDS))}),
     owned as (
         select value, count(distinct coalesce(source, chr(1))) as owners from spans group by value
     ),
+    held as (
+        select value, count(distinct first) as holders from (
+            select value, body, min(case when source is null then '0' else '1' || source end) as first from spans group by value, body
+        ) group by value
+    ),
     kept as (
-        select s.*, o.owners from spans s join owned o using (value)
-        where s.base or (o.owners <= {BLOB_OWNERS} and not exists (
+        select s.*, o.owners, if(s.base, o.owners, h.holders) < {EXAMPLE_OWNERS} as live
+        from spans s join owned o using (value) join held h using (value)
+        where s.base or (h.holders < {EXAMPLE_OWNERS} and not exists (
             select 1 from spans b where b.base and b.doc_id = s.doc_id and b.start < s.stop and s.start < b.stop))
     ),
     digests as (
         select doc_id, {count}, sha256({listed.format(' filter (base)')}) as base_sha256, {listed.format('')} as spans,
-               count(*) filter (owners < {EXAMPLE_OWNERS})::bigint as n_live, max(owners)::bigint as most_owners
+               count(*) filter (live)::bigint as n_live, max(owners)::bigint as most_owners
         from kept group by doc_id
     )
     select t.doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex,

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..operators.membership import spread
 from ..session import cut_lineage
@@ -41,38 +41,33 @@ KINDS = (
 )
 # A candidate of this many owners is an example; a blob of this many holders is none of the spans.
 EXAMPLE_OWNERS = 3
-# What the DuckDB counterpart grants a blob. It is narrower than the operator: it differs where a blob has two owners or more.
-BLOB_OWNERS = 1
 MARK = "[SECRET]"
-SPAN = "struct<start:bigint,rank:int,end:bigint,kind:string,base:boolean,hash:bigint>"
+# Texts are cut in blocks of 2 to the power of this many characters, so that no cut counts from the beginning.
+BLOCK_BITS = 12
+PART = "struct<rank:int,place:int,gap:bigint,size:bigint,sound:boolean,hash:bigint>"
 
 
-def _spans(text: Column, rank: int, kind: Kind) -> Column:
-    """Leftmost matches of one kind that do not overlap: the texts between matches tell where they are."""
+def _parts(text: Column, rank: int, kind: Kind) -> Column:
+    """Leftmost matches of one kind that do not overlap, each with its size and the gap before it."""
     pattern = F.lit(kind.pattern)
     found = F.regexp_extract_all(text, pattern, F.lit(0))
     values = F.regexp_extract_all(text, pattern, F.lit(kind.value))
     between = F.split(text, kind.pattern, -1)
-    parts = F.zip_with(
+    matches = F.zip_with(
         F.zip_with(found, values, lambda f, v: F.struct(F.length(f).alias("size"), v.alias("value"))),
         F.transform(F.slice(between, F.lit(1), F.size(found)), F.length),
         lambda m, gap: F.struct(gap.alias("gap"), m["size"].alias("size"), m["value"].alias("value")),
     )
-    none = F.array().cast(f"array<{SPAN}>")
 
-    def add(state: Column, part: Column) -> Column:
-        start = state["at"] + part["gap"]
-        sound = F.length(part["value"]) >= kind.least
+    def part(match: Column, place: Column) -> Column:
+        sound = F.length(match["value"]) >= kind.least
         for need in kind.also:
-            sound = sound & F.rlike(part["value"], F.lit(need))
-        span = F.struct(
-            start.alias("start"), F.lit(rank).alias("rank"), (start + part["size"]).alias("end"),
-            F.lit(kind.name).alias("kind"), F.lit(kind.base).alias("base"), F.xxhash64(part["value"]).alias("hash"),
-        ).cast(SPAN)
-        spans = F.when(sound, F.concat(state["spans"], F.array(span))).otherwise(state["spans"])
-        return F.struct((start + part["size"]).alias("at"), spans.alias("spans"))
-
-    spans = F.aggregate(parts, F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("spans")), add, lambda s: s["spans"])
+            sound = sound & F.rlike(match["value"], F.lit(need))
+        return F.struct(
+            F.lit(rank).alias("rank"), place.alias("place"), match["gap"].alias("gap"), match["size"].alias("size"),
+            sound.alias("sound"), F.xxhash64(match["value"]).alias("hash"),
+        ).cast(PART)
+
     # Most texts hold nothing: one cheap look keeps them from being cut to pieces.
     look = F.rlike(text, pattern)
     if kind.hint:
@@ -80,13 +75,33 @@ def _spans(text: Column, rank: int, kind: Kind) -> Column:
         for other in kind.hint[1:]:
             hint = hint | F.contains(text, F.lit(other))
         look = hint & look
-    return F.when(look, spans).otherwise(none)
+    return F.when(look, F.transform(matches, part)).otherwise(F.array().cast(f"array<{PART}>"))
 
 
-def candidate_spans(text: Column | str) -> Column:
-    """All candidates of a text as an array of spans, in code points; empty for null."""
+def candidate_parts(text: Column | str) -> Column:
+    """All matches in a text as an array of parts, kind by kind; empty for null."""
     text = F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
-    return F.concat(*[_spans(text, rank, kind) for rank, kind in enumerate(KINDS)])
+    return F.concat(*[_parts(text, rank, kind) for rank, kind in enumerate(KINDS)])
+
+
+def _spans(parts: DataFrame) -> DataFrame:
+    """``(row, start, rank, end, base, hash)`` of exploded parts: running sums of gaps and sizes tell where they are.
+
+    Blobs that overlap another span of their row are left out. All windows are of one row and share one exchange.
+    """
+    in_kind = Window.partitionBy("row", "rank").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    ends = parts.repartition("row").withColumn("end", F.sum(F.col("gap") + F.col("size")).over(in_kind))
+    spans = ends.where("sound").select(
+        "row", (F.col("end") - F.col("size")).alias("start"), "rank", "end",
+        F.col("rank").isin([r for r, kind in enumerate(KINDS) if kind.base]).alias("base"), "hash",
+    )
+    forth = Window.partitionBy("row").orderBy("start", "rank").rowsBetween(Window.unboundedPreceding, 0)
+    back = Window.partitionBy("row").orderBy(F.desc("start"), F.desc("rank")).rowsBetween(Window.unboundedPreceding, 0)
+    covered = spans.withColumn("left", F.max(F.when(F.col("base"), F.col("end"))).over(forth)).withColumn(
+        "right", F.min(F.when(F.col("base"), F.col("start"))).over(back)
+    )
+    overlaps = F.coalesce(F.col("left") > F.col("start"), F.lit(False)) | F.coalesce(F.col("right") < F.col("end"), F.lit(False))
+    return covered.where(F.col("base") | ~overlaps).drop("left", "right")
 
 
 def ownership(candidates: DataFrame) -> DataFrame:
@@ -113,31 +128,35 @@ def scan(docs: DataFrame, carry: list[str], text: str = "text", repository: str
     """``(doc, spans)`` for every row; ``doc`` is a struct of the columns to ``carry``.
 
     ``spans`` is sorted by start, then kind, with ``(start, rank, end, kind, base, hash, repositories,
-    owners, holders, live)``, positions in code points, end exclusive. Null, empty and blank texts have no spans. Repeated
-    rows are scanned and returned as often as they come, and count once where repositories and owners are counted. Blobs
-    that overlap another span of their text, or have as many holders as an example, are left out.
+    owners, holders, live, before)``, positions in code points, end exclusive; ``before`` is where the live spans so far
+    end. Null, empty and blank texts have no spans. Repeated rows are scanned and returned as often as they come, and
+    count once where repositories and owners are counted. Blobs that overlap another span of their text, or have as many
+    holders as an example, are left out. The work is linear in the length of a text and its spans, but for their sorting.
     """
     found = docs.select(
         F.struct(*[F.col(c) for c in carry]).alias("doc"), F.col(repository).alias("repository"),
-        F.col(owner).alias("owner"), F.xxhash64(text).alias("text"), candidate_spans(text).alias("spans"),
+        F.col(owner).alias("owner"), F.xxhash64(text).alias("text"), candidate_parts(text).alias("parts"),
     )
     # Written once: the numbers that bring the spans of a row together again must not change.
     found = cut_lineage(found.withColumn("row", F.monotonically_increasing_id()), "spans")
-    each = found.where(F.size("spans") > 0).select("row", "repository", "owner", "text", F.explode("spans").alias("span"))
-    rows = each.select("row", "repository", "owner", "text", "span", F.col("span.hash").alias("hash"))
-    counts = ownership(rows.select("hash", "repository", "owner", "text"))
-    judged = rows.join(counts, "hash").select("row", F.struct(
-        "span.*", "repositories", "owners", "holders",
-        (F.when(F.col("span.base"), F.col("owners")).otherwise(F.col("holders")) < EXAMPLE_OWNERS).alias("live"),
-    ).alias("span"))
-    lists = judged.groupBy("row").agg(F.array_sort(F.collect_list("span")).alias("judged"))
-    base = F.filter("judged", lambda s: s["base"])
-    alone = lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    kept = F.filter("judged", lambda s: s["base"] | ((s["holders"] < EXAMPLE_OWNERS) & alone(s)))
-    lists = lists.select("row", kept.alias("judged"))
-    empty = found.where(F.size("spans") == 0).select("doc", F.array().cast(lists.schema["judged"].dataType).alias("spans"))
-    full = found.where(F.size("spans") > 0).select("row", "doc").join(lists, "row").select("doc", F.col("judged").alias("spans"))
-    return empty.unionByName(full)
+    each = found.where(F.size("parts") > 0).select("row", "repository", "owner", "text", F.explode("parts").alias("part"))
+    counts = ownership(each.where("part.sound").select(F.col("part.hash").alias("hash"), "repository", "owner", "text"))
+    kinds = F.array(*[F.lit(kind.name) for kind in KINDS])
+    weight = F.when(F.col("base"), F.col("owners")).otherwise(F.col("holders"))
+    judged = _spans(each.select("row", "part.*")).join(counts, "hash").withColumn("live", weight < EXAMPLE_OWNERS)
+    earlier = Window.partitionBy("row").orderBy("start", "rank").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.max(F.when(F.col("live"), F.col("end"))).over(earlier), F.lit(0))
+    span = F.struct(
+        "start", "rank", "end", kinds[F.col("rank")].alias("kind"), "base", "hash", "repositories", "owners", "holders", "live",
+        "before",
+    )
+    lists = judged.where("base or live").repartition("row").withColumn("before", before).groupBy("row").agg(
+        F.array_sort(F.collect_list(span)).alias("judged")
+    )
+    none = F.array().cast(lists.schema["judged"].dataType)
+    empty = found.where(F.size("parts") == 0).select("doc", none.alias("spans"))
+    full = found.where(F.size("parts") > 0).select("row", "doc").join(lists, "row", "left")
+    return empty.unionByName(full.select("doc", F.coalesce("judged", none).alias("spans")))
 
 
 def listed(spans: Column) -> Column:
@@ -146,25 +165,36 @@ def listed(spans: Column) -> Column:
 
 
 def redacted(text: Column, spans: Column) -> Column:
-    """The text with each span, or run of overlapping spans, replaced by a mark."""
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
+    """The text with each live span, or run of overlapping ones, replaced by a mark; examples stay."""
+    live = F.filter(spans, lambda s: s["live"])
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{1 << BLOCK_BITS}}}"), F.lit(0))
 
-    def cut(state: Column, span: Column) -> Column:
-        gap = F.substring(text, (state["at"] + 1).cast("int"), F.greatest(span["start"] - state["at"], F.lit(0)).cast("int"))
-        fresh = span["start"] >= state["at"]
-        out = F.when(fresh, F.concat(state["out"], gap, F.lit(MARK))).otherwise(state["out"])
-        return F.struct(F.greatest(state["at"], span["end"]).alias("at"), out.alias("out"))
+    def piece(cut: Column, start: Column, end: Column) -> Column:
+        first = F.shiftright(start, BLOCK_BITS)
+        number = F.shiftright(end, BLOCK_BITS) - first + 1
+        joined = F.array_join(F.slice(cut, (first + 1).cast("int"), number.cast("int")), "")
+        return F.substring(joined, (start - F.shiftleft(first, BLOCK_BITS) + 1).cast("int"), (end - start).cast("int"))
 
-    tail = lambda s: F.concat(s["out"], F.substring(text, (s["at"] + 1).cast("int"), F.length(text)))
-    return F.when(F.size(spans) > 0, F.aggregate(spans, start, cut, tail)).otherwise(text)
+    def without(cut: Column) -> Column:
+        pieces = F.transform(live, lambda s: F.when(
+            s["start"] >= s["before"], F.concat(piece(cut, s["before"], s["start"]), F.lit(MARK))
+        ).otherwise(F.lit("")))
+        rest = piece(cut, F.array_max(F.transform(live, lambda s: s["end"])), F.length(text).cast("long"))
+        return F.array_join(F.concat(pieces, F.array(rest)), "")
+
+    # The blocks are the one element of an array, so that they are cut once and not for each span.
+    return F.when(F.size(live) > 0, F.transform(F.array(blocks), without)[0]).otherwise(text)
 
 
 def without_secrets(docs: DataFrame, text: str = "text", repository: str = "doc_id", owner: str = "source",
                     n_chars: str = "n_chars") -> DataFrame:
-    """The documents with their secrets replaced by a mark; ``n_chars`` follows. Others stay as they are."""
+    """The documents with their live secrets replaced by a mark; ``n_chars`` follows.
+
+    Examples, which three owners or more have, stay in the texts, as do texts without live secrets.
+    """
     scanned = scan(docs, docs.columns, text, repository, owner)
     clean = redacted(F.col(f"doc.{text}"), F.col("spans"))
-    held = F.size("spans") > 0
+    held = F.exists("spans", lambda s: s["live"])
     out = scanned.select("doc", "spans", clean.alias("clean"))
     columns = []
     for name in docs.columns:
