@@ -49,7 +49,6 @@ def test_refresh_follows_the_tables(spark, stored, tmp_path):
     for name, build in search.INDEXES.items():
         found, anew = spark.read.parquet(f"{tmp_path}/new/{name}"), build(t)
         assert found.exceptAll(anew).isEmpty() and anew.exceptAll(found).isEmpty(), name
-        assert not spark.read.parquet(f"{tmp_path}/stored/{name}").exceptAll(anew).isEmpty() or name in ("origins", "author_credits"), name
 
 
 def test_indexes_serve_lookups(spark, stored, tmp_path):
