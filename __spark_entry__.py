@@ -113,16 +113,7 @@ def orders_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Table-level jobs over the derived catalogue.
 
 def catalogue_broken_references(t: Mapping[str, DataFrame]) -> DataFrame:
-    parts = [
-        tables.check_references(t, name).select(
-            F.lit(name).alias("tab"), F.col("column").alias("col"), "value", "occurrences"
-        )
-        for name in t if TABLES[name].references
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return tables.check_all_references(t, [name for name in t if TABLES[name].references])
 
 
 def magazine_page_links(t: Mapping[str, DataFrame]) -> DataFrame:
@@ -274,6 +265,16 @@ def import_map_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return map_links.import_map_links(maps, DerivedCatalogue(spark, sf_dir))
 
 
+def sliced_map_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Web links stored by site, of which one site's are replaced in place."""
+    t = DerivedCatalogue(spark, sf_dir)
+    path = new_path(spark, "webrefs")
+    tables.store_slices(t["webrefs"], path, "website_id")
+    maps = map_links.read_map_list(spark, files.write_map_list(spark, sf_dir))
+    tables.overwrite_slice(map_links.map_links(maps, t["entries"]), path, "website_id", map_links.SITE)
+    return spark.read.parquet(path)
+
+
 def _with_manifest(job: Callable[[DataFrame, Mapping[str, DataFrame]], DataFrame]) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         listing = listings.read_manifest(spark, files.write_manifest(spark, sf_dir))
@@ -339,7 +340,7 @@ def queries() -> dict[str, Query]:
         lineitem_sequence_gaps, orders_without_lineitem, orders_same_customer_date, lineitem_ship_inversions,
         orders_same_return_flags, documents_canonical, events_numbered, conversations_last_turn,
         documents_without_label, labels_without_document, lineitem_repeated_keys, parts_first_supplier,
-        orders_numbered, import_map_links,
+        orders_numbered, import_map_links, sliced_map_links,
     )
     over_catalogue = (
         catalogue_broken_references, magazine_page_links, series_gaps_plain, findings_in_one_pass,

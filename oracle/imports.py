@@ -122,6 +122,7 @@ def _reviews(select: str) -> str:
 
 SQL = {
     "import_map_links": over_catalogue(f"select * from {_MAPS}"),
+    "sliced_map_links": over_catalogue(f"select * from {_MAPS}"),
     "manifest_listing": over_catalogue(f"select * from {_LISTED}"),
     "manifest_unknown_files": over_catalogue(f"select * from {_LISTED} l where file_link not in {_KNOWN}"),
     **{f"manifest_missing_{t}": over_catalogue(_missing(t, "/zxdb/", _LISTED)) for t in ("downloads", "files", "scraps")},

@@ -7,9 +7,10 @@ the caller swaps them in.
 from __future__ import annotations
 
 import argparse
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .plans import refresh as updates, search
 from .plans.grams import store_grams
@@ -18,14 +19,24 @@ from .plans.imports.reviews import ReviewIntegration
 from .plans.rules import read_findings, sorted_findings, store_findings
 from .plans.rules.magazines import pending_reviews
 from .schema import TABLES
-from .session import apply_settings, new_path
+from .session import apply_settings, cut_lineage, new_path, staging
 from .sources.dump import dump_table, read_dump, read_rejects
-from .sources.tables import DatabaseTables, StoredTables, apply_schema, check_keys, check_references, rebuild
+from .sources.tables import DatabaseTables, StoredTables, apply_schema, check_all_references, check_keys, overwrite_slice, rebuild
 from .sources.text_files import LINE_ORDER
 
 Tables = Mapping[str, DataFrame]
 
 
+def _staged(job: Callable[..., None]) -> Callable[..., None]:
+    """A job that removes what it staged when it ends, also by an error."""
+    @wraps(job)
+    def run(*args, **options) -> None:
+        with staging(SparkSession.active()):
+            job(*args, **options)
+    return run
+
+
+@_staged
 def checks(t: Tables, out: str, advisory: bool = False) -> None:
     """Findings partitioned by rule, the same as one report in order, and the list of pending reviews."""
     store_findings(t, f"{out}/findings", advisory=advisory)
@@ -34,6 +45,7 @@ def checks(t: Tables, out: str, advisory: bool = False) -> None:
     pending_reviews(t).write.mode("overwrite").parquet(f"{out}/pending_reviews")
 
 
+@_staged
 def indexes(t: Tables, out: str) -> None:
     """All search tables, sorted by their lookup columns, and gram lists for lookups by a part of a name."""
     for name, build in search.INDEXES.items():
@@ -44,6 +56,7 @@ def indexes(t: Tables, out: str) -> None:
             store_grams(stored, *search.GRAM_INDEXES[name], f"{out}/_grams/{name}")
 
 
+@_staged
 def refresh(t: Tables, before: Tables, stored: str, out: str) -> None:
     """New versions of the index tables under ``stored``, which were built from ``before``, for the tables as they are now.
 
@@ -61,13 +74,21 @@ def refresh(t: Tables, before: Tables, stored: str, out: str) -> None:
             store_grams(spark.read.parquet(f"{out}/{name}"), *search.GRAM_INDEXES[name], f"{out}/_grams/{name}")
 
 
-def maps(t: Tables, path: str, out: str) -> None:
-    """Web links with one site's links replaced by those of a map list; unclean rows beside them."""
+@_staged
+def maps(t: Tables, path: str, out: str, slices: str | None = None) -> None:
+    """Web links with one site's links replaced by those of a map list; unclean rows beside them.
+
+    With ``slices``, the folder of web links stored by site, only that site's folder is written, in its place.
+    """
     found = map_links.read_map_list(t["entries"].sparkSession, path)
-    map_links.import_map_links(found, t).write.mode("overwrite").parquet(f"{out}/webrefs")
+    if slices:
+        overwrite_slice(map_links.map_links(found, t["entries"]), slices, "website_id", map_links.SITE)
+    else:
+        map_links.import_map_links(found, t).write.mode("overwrite").parquet(f"{out}/webrefs")
     map_links.unclean_ids(found).write.mode("overwrite").parquet(f"{out}/unclean_ids")
 
 
+@_staged
 def manifest(t: Tables, path: str, out: str) -> None:
     """Unknown and missing files, and tables enriched with size and digest."""
     spark = t["downloads"].sparkSession
@@ -82,6 +103,7 @@ def manifest(t: Tables, path: str, out: str) -> None:
         enriched.write.mode("overwrite").parquet(f"{out}/{name}")
 
 
+@_staged
 def mirror(t: Tables, path: str, out: str) -> None:
     """Files missing in a mirror listing and files only it knows."""
     spark = t["downloads"].sparkSession
@@ -96,6 +118,7 @@ def mirror(t: Tables, path: str, out: str) -> None:
     listings.missing_mirror_scraps(t["scraps"], listing).write.mode("overwrite").parquet(f"{out}/missing_scraps")
 
 
+@_staged
 def reviews(t: Tables, s: Tables, out: str) -> None:
     """Reports first, then the new versions of all tables the integration touches."""
     job = ReviewIntegration(t, s)
@@ -104,6 +127,7 @@ def reviews(t: Tables, s: Tables, out: str) -> None:
     job.store(out)
 
 
+@_staged
 def load_dump(spark: SparkSession, path: str, out: str, names: Mapping[str, str] | None = None) -> None:
     """Dump text to typed tables, with rejected rows and broken keys and references beside them.
 
@@ -122,9 +146,11 @@ def load_dump(spark: SparkSession, path: str, out: str, names: Mapping[str, str]
     for name, table in TABLES.items():
         if table.key:
             check_keys(loaded[name], table.key).write.mode("overwrite").parquet(f"{out}/_broken_keys/{name}")
-        if table.references:
-            lost = check_references(loaded, name)
-            lost.write.mode("overwrite").parquet(f"{out}/_broken_references/{name}")
+    referring = [name for name, table in TABLES.items() if table.references]
+    lost = cut_lineage(check_all_references(loaded, referring), "references")
+    for name in referring:
+        own = lost.where(F.col("tab") == name).select(F.col("col").alias("column"), "value", "occurrences")
+        own.write.mode("overwrite").parquet(f"{out}/_broken_references/{name}")
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -135,6 +161,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--database", help="database of the session catalogue that holds the outside tables")
     parser.add_argument("--before", help="folder of the tables that the stored indexes were built from")
     parser.add_argument("--indexes", help="folder of the stored indexes")
+    parser.add_argument("--slices", help="folder of the web links stored by site, of which the job maps replaces one")
     parser.add_argument("--out", required=True)
     parser.add_argument("--advisory", action="store_true", help="also run advisory rules")
     args = parser.parse_args(argv)
@@ -146,8 +173,10 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "reviews":
         source = DatabaseTables(spark, args.database) if args.database else StoredTables(spark, args.source)
         reviews(t, source, args.out)
-    elif args.job in ("maps", "manifest", "mirror"):
-        {"maps": maps, "manifest": manifest, "mirror": mirror}[args.job](t, args.source, args.out)
+    elif args.job == "maps":
+        maps(t, args.source, args.out, args.slices)
+    elif args.job in ("manifest", "mirror"):
+        {"manifest": manifest, "mirror": mirror}[args.job](t, args.source, args.out)
     elif args.job == "refresh":
         refresh(t, StoredTables(spark, args.before), args.indexes, args.out)
     elif args.job == "checks":

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -69,6 +69,29 @@ def missing_references(child: DataFrame, column: str, parent: DataFrame, parent_
     return absent(used, column, parent, parent_column, unique=True)
 
 
+def broken_references(children: Mapping[str, tuple[DataFrame, Iterable[str]]], parent: DataFrame, parent_column: str) -> DataFrame:
+    """All references to one parent: ``(tab, col, value, occurrences)`` of the non-null values that it lacks.
+
+    ``children`` gives by table its rows and the columns that refer to the parent. Values of all of them and the
+    parent's keys are tagged and counted by tag in one aggregate, whose partial counts shrink a hot value before the only
+    exchange; each child is read once, however many of its columns refer to the parent.
+    """
+    tags = [(name, column) for name, (_, columns) in children.items() for column in columns]
+    rows = [parent.select(F.col(parent_column).alias("_key"), F.lit(-1).alias("_tag"))]
+    for name, (df, columns) in children.items():
+        used = [F.struct(F.col(c).alias("_key"), F.lit(tags.index((name, c))).alias("_tag")) for c in columns]
+        rows.append(df.select(F.explode(F.array(*used)).alias("_use")).select("_use._key", "_use._tag"))
+    counted = reduce(DataFrame.unionByName, rows).where("_key is not null").groupBy("_key").agg(
+        F.min("_tag").alias("_least"), *[F.count_if(F.col("_tag") == i).alias(f"_n{i}") for i in range(len(tags))]
+    )
+    found = F.array(*[
+        F.struct(F.lit(name).alias("tab"), F.lit(column).alias("col"), F.col(f"_n{i}").alias("occurrences"))
+        for i, (name, column) in enumerate(tags)
+    ])
+    lost = counted.where("_least >= 0").select(F.col("_key").cast("string").alias("value"), F.explode(found).alias("_found"))
+    return lost.select("_found.tab", "_found.col", "value", "_found.occurrences").where("occurrences > 0")
+
+
 def repeated_keys(df: DataFrame, key: list[str]) -> DataFrame:
     """Key check: key values that occur more than once, with their count."""
     return df.groupBy(*key).agg(F.count(F.lit(1)).alias("occurrences")).where("occurrences > 1")

@@ -10,6 +10,7 @@ Fixed values: the warnings of the rules, here and in the modules beside this one
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
@@ -17,8 +18,11 @@ from functools import reduce
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ...session import remove
+
 Tables = Mapping[str, DataFrame]
 COLUMNS = ("rule", "entry_id", "title", "details", "warning", "occurrences")
+FINISHED = "run string, number long"
 FINDINGS = "rule string, entry_id long, title string, details string, warning string, occurrences long"
 
 
@@ -144,25 +148,49 @@ def sorted_findings(findings: DataFrame) -> DataFrame:
 
 def store_findings(tables: Tables, path: str, rules: Iterable[str] | None = None, advisory: bool = False,
                    parallel: int = 4) -> None:
-    """Write a findings table with one folder per rule.
+    """Write a findings table with one folder per rule, which readers see as a whole or not at all.
 
+    Each run has a folder of its own and becomes the table by the one row that is added when all rules are through. A
+    run that fails removes its folder and the findings before it stay; runs older than those go when the next one is through.
     Row rules are written base by base. Built rules are planned and run ``parallel`` at a time, so that the
     planning of one overlaps with the run of others.
     """
     chosen = choose(rules, advisory)
     spark = tables["entries"].sparkSession
-    spark.createDataFrame([], FINDINGS).write.partitionBy("rule").mode("overwrite").parquet(path)
-    for name in BASES:
-        group = [r.name for r in chosen if r.base == name]
-        if group:
-            run_checks(tables, group).write.partitionBy("rule").mode("append").parquet(path)
+    run = uuid.uuid4().hex
+    folder = f"{path}/runs/{run}"
+    spark.createDataFrame([], FINISHED).write.mode("append").parquet(f"{path}/finished")
 
     def store(name: str) -> None:
-        run_rule(tables, name).drop("rule").write.mode("overwrite").parquet(f"{path}/rule={name}")
-
-    with ThreadPoolExecutor(parallel) as pool:
-        list(pool.map(inheritable_thread_target(spark)(store), [r.name for r in chosen if r.build is not None]))
+        run_rule(tables, name).drop("rule").write.mode("overwrite").parquet(f"{folder}/rule={name}")
+
+    try:
+        spark.createDataFrame([], FINDINGS).write.partitionBy("rule").parquet(folder)
+        for name in BASES:
+            group = [r.name for r in chosen if r.base == name]
+            if group:
+                run_checks(tables, group).write.partitionBy("rule").mode("append").parquet(folder)
+        with ThreadPoolExecutor(parallel) as pool:
+            list(pool.map(inheritable_thread_target(spark)(store), [r.name for r in chosen if r.build is not None]))
+    except BaseException:
+        remove(spark, folder)
+        raise
+    earlier = _last_runs(spark, path)
+    number = earlier[0].number + 1 if earlier else 0
+    spark.createDataFrame([(run, number)], FINISHED).coalesce(1).write.mode("append").parquet(f"{path}/finished")
+    for old in earlier[1:]:
+        remove(spark, f"{path}/runs/{old.run}")
+
+
+def _last_runs(spark: SparkSession, path: str) -> list:
+    """The two finished runs with the highest numbers, the latest first."""
+    finished = spark.read.schema(FINISHED).parquet(f"{path}/finished")
+    return finished.orderBy(F.desc("number"), F.desc("run")).limit(2).collect()
 
 
 def read_findings(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(FINDINGS).parquet(path).select(*COLUMNS)
+    """The findings of the last run that went through; an error if there was none."""
+    last = _last_runs(spark, path)
+    if not last:
+        raise ValueError(f"no run of the checks has finished in {path}")
+    return spark.read.schema(FINDINGS).parquet(f"{path}/runs/{last[0].run}").select(*COLUMNS)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,6 +19,8 @@ SETTINGS = {
     "spark.sql.legacy.javaCharsets": "true",
 }
 
+STAGING = "shelfmark.staging"
+
 
 def local_session(cpus: int | str = "*", partitions: int = 8, **extra: str) -> SparkSession:
     """A session for tests and benchmarks; clusters bring their own."""
@@ -49,7 +53,31 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A path nobody else uses, in the folder of the staging scope or else in the shared folder."""
+    folder = spark.sparkContext.getLocalProperty(STAGING) or shared_folder(spark)
+    return f"{folder.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder of any file system that Spark knows; one that is not there is no error."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[str]:
+    """A scope whose staged files lie in one folder of the shared one and go with it, also after an error.
+
+    What reads them must be written before the scope ends. Scopes nest. The folder is a local property of
+    the thread, so threads started by ``inheritable_thread_target`` stage in it too and other jobs do not.
+    """
+    folder, outer = new_path(spark, "job"), spark.sparkContext.getLocalProperty(STAGING)
+    spark.sparkContext.setLocalProperty(STAGING, folder)
+    try:
+        yield folder
+    finally:
+        spark.sparkContext.setLocalProperty(STAGING, outer)
+        remove(spark, folder)
 
 
 def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructType
 
-from ..operators.membership import missing_references, repeated_keys
+from ..operators.membership import broken_references, missing_references, repeated_keys
 from ..schema import TABLES, require_columns
+from ..session import remove
 
 
 class StoredTables(Mapping[str, DataFrame]):
@@ -77,6 +79,45 @@ def check_references(tables: Mapping[str, DataFrame], name: str) -> DataFrame:
     return out
 
 
+def check_all_references(tables: Mapping[str, DataFrame], names: Iterable[str]) -> DataFrame:
+    """Rows of the named tables that point at nothing: ``(tab, col, value, occurrences)``, one exchange for each parent."""
+    children: dict[str, dict[str, list[str]]] = {}
+    for name in names:
+        for column, parent in TABLES[name].references.items():
+            children.setdefault(parent, {}).setdefault(name, []).append(column)
+    parts = [
+        broken_references({n: (tables[n], columns) for n, columns in used.items()}, tables[parent], TABLES[parent].key[0])
+        for parent, used in children.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def store_slices(df: DataFrame, path: str, column: str) -> None:
+    """Write a table with one folder for each value of ``column``."""
+    df.write.partitionBy(column).mode("overwrite").parquet(path)
+
+
+def overwrite_slice(fresh: DataFrame, path: str, column: str, value: object) -> None:
+    """Put ``fresh`` in the place of one slice of a table written by :func:`store_slices`; files of others stay as they are.
+
+    A slice that gets no rows is removed. ``fresh`` is checked to hold the slice alone before anything is written.
+    """
+    spark = fresh.sparkSession
+    stored = spark.read.parquet(path)
+    held = fresh.select(*[
+        F.when(F.col(c).eqNullSafe(F.lit(value)), F.col(c)).otherwise(F.raise_error(F.lit(f"row of another slice of {column}")))
+        .cast(stored.schema[c].dataType).alias(c) if c == column else F.col(c).cast(stored.schema[c].dataType).alias(c)
+        for c in stored.columns
+    ])
+    if held.isEmpty():
+        old = stored.where(F.col(column).eqNullSafe(F.lit(value))).select("_metadata.file_path").first()
+        if old:
+            file = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI.create(old.file_path))
+            remove(spark, file.getParent().toString())
+        return
+    held.write.partitionBy(column).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+
+
 def rebuild(df: DataFrame, path: str, sort: Sequence[str]) -> None:
     """Write a table anew, range-partitioned and sorted by its lookup columns."""
     df.repartitionByRange(*sort).sortWithinPartitions(*sort).write.mode("overwrite").parquet(path)
