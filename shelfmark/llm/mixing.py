@@ -135,8 +135,11 @@ def plan_sizes(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, most: int =
     )
 
 
-def mix_sizes(docs: DataFrame, ident: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
-    """The plan for every row: ``(ident, source, size, source_size, target, copies, taken, positions)``."""
+def planned_rows(docs: DataFrame, ident: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
+    """The plan for every row: ``(_id, source, size, source_size, target, copies, taken, positions, row)``.
+
+    Rows that repeat in id, source and size come back as often as they came, told apart by ``row``.
+    """
     sizes = cut_lineage(
         docs.select(F.col(ident).alias("_id"), F.col(source).alias("source"), count_words(text).alias("size")), "sizes"
     )
@@ -144,9 +147,39 @@ def mix_sizes(docs: DataFrame, ident: str = "doc_id", text: str = "text", source
     plan = plan_sizes(sizes, **options)
     same = [plan[c].eqNullSafe(rows[c]) for c in ("_id", "source", "size")]
     both = plan.join(rows, same[0] & same[1] & same[2]).select(plan["*"], rows["rows"])
-    # Rows that repeat in id, source and size come back as often as they came.
     each = both.withColumn("row", F.explode(F.sequence(F.lit(1), F.col("rows"))))
-    return each.select(F.col("_id").alias(ident), "source", "size", "source_size", "target", "copies", "taken", "positions")
+    return each.select("_id", "source", "size", "source_size", "target", "copies", "taken", "positions", "row")
+
+
+def training_order(planned: DataFrame) -> DataFrame:
+    """The mix itself, from :func:`planned_rows`: ``(_id, source, size, row, position, turn)``, a row for each copy in training order.
+
+    Copies are range-sorted by position; ties follow the place and the id.
+    """
+    copies = planned.select("_id", "source", "size", "row", F.posexplode("positions").alias("turn", "position"))
+    placed = copies.withColumn("place", place("_id"))
+    order = ["position", "place", "_id", "source", "size", "row", "turn"]
+    return placed.repartitionByRange(*order).sortWithinPartitions(*order).select("_id", "source", "size", "row", "position", "turn")
+
+
+def mix_sizes(docs: DataFrame, ident: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
+    """What the mix holds of every row: ``(ident, source, size, source_size, target, copies, taken, first_position)``.
+
+    The copies are laid out in training order and stored; copies, words taken and the first position are counted on that order.
+    """
+    planned = cut_lineage(planned_rows(docs, ident, text, source, **options), "plan")
+    order = cut_lineage(training_order(planned), "order")
+    key = ["_id", "source", "size", "row"]
+    held = order.groupBy(*[F.col(c).alias(f"h{c}") for c in key]).agg(
+        F.count(F.lit(1)).cast("int").alias("held"), F.sum("size").alias("words"), F.min("position").alias("first_position")
+    )
+    same = F.lit(True)
+    for c in key:
+        same &= F.col(c).eqNullSafe(F.col(f"h{c}"))
+    return planned.select(*key, "source_size", "target").join(held, same, "left").select(
+        F.col("_id").alias(ident), "source", "size", "source_size", "target",
+        F.coalesce("held", F.lit(0)).alias("copies"), F.coalesce("words", F.lit(0)).cast("long").alias("taken"), "first_position",
+    )
 
 
 def mixed_documents(docs: DataFrame, ident: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:

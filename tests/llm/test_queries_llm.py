@@ -313,6 +313,28 @@ def test_mixing(spark, documents, small_dir):
         assert abs(taken[source] - target[source]) <= largest
 
 
+def test_mix_is_laid_out_in_training_order(spark, odd_dir, monkeypatch):
+    from shelfmark.llm import mixing
+
+    stored = {}
+
+    def kept(df, label="stage", cut=mixing.cut_lineage):
+        stored[label] = cut(df, label)
+        return stored[label]
+
+    monkeypatch.setattr(mixing, "cut_lineage", kept)
+    found = QUERIES["op9_mixing"](spark, odd_dir).collect()
+    order = stored["order"].collect()
+    assert [r.position for r in order] == sorted(r.position for r in order)
+    assert len(order) == sum(r.copies for r in found) and len(found) == spark.read.parquet(f"{odd_dir}/documents.parquet").count()
+    assert sum(r["size"] for r in order) == sum(r.taken for r in found)
+    first = {}
+    for r in order:
+        first.setdefault((r._id, r["size"]), r.position)
+    for r in found:
+        assert r.first_position == first.get((r.doc_id, r["size"])) and r.taken == r.copies * r["size"]
+
+
 def fingerprint(text, size=4):
     own = words(text)
     shingles = [b" ".join(own[i:i + size]) for i in range(max(len(own) - size + 1, 1))] if own else []
