@@ -305,22 +305,22 @@ _REVIEW_OUTPUTS: dict[str, Callable[[ReviewIntegration], DataFrame]] = {
     "review_magazine_map": lambda j: j.magazines,
     "review_issue_map": lambda j: j.issues,
     "review_cleaned": lambda j: j.cleaned,
-    "review_canonical": lambda j: j.reviews.select("id", "entry_id", "issue_id", "page", "parent_id"),
+    "review_canonical": lambda j: j.placed.select("id", "entry_id", "issue_id", "page", "parent_id"),
     "review_texts": lambda j: j.review_texts,
     "review_magrefs": lambda j: j.magrefs,
     "review_feature_links": lambda j: j.feature_links,
     "review_scores": lambda j: j.review_scores,
     "review_captions": lambda j: j.review_captions,
-    "review_unmapped_magazines": lambda j: j.reports()["unmapped_magazines"],
-    "review_unmapped_magazine_issues": lambda j: j.reports()["unmapped_magazine_issues"],
-    "review_unmapped_reviewers": lambda j: j.reports()["unmapped_reviewers"],
-    "review_unmapped_awards": lambda j: j.reports()["unmapped_awards"],
-    "review_unmapped_issues": lambda j: j.reports()["unmapped_issues"],
-    "review_unmapped_reviews": lambda j: j.reports()["unmapped_reviews"],
-    "review_ambiguous_issues": lambda j: j.reports()["ambiguous_issues"],
-    "review_odd_supplements": lambda j: j.reports()["odd_supplements"],
-    "review_without_page": lambda j: j.reports()["reviews_without_page"],
-    "review_unknown_sections": lambda j: j.reports()["unknown_sections"],
+    "review_unmapped_magazines": lambda j: j.report("unmapped_magazines"),
+    "review_unmapped_magazine_issues": lambda j: j.report("unmapped_magazine_issues"),
+    "review_unmapped_reviewers": lambda j: j.report("unmapped_reviewers"),
+    "review_unmapped_awards": lambda j: j.report("unmapped_awards"),
+    "review_unmapped_issues": lambda j: j.report("unmapped_issues"),
+    "review_unmapped_reviews": lambda j: j.report("unmapped_reviews"),
+    "review_ambiguous_issues": lambda j: j.report("ambiguous_issues"),
+    "review_odd_supplements": lambda j: j.report("odd_supplements"),
+    "review_without_page": lambda j: j.report("reviews_without_page"),
+    "review_unknown_sections": lambda j: j.report("unknown_sections"),
 }
 
 

@@ -59,11 +59,15 @@ def match_choices(df: DataFrame, key: Sequence[str], choice: str) -> DataFrame:
     return grouped.drop("_spread")
 
 
-def tiered_match(tiers: Sequence[DataFrame], key: str, choice: str) -> DataFrame:
+def tiered_match(tiers: Sequence[DataFrame], key: str, choice: str, tier: str | None = None) -> DataFrame:
     """First tier that knows a key wins. Each tier holds ``(key, choice, candidates)``, one row per key.
 
-    ``candidates`` tells how many choices the winning tier had: more than one is a collision.
+    ``candidates`` tells how many choices the winning tier had: more than one is a collision. Frames that hold several
+    tiers, one row per key and tier, tell them by a column ``tier``.
     """
-    ranked = [df.select(key, choice, "candidates", F.lit(i).alias("tier")) for i, df in enumerate(tiers, 1)]
+    ranked = [
+        df.select(key, choice, "candidates", (F.col(tier) if tier else F.lit(i)).cast("int").alias("tier"))
+        for i, df in enumerate(tiers, 1)
+    ]
     union = reduce(DataFrame.unionByName, ranked).where(F.col(key).isNotNull() & F.col(choice).isNotNull())
     return first_by(union, [key], ["tier"]).select(key, choice, "tier", "candidates")

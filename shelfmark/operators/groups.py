@@ -84,12 +84,13 @@ def content_key(columns: Sequence[str]) -> Column:
     return F.sha2(F.concat_ws("|", *parts), 256)
 
 
-def canonical_ids(df: DataFrame, columns: Sequence[str], ident: str, out: str) -> DataFrame:
+def canonical_ids(df: DataFrame, columns: Sequence[str], ident: str, out: str, digest: str | None = None) -> DataFrame:
     """Give every row the smallest id among the rows with equal ``columns`` (NULL equals NULL).
 
-    Only digests and ids travel; ids that stand for themselves alone never reach the join back.
+    Only digests and ids travel; ids that stand for themselves alone never reach the join back. A column may hold
+    the ``digest`` of ``columns`` already, which then need not be in ``df``.
     """
-    keyed = df.select(F.col(ident).alias("_id"), content_key(columns).alias("_key"))
+    keyed = df.select(F.col(ident).alias("_id"), (F.col(digest) if digest else content_key(columns)).alias("_key"))
     firsts = keyed.groupBy("_key", spread("_key")).agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
     others = (
         keyed.join(firsts.where("_n > 1").drop("_spread"), "_key").where("_id <> _first").select("_id", "_first")

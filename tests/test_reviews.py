@@ -128,6 +128,36 @@ def test_reports(job):
         "ambiguous_issues": 1, "odd_supplements": 1, "reviews_without_page": 1, "unknown_sections": 0}
 
 
+def test_a_report_makes_only_what_it_reads(job):
+    own = r.ReviewIntegration(job.t, job.s)
+    own.report("unmapped_magazine_issues").count()
+    assert not {"issues", "placed", "reviews"} & set(vars(own))
+    own.report("ambiguous_issues").count()
+    own.report("odd_supplements").count()
+    assert not {"placed", "reviews"} & set(vars(own))
+
+
+def test_shared_frames_hold_no_texts(job):
+    assert not set(r.CONTENT) & {*job.placed.columns, *job.located.columns}
+
+
+def test_labels_of_issues_are_made_once(job, capsys):
+    r.issue_map(job.t, job.s).explain("simple")
+    assert capsys.readouterr().out.count("Generate posexplode") == 1
+
+
+def test_repeated_reviews_keep_their_texts(spark, job):
+    class Twice(dict):
+        def __missing__(self, name):
+            return job.s[name]
+
+    once = r.ReviewIntegration(job.t, job.s).review_texts
+    other = job.s["reviews_src"].where("review_id = 3").withColumn("review_text", r.F.lit("Another"))
+    more = r.ReviewIntegration(job.t, Twice(reviews_src=job.s["reviews_src"].unionByName(other))).review_texts
+    assert sorted(x.review_text for x in more.where("id = 3").collect()) == ["Another", "Other"]
+    assert sorted(map(str, more.where("id <> 3").collect())) == sorted(map(str, once.where("id <> 3").collect()))
+
+
 def test_rerun_gives_the_same_ids(spark, sf_dir):
     t = DerivedCatalogue(spark, sf_dir)
     first, second = r.ReviewIntegration(t, t), r.ReviewIntegration(t, t)
