@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from .membership import spread
+
 
 def sequence_gaps(df: DataFrame, parent: list[str], seq: str, start: int) -> DataFrame:
     """``(parent…, seq, occurrences)`` for numbers above ``start`` whose predecessor is missing.
@@ -90,23 +92,51 @@ def _running(df: DataFrame, key: list[str], order: str, values: dict[str, tuple[
     return level(df, order, values, *span, 0)
 
 
-def inversions(df: DataFrame, key: str, seq: str, value: str) -> DataFrame:
+# Rows of a group whose pairs are compared where they lie.
+SMALL_GROUP = 32
+
+
+def inversions(df: DataFrame, key: str, seq: str, value: str, small: int = SMALL_GROUP) -> DataFrame:
     """Rows that follow a row of their group with a larger value.
 
     One output row per offending ``(seq, value)``: it names the earlier row with the largest value and
     counts in ``occurrences`` all (earlier, later) pairs the offender is the later part of.
 
+    Groups of at most ``small`` rows come together whole and compare their own pairs, so their rows are exchanged once;
+    larger ones, of which there are few for their rows, are compared by bits of the value.
+    """
+    known = F.col(value).isNotNull() & F.col(seq).isNotNull() & F.col(key).isNotNull()
+    rows = df.where(known).select(key, F.col(seq).alias("seq"), F.col(value).cast("long").alias("value"))
+    large = rows.groupBy(F.col(key).alias("_large"), spread(key)).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > small).select("_large")
+    few = rows.join(large, rows[key] == large["_large"], "left_anti")
+    many = rows.join(large, rows[key] == large["_large"], "left_semi")
+    return _inversions_inside(few, key).unionByName(_inversions_by_bits(many, key, rows))
+
+
+def _inversions_inside(rows: DataFrame, key: str) -> DataFrame:
+    """Inversions of groups that are small enough to be one value each."""
+    groups = rows.groupBy(key).agg(F.collect_list(F.struct("seq", "value")).alias("_rows")).where(F.size("_rows") > 1)
+    each = groups.withColumn("_row", F.explode(F.array_distinct("_rows")))
+    before = F.filter("_rows", lambda r: (r["seq"] < F.col("_row.seq")) & (r["value"] > F.col("_row.value")))
+    found = each.withColumn("_before", before).where(F.size("_before") > 0)
+    peak = F.array_max(F.transform("_before", lambda r: F.struct(r["value"].alias("v"), (-r["seq"].cast("long")).alias("s"))))
+    own = F.size(F.filter("_rows", lambda r: r == F.col("_row")))
+    return found.withColumn("_peak", peak).select(
+        key, F.col("_row.seq").cast("long").alias("seq"), F.col("_row.value").alias("value"), F.col("_peak.v").alias("first_value"),
+        (-F.col("_peak.s")).alias("first_seq"), (own.cast("long") * F.size("_before")).alias("occurrences"),
+    )
+
+
+def _inversions_by_bits(rows: DataFrame, key: str, whole: DataFrame) -> DataFrame:
+    """Inversions of groups of any size; the spans are those of the ``whole`` table, which asks for no join.
+
     Of two different values the larger one has a 1 and the smaller one a 0 at the first bit in which they
     differ. Every point becomes one row per bit, grouped by the bits above: a 0 then asks for the 1s of its
     group that come earlier. That is rows times bits, whatever the number of inversions.
     """
-    points = (
-        df.where(F.col(value).isNotNull() & F.col(seq).isNotNull() & F.col(key).isNotNull())
-        .groupBy(key, F.col(seq).alias("seq"), F.col(value).cast("long").alias("value"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    points = rows.groupBy(key, "seq", "value").agg(F.count(F.lit(1)).alias("n"))
     # Bits above the highest in which any two values differ are alike everywhere.
-    range_ = df.agg(F.struct(F.min(value).cast("long").alias("low"), F.max(value).cast("long").alias("high"))).scalar()
+    range_ = whole.agg(F.struct(F.min("value").alias("low"), F.max("value").alias("high"))).scalar()
     offset = F.col("value") - range_["low"]
     bits = F.sequence(F.lit(0), F.greatest(F.length(F.bin(range_["high"] - range_["low"])) - 1, F.lit(0)))
     split = points.withColumn("_offset", offset).withColumn("_bit", F.explode(bits)).select(
@@ -118,7 +148,7 @@ def inversions(df: DataFrame, key: str, seq: str, value: str) -> DataFrame:
         "_top", F.when(F.col("_one"), F.struct(F.col("value").alias("v"), (-F.col("seq").cast("long")).alias("s")))
     )
     counted = _running(
-        weighed, [key, "_bit", "_above"], "seq", {"_before": ("_w", "sum"), "_peak": ("_top", "max")}, 1 << WINDOW_BITS, order_span(df, seq)
+        weighed, [key, "_bit", "_above"], "seq", {"_before": ("_w", "sum"), "_peak": ("_top", "max")}, 1 << WINDOW_BITS, order_span(whole, "seq")
     ).where(~F.col("_one") & (F.col("_before") > 0))
     return counted.groupBy(key, "seq", "value").agg(
         F.max("_peak").alias("_peak"), (F.first("n") * F.sum("_before")).alias("occurrences")

@@ -161,6 +161,15 @@ def test_inversions_against_brute_force(small):
     assert got == dict(want)
 
 
+def test_inversions_of_small_groups_need_no_bits(small):
+    df = small.range(0, 900).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 60).alias("k"),
+        ((F.col("id") * 37) % 23).alias("seq"), F.when(F.col("id") % 29 > 0, (F.col("id") * 53) % 17).alias("v"),
+    )
+    both = [sorted(map(tuple, inversions(df.unionAll(df), "k", "seq", "v", limit).collect())) for limit in (0, 40, 5000)]
+    assert both[0] and both[0] == both[1] == both[2]
+
+
 def test_ids_are_consecutive_unique_and_stable(hot):
     out = assign_ids(hot, ["k", "id"], 100, "n").select("k", "id", "n")
     again = assign_ids(hot.repartition(7), ["k", "id"], 100, "n").select("k", "id", "n")
