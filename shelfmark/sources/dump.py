@@ -130,8 +130,11 @@ def _quote_states(lines: DataFrame) -> DataFrame:
 
 
 def _placed_lines(lines: DataFrame) -> DataFrame:
-    """Lines that are no comments, each with its statement, whether it belongs to a head, and the piece it is part of."""
-    told = _quote_states(lines).where(F.col("inside") | ~F.col("comment"))
+    """Lines that are no comments, each with its statement, whether it belongs to a head, and the piece it is part of.
+
+    What is sorted by split are narrow rows; the texts join them at the end, dealt by line, and all of it is written once.
+    """
+    told = _quote_states(lines.drop("value")).where(F.col("inside") | ~F.col("comment"))
     plain = ~F.col("inside")
     begins = plain & F.col("begins")
     here = F.struct("_block", "_pos")
@@ -159,13 +162,14 @@ def _placed_lines(lines: DataFrame) -> DataFrame:
         "_next": F.lead(F.col("_piece").isNotNull()).over(order),
     })
     joined = _with_carried(local, carried, *[f"_{name}_before" for name in events])
-    return joined.select(
-        *LINE_ORDER, "value", "inside", "open", begins.alias("begins"), (plain & F.col("values")).alias("values"),
+    placed = joined.select(
+        *LINE_ORDER, "inside", "open", begins.alias("begins"), (plain & F.col("values")).alias("values"),
         F.coalesce("_s", "_statement_before").alias("statement"), F.coalesce("_h", "_in_head_before", F.lit(False)).alias("in_head"),
         F.coalesce("_p", "_piece_before").alias("piece"),
         # The last line of a split cannot tell whether the next one goes on.
         (F.col("_piece").isNotNull() & F.coalesce("_next", F.lit(False))).alias("alone"),
-    )
+    ).where("statement.inserts")
+    return cut_lineage(placed.join(lines.select(*LINE_ORDER, "value"), LINE_ORDER), "dump-placed")
 
 
 def _joined(lines: DataFrame, key: list[Column], *carry: str) -> DataFrame:
@@ -178,7 +182,7 @@ def _joined(lines: DataFrame, key: list[Column], *carry: str) -> DataFrame:
 
 def _data_lines(spark: SparkSession, path: str, encoding: str) -> DataFrame:
     """Pieces of INSERT statements: table, columns, text, tuples, whether all of it was read, and whether it is a head."""
-    placed = _placed_lines(_told_lines(spark, path, encoding)).where("statement.inserts")
+    placed = _placed_lines(_told_lines(spark, path, encoding))
     # A carriage return at the end of a line belongs to the text only inside quotes.
     bare = F.when(F.col("open"), F.col("value")).otherwise(F.regexp_replace("value", r"\r\z", ""))
     bare = F.when(F.col("inside"), bare).otherwise(F.regexp_replace(bare, _LEADING_COMMENTS, ""))
@@ -218,9 +222,13 @@ def _data_lines(spark: SparkSession, path: str, encoding: str) -> DataFrame:
     )
 
 
-def _values(tuple_: Column) -> Column:
+def _tokens(tuple_: Column) -> Column:
     body = tuple_.substr(F.lit(2), F.length(tuple_) - 2)
-    return F.transform(F.regexp_extract_all(body, F.lit(_VALUE), F.lit(0)), _value)
+    return F.regexp_extract_all(body, F.lit(_VALUE), F.lit(0))
+
+
+def _values(tuple_: Column) -> Column:
+    return F.transform(_tokens(tuple_), _value)
 
 
 def read_dump(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
@@ -240,11 +248,16 @@ def read_dump(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFr
 def read_rejects(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
     """``(table, problem, text)`` of all text inside INSERT statements that gave no row; no table where its head is not read."""
     lines = _data_lines(spark, path, encoding)
-    headless = lines.where("table = ''").select("table", F.lit("head not read").alias("problem"), "text")
-    broken = lines.where("not whole and table <> ''").select("table", F.lit("not read to its end").alias("problem"), "text")
-    each = lines.where("whole and table <> ''").select("table", "columns", F.explode("tuples").alias("text"))
-    odd = each.where(F.coalesce(F.size("columns") != F.size(_values(F.col("text"))), F.lit(True)))
-    return headless.unionByName(broken).unionByName(odd.select("table", F.lit("does not fit its columns").alias("problem"), "text"))
+    fits = lambda t: F.coalesce(F.size("columns") == F.size(_tokens(t)), F.lit(False))
+    lost = (
+        F.when(F.col("table") == "", F.array(F.struct(F.lit("head not read").alias("problem"), "text")))
+        .when(~F.col("whole"), F.array(F.struct(F.lit("not read to its end").alias("problem"), "text")))
+        .otherwise(F.transform(
+            F.filter("tuples", lambda t: ~fits(t)),
+            lambda t: F.struct(F.lit("does not fit its columns").alias("problem"), t.alias("text")),
+        ))
+    )
+    return lines.select("table", F.inline(lost))
 
 
 def _value(token: Column) -> Column:

@@ -299,3 +299,13 @@ def test_update_takes_null_from_the_source(spark):
 
 def test_shared_folder_is_read_from_the_session(spark):
     assert shared_folder(spark)
+
+
+def test_dump_states_are_found_without_the_texts(spark, tmp_path, monkeypatch):
+    seen, found = [], dump._quote_states
+    monkeypatch.setattr(dump, "_quote_states", lambda lines: seen.append(lines.columns) or found(lines))
+    (tmp_path / "d.sql").write_text("INSERT INTO `labels` (`id`, `name`) VALUES\n(1,'a\nb'),\n(2,'c', 3),\n(4;\nINSERT INTO;\n")
+    lost = sorted(tuple(r) for r in dump.read_rejects(spark, str(tmp_path)).collect())
+    assert seen == [[c for c in seen[0] if c != "value"]]
+    assert lost == [("", "head not read", "INSERT INTO;"), ("labels", "does not fit its columns", "(2,'c', 3)"), ("labels", "not read to its end", "(4;")]
+    assert [list(r["values"]) for r in dump.read_dump(spark, str(tmp_path)).collect()] == [["1", "a\nb"]]
