@@ -33,9 +33,16 @@ STEP, FIRST, SECOND = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * FIRST
-    x = (x ^ (x >> np.uint64(27))) * SECOND
-    return x ^ (x >> np.uint64(31))
+    """Mixes in place."""
+    part = x >> np.uint64(30)
+    x ^= part
+    x *= FIRST
+    np.right_shift(x, np.uint64(27), out=part)
+    x ^= part
+    x *= SECOND
+    np.right_shift(x, np.uint64(31), out=part)
+    x ^= part
+    return x
 
 
 def costs(hashes: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -65,17 +72,21 @@ class Sampler:
         self.costs = np.empty((REMEMBERED, SAMPLES))
 
     def _rows(self, part: list[tuple[bytes, int]]) -> np.ndarray:
-        new = [key for key in part if key not in self.rows]
-        if len(self.rows) + len(new) > REMEMBERED:
-            self.rows.clear()
-            new = part
-        if new:
+        found = list(map(self.rows.get, part))
+        if None in found:
+            new = [key for key, at in zip(part, found) if at is None]
+            if len(self.rows) + len(new) > REMEMBERED:
+                self.rows.clear()
+                new, found = part, [None] * len(part)
             at = len(self.rows)
             hashes = np.fromiter((xxhash.xxh64_intdigest(w, SEED) for w, _ in new), np.uint64, len(new))
             weights = np.fromiter((n for _, n in new), float, len(new))
             self.costs[at:at + len(new)] = costs(hashes, weights)
-            self.rows.update(zip(new, range(at, at + len(new))))
-        return np.fromiter(map(self.rows.__getitem__, part), np.int64, len(part))
+            own = range(at, at + len(new))
+            self.rows.update(zip(new, own))
+            own = iter(own)
+            found = [next(own) if at is None else at for at in found]
+        return np.array(found, np.int64)
 
     def fingerprint(self, words: list[bytes]) -> str:
         """``SAMPLES`` samples of 16 bits as hex digits; all zeros without words."""
