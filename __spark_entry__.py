@@ -26,7 +26,7 @@ from shelfmark.plans.rules import REGISTRY, read_findings, run_checks, run_rule,
 from shelfmark.plans.rules.magazines import pending_reviews  # noqa: E402
 from shelfmark.plans.rules.tags import series_gaps  # noqa: E402
 from shelfmark.schema import TABLES  # noqa: E402
-from shelfmark.session import apply_settings, new_path  # noqa: E402
+from shelfmark.session import apply_settings, cut_lineage, new_path  # noqa: E402
 from shelfmark.sources import dump, tables  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -201,10 +201,12 @@ def _earlier(df: DataFrame, missing: str, edits: Mapping[str, str], gone: tuple[
 def _refreshed(t: Mapping[str, DataFrame], name: str) -> DataFrame:
     """An index built from the earlier tables and brought up to date by the rows that changed since."""
     before = {table: _earlier(t[table], *how) for table, how in EARLIER.items()}
-    stored = {
-        n: search.publisher_lists(before, LIST_BYTES) if n == "publisher_lists" else search.INDEXES[n](before)
-        for n in ({name, "origins"} if name == "publisher_lists" else {name})
-    }
+    stored = {}
+    if name == "publisher_lists":
+        stored["origins"] = cut_lineage(search.origins(before), "index")
+        stored[name] = cut_lineage(search.publisher_lists(before, LIST_BYTES, stored["origins"]), "index")
+    else:
+        stored[name] = cut_lineage(search.INDEXES[name](before), "index")
     return refresh.refreshed(name, stored, t, refresh.deltas(before, t), LIST_BYTES)
 
 

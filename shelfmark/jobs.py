@@ -63,10 +63,7 @@ def refresh(t: Tables, before: Tables, stored: str, out: str) -> None:
     Gram lists are dealt by gram over whole indexes; those of the titles and names are written anew.
     """
     spark = t["entries"].sparkSession
-    changed = new_path(spark, "delta")
-    for name, df in updates.deltas(before, t).items():
-        df.write.parquet(f"{changed}/{name}")
-    delta = {name: spark.read.schema(t[name].schema).parquet(f"{changed}/{name}") for name in updates.SOURCES}
+    delta = updates.deltas(before, t)
     indexes_ = {name: spark.read.parquet(f"{stored}/{name}") for name in search.INDEXES}
     for name, index in indexes_.items():
         rebuild(updates.refreshed(name, indexes_, t, delta), f"{out}/{name}", index.columns[:2])

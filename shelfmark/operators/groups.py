@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import cut_lineage
 from .membership import spread
 from .sequences import order_span, running_before
 
@@ -127,12 +128,14 @@ def segmented_text(df: DataFrame, key: list[str], order: str, text: str, sep: st
     segment holds ``size`` bytes and the rest of one piece at most, and segments joined by ``sep`` are the
     whole. Rows follow the integer ``order``, NULL first, then the text; NULL texts are left out, as are groups without any.
     Offsets are running sums over ranges of places: no window holds a whole group, only rows of one place
-    are sorted together.
+    are sorted together. The rows are asked three times, for their span, their places and their texts, so they are written once.
     """
-    low, high = order_span(df, order)
-    pieces = df.where(F.col(text).isNotNull()).select(
-        *key, F.coalesce(F.col(order).cast("long") - low + 1, F.lit(0).cast("long")).alias("_place"), F.col(text).alias("_text"),
-        (F.octet_length(text) + F.octet_length(F.lit(sep))).cast("long").alias("_bytes"),
+    rows = df.where(F.col(text).isNotNull()).select(*key, F.col(order).alias("_order"), F.col(text).alias("_text"))
+    rows = cut_lineage(rows, "pieces")
+    low, high = order_span(rows, "_order")
+    pieces = rows.select(
+        *key, F.coalesce(F.col("_order").cast("long") - low + 1, F.lit(0).cast("long")).alias("_place"), "_text",
+        (F.octet_length("_text") + F.octet_length(F.lit(sep))).cast("long").alias("_bytes"),
     )
     places = pieces.groupBy(*key, "_place").agg(F.sum("_bytes").alias("_bytes"))
     placed = running_before(places, key, "_place", "_bytes", "_offset", span=(0, high - low + 1)).select(

@@ -8,7 +8,7 @@ index are passed on. So the work follows the changes, but for one read of the in
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
@@ -32,9 +32,32 @@ def table_delta(old: DataFrame, new: DataFrame) -> DataFrame:
     return sides.groupBy(*old.columns).agg(F.sum("_n").alias("_n")).where("_n <> 0").drop("_n")
 
 
-def deltas(old: Tables, new: Tables) -> dict[str, DataFrame]:
-    """:func:`table_delta` of all tables that bear on an index."""
-    return {name: table_delta(old[name], new[name]) for name in SOURCES}
+class Deltas(Mapping[str, DataFrame]):
+    """:func:`table_delta` of the tables that bear on an index, each found when first asked for and written then."""
+
+    def __init__(self, old: Tables, new: Tables):
+        self._old, self._new, self._found = old, new, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in SOURCES:
+            raise KeyError(name)
+        if name not in self._found:
+            self._found[name] = cut_lineage(table_delta(self._old[name], self._new[name]), "delta")
+        return self._found[name]
+
+    def __contains__(self, name: object) -> bool:
+        return name in SOURCES
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(SOURCES)
+
+    def __len__(self) -> int:
+        return len(SOURCES)
+
+
+def deltas(old: Tables, new: Tables) -> Deltas:
+    """The changed rows by table; an index reads them several times over, but not those of every table."""
+    return Deltas(old, new)
 
 
 def _changed(t: Tables, delta: Tables, name: str) -> DataFrame:

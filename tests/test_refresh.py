@@ -65,3 +65,18 @@ def test_delta_holds_both_versions(spark):
     old = spark.createDataFrame([(1, "a"), (2, None), (3, "c"), (3, "c")], "id int, x string")
     new = spark.createDataFrame([(1, "b"), (2, None), (3, "c")], "id int, x string")
     assert sorted(tuple(r) for r in refresh.table_delta(old, new).collect()) == [(1, "a"), (1, "b"), (3, "c")]
+
+
+def test_changed_rows_are_found_once(spark):
+    """A delta is read by several steps and a list's pieces are too: both are written, those not asked for are not made."""
+    t, before = Handmade(spark, **BASE), Handmade(spark, **(BASE | {"labels": EARLIER["labels"]}))
+    delta = refresh.deltas(before, t)
+    assert set(delta) == set(refresh.SOURCES) and "labels" in delta and "notes" not in delta
+    for _ in range(2):
+        plan = delta["labels"]._jdf.queryExecution().executedPlan().toString()
+        assert "Scan parquet" in plan and "Aggregate" not in plan
+    assert held(delta["labels"]) == held(refresh.table_delta(before["labels"], t["labels"]))
+    with pytest.raises(KeyError):
+        delta["notes"]
+    plan = search.publisher_lists(t)._jdf.queryExecution().executedPlan().toString()
+    assert "LocalTableScan" not in plan and "Scan parquet" in plan
