@@ -67,3 +67,17 @@ def test_title_index_has_one_exchange(spark, sf_dir, tmp_path):
     text = plan(search.titles(t))
     assert text.count("Exchange hashpartitioning") == 1
     assert text.count("FileScan parquet") == 3
+
+
+def test_tasks_read_bounded_parts(spark, tmp_path):
+    """The parts that tasks read of files and of exchanges do not grow with the table."""
+    spark.range(5_000_000).selectExpr("xxhash64(id) as k").coalesce(1).write.parquet(f"{tmp_path}/keys")
+    spark.conf.set("spark.sql.files.minPartitionNum", "1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+    try:
+        keys = spark.read.parquet(f"{tmp_path}/keys")
+        assert keys.rdd.getNumPartitions() > 2
+        assert keys.repartition("k").rdd.getNumPartitions() > 4
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.parallelismFirst")
