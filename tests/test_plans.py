@@ -69,6 +69,17 @@ def test_title_index_has_one_exchange(spark, sf_dir, tmp_path):
     assert text.count("FileScan parquet") == 3
 
 
+def test_tables_count_for_broadcasts_by_their_rows(spark, tmp_path):
+    """A file that packs its rows twentyfold is above the limit by its rows, below it by its bytes."""
+    spark.range(300_000).selectExpr("id", "concat('the same long title of many, ', id % 7) as title").write.parquet(f"{tmp_path}/names")
+    spark.range(1000).selectExpr("id * 3 as id").write.parquet(f"{tmp_path}/few")
+    names, few = spark.read.parquet(f"{tmp_path}/names"), spark.read.parquet(f"{tmp_path}/few")
+    plan = few.join(names, "id", "left")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan
+    plan = names.join(few, "id", "left")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan  # a table that is small as it stands
+
+
 def test_tasks_read_bounded_parts(spark, tmp_path):
     """The parts that tasks read of files and of exchanges do not grow with the table."""
     spark.range(5_000_000).selectExpr("xxhash64(id) as k").coalesce(1).write.parquet(f"{tmp_path}/keys")
