@@ -21,8 +21,8 @@ from ..session import cut_lineage
 from .common import words_of
 
 SAMPLES = 128
-# Words (with their weights) a worker keeps the costs of.
-REMEMBERED = 1 << 17
+# Words (with their weights) a worker keeps the costs of: 256 MB.
+REMEMBERED = 1 << 18
 SEED = 7
 # Costs of words with weights are worked out for so many words at a time.
 BLOCK = 2048

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from shelfmark.llm import bpe, language_id, toxicity
+from shelfmark.llm import bpe, fingerprints, language_id, toxicity
 
 TEXTS = {
     "aa": ["the cat sat on the mat", "the dog and the cat", "a mat for the dog", "there is the other cat", "that the dog sat"],
@@ -93,3 +93,21 @@ def test_remembered_is_bounded():
         assert len(held.new) + len(held.old) <= 10
     assert held.aged(98) == 98 or held.new.get(98) == 98
     assert held.aged(1) is None and held.new.get(1) is None
+
+
+def test_samplers_remember_the_words_of_many_texts(monkeypatch):
+    """The words of 150,000 in turn are worked out once; more than fit are worked out again and give the same."""
+    asked, costs = [0], fingerprints.costs
+
+    def counted(hashes, weights):
+        asked[0] += len(hashes)
+        return costs(hashes, weights)
+
+    monkeypatch.setattr(fingerprints, "costs", counted)
+    texts = [[b"%d" % n for n in range(at, at + 5000)] for at in range(0, 150_000, 5000)]
+    own = fingerprints.Sampler()
+    first = [own.fingerprint(t) for t in texts]
+    assert [own.fingerprint(t) for t in texts] == first and asked[0] == 150_000
+    monkeypatch.setattr(fingerprints, "REMEMBERED", 1 << 13)
+    short = fingerprints.Sampler()
+    assert [short.fingerprint(t) for t in texts] == first and asked[0] == 300_000
