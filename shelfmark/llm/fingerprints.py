@@ -10,7 +10,8 @@ weights), the generalised Jaccard similarity, so the share of equal samples esti
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -24,8 +25,8 @@ SAMPLES = 128
 # Words (with their weights) a worker keeps the costs of: 256 MB.
 REMEMBERED = 1 << 18
 SEED = 7
-# Costs of words with weights are worked out for so many words at a time.
-BLOCK = 2048
+# Words looked up at a time, and words whose costs are worked out at a time.
+BLOCK, PART = 8192, 64
 EMPTY = "0" * (4 * SAMPLES)
 # A factor that spreads the numbers of consecutive draws over 64 bits, and two mixing factors (fixed values of a
 # public mixer).
@@ -65,38 +66,107 @@ def costs(hashes: np.ndarray, weights: np.ndarray) -> np.ndarray:
 
 
 class Sampler:
-    """Least-cost samples of documents, with the costs of frequent words at hand."""
+    """Least-cost samples of documents, with the costs of the words used most at hand.
+
+    Words with weights are found by their hashes, many at a time, in an open table four times as large as what is kept.
+    """
 
     def __init__(self):
-        self.rows: dict[tuple[bytes, int], int] = {}
         self.costs = np.empty((REMEMBERED, SAMPLES))
-
-    def _rows(self, part: list[tuple[bytes, int]]) -> np.ndarray:
-        found = list(map(self.rows.get, part))
-        if None in found:
-            new = [key for key, at in zip(part, found) if at is None]
-            if len(self.rows) + len(new) > REMEMBERED:
-                self.rows.clear()
-                new, found = part, [None] * len(part)
-            at = len(self.rows)
-            hashes = np.fromiter((xxhash.xxh64_intdigest(w, SEED) for w, _ in new), np.uint64, len(new))
-            weights = np.fromiter((n for _, n in new), float, len(new))
-            self.costs[at:at + len(new)] = costs(hashes, weights)
-            own = range(at, at + len(new))
-            self.rows.update(zip(new, own))
-            own = iter(own)
-            found = [next(own) if at is None else at for at in found]
-        return np.array(found, np.int64)
+        self.keys = np.zeros(REMEMBERED, np.uint64)
+        self.used = np.zeros(REMEMBERED, np.int64)  # how often, halved when words are forgotten
+        self.free = np.arange(REMEMBERED)
+        self.table = np.full(4 * REMEMBERED, -1, np.int32)
+
+    def _find(self, keys: np.ndarray) -> np.ndarray:
+        """Rows of keys, -1 of unknown ones."""
+        slots = (keys % np.uint64(len(self.table))).astype(np.int64)
+        rows = self.table[slots]
+        open_ = np.flatnonzero((rows >= 0) & (self.keys[rows] != keys))
+        while len(open_):
+            slots[open_] = (slots[open_] + 1) % len(self.table)
+            rows[open_] = self.table[slots[open_]]
+            open_ = open_[(rows[open_] >= 0) & (self.keys[rows[open_]] != keys[open_])]
+        return rows
+
+    def _enter(self, rows: np.ndarray) -> None:
+        """Put rows, whose keys differ, into the table."""
+        slots = (self.keys[rows] % np.uint64(len(self.table))).astype(np.int64)
+        while len(rows):
+            vacant = self.table[slots] < 0
+            self.table[slots[vacant]] = rows[vacant]
+            open_ = self.table[slots] != rows
+            rows, slots = rows[open_], (slots[open_] + 1) % len(self.table)
+
+    def _make_room(self, size: int) -> None:
+        """Forget the words used least, so that ``size`` and a quarter of all can be entered."""
+        self.used[self.free] = -1
+        self.free = np.argsort(self.used, kind="stable")[:max(size, REMEMBERED // 4)]
+        self.used //= 2
+        kept = np.ones(REMEMBERED, bool)
+        kept[self.free] = False
+        self.table[:] = -1
+        self._enter(np.flatnonzero(kept).astype(np.int32))
+
+    def _rows(self, hashes: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """Rows of the costs of at most ``REMEMBERED`` words."""
+        keys = hashes + weights.astype(np.uint64) * STEP
+        rows = self._find(keys)
+        np.add.at(self.used, rows[rows >= 0], 1)
+        missing = np.flatnonzero(rows < 0)
+        if not len(missing):
+            return rows
+        new, first, back = np.unique(keys[missing], return_index=True, return_inverse=True)
+        if len(new) > len(self.free):
+            # Found words stay, as they are many uses ahead of all others.
+            found = np.unique(rows[rows >= 0])
+            self.used[found] += 1 << 62
+            self._make_room(len(new))
+            self.used[found] -= 1 << 61
+        own, self.free = self.free[:len(new)], self.free[len(new):]
+        first = missing[first]
+        for at in range(0, len(new), PART):
+            part = first[at:at + PART]
+            self.costs[own[at:at + PART]] = costs(hashes[part], weights[part])
+        self.keys[own], self.used[own] = new, 1
+        self._enter(own.astype(np.int32))
+        rows[missing] = own[back]
+        return rows
+
+    def _samples(self, bags: list[Counter]) -> list[str]:
+        ends = np.cumsum([len(bag) for bag in bags]).tolist()
+        hashes = np.fromiter(map(xxhash.xxh64_intdigest, chain.from_iterable(bags), repeat(SEED)), np.uint64, ends[-1])
+        weights = np.fromiter(chain.from_iterable(bag.values() for bag in bags), float, ends[-1])
+        least, bag = np.full((len(bags), SAMPLES), np.inf), 0
+        block = min(BLOCK, REMEMBERED)
+        for top in range(0, ends[-1], block):
+            rows = self._rows(hashes[top:top + block], weights[top:top + block])
+            at = 0
+            while at < len(rows):
+                end = min(ends[bag] - top, len(rows))
+                if end > at:
+                    least[bag] = np.minimum(least[bag], self.costs.take(rows[at:end], axis=0).min(axis=0))
+                at = end
+                if ends[bag] - top == end:
+                    bag += 1
+        digits = (least.view(np.uint64) & np.uint64(0xFFFF)).astype(">u2").tobytes().hex()
+        size = len(EMPTY)
+        return [digits[i * size:(i + 1) * size] if bag else EMPTY for i, bag in enumerate(bags)]
 
     def fingerprint(self, words: list[bytes]) -> str:
         """``SAMPLES`` samples of 16 bits as hex digits; all zeros without words."""
-        if not words:
-            return EMPTY
-        bag = list(Counter(words).items())
-        least = np.full(SAMPLES, np.inf)
-        for at in range(0, len(bag), BLOCK):
-            least = np.minimum(least, self.costs[self._rows(bag[at:at + BLOCK])].min(axis=0))
-        return (least.view(np.uint64) & np.uint64(0xFFFF)).astype(">u2").tobytes().hex()
+        return self._samples([Counter(words)])[0]
+
+    def fingerprints(self, texts: Iterable[str | None]) -> list[str]:
+        """Fingerprints of texts, with the words of many looked up at once."""
+        out, bags, size = [], [], 0
+        for text in texts:
+            bags.append(Counter(words_of(text)))
+            size += len(bags[-1])
+            if size >= BLOCK:
+                out += self._samples(bags)
+                bags, size = [], 0
+        return out + self._samples(bags) if bags else out
 
 
 _SAMPLER: list[Sampler] = []
@@ -121,7 +191,7 @@ def fingerprints(text: Column | str) -> Column:
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own = sampler()
         for texts in batches:
-            yield pd.Series([own.fingerprint(words_of(t)) for t in texts], dtype=object)
+            yield pd.Series(own.fingerprints(texts), dtype=object)
 
     return of(text)
 
@@ -169,12 +239,24 @@ def _pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     held = None  # the document that waits for its successor: (id, range, text, fingerprint)
     own = sampler()
     for frame in batches:
-        out = []
+        pairs, texts = [], []  # pairs: the document before, its edited text, the place of this one in texts
+        before = held and held[:3]
         for id_, text, range_, last in zip(frame["id"], frame["text"], frame["range"], frame["last"]):
-            print_ = own.fingerprint(words_of(text))
-            if held is not None and held[1] == range_:
-                out.append(_row(own, held, text, print_))
-            held = None if last else (id_, range_, text, print_)
+            if before is not None and before[1] == range_:
+                edited = edited_text(before[2], text)
+                pairs.append((before, edited, len(texts)))
+                texts.append(edited)
+            texts.append(text)
+            before = None if last else (id_, range_, text)
+        prints = own.fingerprints(texts)
+        out = []
+        for (id_, _, text), edited, at in pairs:
+            first = prints[at - 1] if at else held[3]
+            out.append((
+                id_, text, edited, first, prints[at], likeness(first, prints[at]), likeness(first, prints[at + 1]),
+            ))
+        if texts:
+            held = before and (*before, prints[-1])
         if out:
             yield pd.DataFrame(out, columns=COLUMNS)
 
@@ -182,15 +264,9 @@ def _pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 COLUMNS = ["doc_id", "text", "edited", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
 
 
-def _row(own: Sampler, held: tuple, text: str, print_: str) -> tuple:
-    id_, _, before, fingerprint = held
-    half = len(before) // 2
-    edited = before[:len(before) - half] + text[:half]
-    other = own.fingerprint(words_of(edited))
-    return (
-        id_, before, edited, fingerprint, other,
-        likeness(fingerprint, other), likeness(fingerprint, print_),
-    )
+def edited_text(text: str, following: str) -> str:
+    half = len(text) // 2
+    return text[:len(text) - half] + following[:half]
 
 
 def edited_neighbours(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:

@@ -111,3 +111,27 @@ def test_samplers_remember_the_words_of_many_texts(monkeypatch):
     monkeypatch.setattr(fingerprints, "REMEMBERED", 1 << 13)
     short = fingerprints.Sampler()
     assert [short.fingerprint(t) for t in texts] == first and asked[0] == 300_000
+
+
+def test_samplers_forget_rare_words_first(monkeypatch):
+    """Words of all texts are worked out once, though the others do not fit; blocks and odd texts give the same."""
+    asked, costs = [], fingerprints.costs
+
+    def counted(hashes, weights):
+        asked.extend(hashes.tolist())
+        return costs(hashes, weights)
+
+    monkeypatch.setattr(fingerprints, "costs", counted)
+    monkeypatch.setattr(fingerprints, "REMEMBERED", 1 << 10)
+    often = [f"often{i}" for i in range(100)]
+    texts = [" ".join(often + [f"rare{n}_{i}" for i in range(100)]) for n in range(60)]
+    own = fingerprints.Sampler()
+    first = [own.fingerprint(t.encode().split()) for t in texts]
+    assert len(asked) == len(set(asked)) == 100 + 60 * 100
+    assert sum(asked.count(h) for h in set(asked[:200])) == 200
+    odd = ["", None, *texts, " ", "a " * 500 + "b", " ".join(f"w{i}" for i in range(5000)), ""]
+    plain = [own.fingerprint(fingerprints.words_of(t)) for t in odd]
+    assert plain[2:62] == first and plain[0] == plain[1] == plain[62] == plain[-1] == fingerprints.EMPTY
+    for block in (7, 1 << 10, 1 << 13):
+        monkeypatch.setattr(fingerprints, "BLOCK", block)
+        assert fingerprints.Sampler().fingerprints(odd) == plain
