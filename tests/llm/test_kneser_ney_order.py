@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections import Counter
 
@@ -9,6 +10,7 @@ import numpy as np
 import pytest
 
 from shelfmark.llm import kneser_ney
+from shelfmark.llm.files import local_path
 
 from .test_queries_llm import kneser_ney as bigrams, rows_of, words
 
@@ -80,3 +82,67 @@ def test_longer_contexts_tell(spark):
         if order == 3:
             assert [score[t][name] for t in texts] == pytest.approx(trigrams(train, texts), rel=1e-9)
             assert score["a b c"].score == pytest.approx(score["a b y"].score) and score["a b c"].score_3 > score["a b y"].score_3 + 1
+
+
+def by_definition(train, texts, order):
+    """Log10 scores of texts by the model of any order."""
+    start, end = b"\n\n", b"\n"
+    tables = {k: Counter() for k in range(1, order + 1)}
+    for t in train:
+        s = [start, *words(t), end]
+        tables[order].update(tuple(s[i:i + order]) for i in range(len(s) - order + 1))
+        for k in range(2, order):
+            if len(s) >= k:
+                tables[k][tuple(s[:k])] += 1
+    for k in range(order - 1, 0, -1):
+        tables[k].update(gram[1:] for gram in tables[k + 1])
+    off = {k: steps(t.values()) for k, t in tables.items()}
+    total, back = Counter(), Counter()
+    for k, table in tables.items():
+        for gram, n in table.items():
+            total[gram[:-1], k] += n
+            back[gram[:-1], k] += off[k][min(n, 3)]
+
+    def chance(gram):
+        if not gram:
+            return 1 / (len(tables[1]) + 1)
+        k, low = len(gram), chance(gram[1:])
+        whole = total[gram[:-1], k]
+        n = tables[k][gram]
+        return max(n - off[k][min(n, 3)], 0) / whole + back[gram[:-1], k] / whole * low if whole else low
+
+    tokens = [[start, *words(t), end] for t in texts]
+    return [sum(np.log10(chance(tuple(s[max(i - order + 1, 0):i + 1]))) for i in range(1, len(s))) for s in tokens]
+
+
+def corpus(rows, size):
+    random = np.random.default_rng(5)
+    return [" ".join(f"w{min(n, 999)}" for n in random.zipf(1.4, size)) for _ in range(rows)]
+
+
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_frequent_words_are_dealt_by_two(spark, monkeypatch, order):
+    """Scores are those of the definition whether or not words are dealt with the word before them."""
+    train = [*corpus(60, 40), "", "w1", "w1 w1"]
+    texts = [*corpus(63, 40)[60:], *train[:3], "", "never seen", "w1 never w2 w1 w3", "w1 w1"]
+    frame = lambda rows: spark.createDataFrame([(t,) for t in rows], "text string").repartition(3)
+    want = by_definition(train, texts, order)
+    if order == 3:
+        assert want == pytest.approx(trigrams(train, texts), rel=1e-9)
+    for limit in (1, 32, 1 << 21):
+        monkeypatch.setattr(kneser_ney, "FREQUENT", limit)
+        model = kneser_ney.train(frame(train), order=order)
+        assert (model.sums.size > 0) == (limit < 1 << 21)
+        found = {r.doc.text: r for r in kneser_ney.scored(frame(texts), model).collect()}
+        assert [found[t][model.scores[-1]] for t in texts] == pytest.approx(want, rel=1e-9)
+
+
+def test_files_take_few_bytes(spark):
+    """A model of order three takes at most 20 bytes a distinct trigram, with its pairs, words and their sums."""
+    random = np.random.default_rng(6)
+    train = [" ".join(f"w{n}" for n in random.integers(0, 3000, 500)) for _ in range(100)]
+    model = kneser_ney.train(spark.createDataFrame([(t,) for t in train], "text string"), shards=4)
+    tokens = [[b"\n\n", *words(t), b"\n"] for t in train]
+    distinct = len({gram for s in tokens for gram in zip(s, s[1:], s[2:])})
+    folder = local_path(model.folder)
+    assert sum(os.path.getsize(f"{folder}/{name}") for name in os.listdir(folder)) < 20 * distinct
