@@ -118,7 +118,7 @@ def _write_arrays(folder: str, name: str, arrays: list[np.ndarray]) -> None:
 
 
 def _read_arrays(folder: str, name: str) -> list[np.ndarray]:
-    whole = map_file(folder, name, "u1")
+    whole = np.asarray(map_file(folder, name, "u1"))  # parts of plain arrays cost less
     number = int(whole[:8].view(np.uint64)[0])
     head = whole[8:8 + 16 * number].view(np.uint64).tolist()
     out, at = [], 8 + 16 * number
@@ -204,10 +204,10 @@ class Lists:
             above = self._words(middle) > words
             high = np.where(above, middle - 1, high)
             low = np.where(above, low, middle)
-            done = low >= high
-            if done.any():
+            done = low >= high  # which stays so
+            if 2 * np.count_nonzero(done) >= len(done):
                 own = low[done]
-                right = (high[done] == own) & (self._words(own) == words[done])
+                right = self._words(own) == words[done]
                 out[asked[done][right]] = own[right]
                 left = ~done
                 asked, low, high, words = asked[left], low[left], high[left], words[left]
@@ -358,20 +358,34 @@ def _sorted_grams(columns: list[np.ndarray], *first: np.ndarray) -> np.ndarray:
     return np.lexsort([*([columns[-1]] if len(columns) % 2 else []), *keys[::-1], *first])
 
 
+def _distinct_grams(numbers: np.ndarray, word: np.ndarray, starts: np.ndarray, order: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """Sorted columns of the n-grams of texts, nearest history first, and their counts; words are places in the numbers."""
+    own, place = np.unique(np.concatenate((np.array([NOTHING, START], np.uint32), numbers)), return_inverse=True)
+    columns = history_of(tokens := place[2:][word].astype(np.uint32), starts, order) + [tokens]
+    bits = len(own).bit_length()
+    if bits * order > 64:
+        place = _sorted_grams(columns)
+        columns = [c[place] for c in columns]
+        heads = _heads(*columns)
+        return [own[c[heads]] for c in columns], _runs(heads, len(place)).astype(np.uint32)
+    # Whole n-grams fit a number of places among the words at hand, in the same order.
+    grams = np.zeros(len(tokens), np.uint64)
+    for c in columns:
+        grams <<= np.uint64(bits)
+        grams |= c
+    grams.sort()
+    heads = _heads(grams)
+    found, mask = grams[heads], np.uint64((1 << bits) - 1)
+    return [own[found >> np.uint64(bits * i) & mask] for i in reversed(range(order))], _runs(heads, len(grams)).astype(np.uint32)
+
+
 def _count_grams(numbers: Numbers, shards: int, order: int, frequent: int):
     """Rows ``(shard, size, grams, counts)``: each a chunk's distinct n-grams of a shard, sorted, as columns of words."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for texts in _chunks(batches):
             starts = np.cumsum([0] + [len(t) for t in texts[:-1]])
             words, word = np.unique(np.concatenate(texts), return_inverse=True)
-            tokens = numbers.of(words)[0][word]
-            columns = [*history_of(tokens, starts, order), tokens]
-            del words, word, tokens
-            place = _sorted_grams(columns)
-            columns = [c[place] for c in columns]
-            heads = _heads(*columns)
-            counts = _runs(heads, len(place)).astype(np.uint32)
-            columns = [c[heads] for c in columns]
+            columns, counts = _distinct_grams(numbers.of(words)[0], word, starts, order)
             yield pd.DataFrame([
                 (s, len(at), _packed([*(_steps(c[at]) for c in columns[:2]), *(c[at] for c in columns[2:])]), _packed([counts[at]]))
                 for s, at in _by(_shard_of(columns, shards, frequent))

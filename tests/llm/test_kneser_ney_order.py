@@ -146,3 +146,19 @@ def test_files_take_few_bytes(spark):
     distinct = len({gram for s in tokens for gram in zip(s, s[1:], s[2:])})
     folder = local_path(model.folder)
     assert sum(os.path.getsize(f"{folder}/{name}") for name in os.listdir(folder)) < 20 * distinct
+
+
+@pytest.mark.parametrize("order, vocabulary", [(2, 50), (3, 70_000), (4, 50), (4, 70_000)])
+def test_n_grams_of_a_chunk(order, vocabulary):
+    """Packed in one number or not, n-grams are counted and sorted by the nearest word before first."""
+    random = np.random.default_rng(8)
+    numbers = random.permutation(vocabulary).astype(np.uint32) * np.uint32(7) + np.uint32(kneser_ney.FIRST_WORD)
+    word = np.concatenate((np.minimum(random.zipf(1.3, 3000), vocabulary) - 1, np.arange(vocabulary)))
+    starts = np.array([0, 1, 500, 2000])
+    columns, counts = kneser_ney._distinct_grams(numbers, word, starts, order)
+    want = Counter()
+    for text in np.split(numbers[word], starts[1:]):
+        s = [kneser_ney.NOTHING] * (order - 2) + [kneser_ney.START, *text.tolist()]
+        want.update((*s[i - order + 1:i][::-1], s[i]) for i in range(order - 1, len(s)))
+    assert list(zip(*(c.tolist() for c in columns), strict=True)) == sorted(want)
+    assert counts.tolist() == [want[g] for g in sorted(want)]
