@@ -33,6 +33,8 @@ from .files import map_file, write_file
 # Tokens a task counts or scores at once.
 CHUNK = 3_000_000
 LOOKUP = 1_000_000
+# Tokens of a shard of n-grams. Each lookup opens all shards, so they should be large.
+SHARD = 8_000_000
 SHARDS = 32
 ORDER = 3
 # Words of so many tokens are dealt with the word before them.
@@ -147,9 +149,11 @@ def _values(small: np.ndarray, places: np.ndarray, large: np.ndarray, at: np.nda
     return found
 
 
-def _kinds(counts: np.ndarray) -> list[np.ndarray]:
+def _kinds(counts: np.ndarray) -> Iterator[np.ndarray]:
     """Of each count: itself, and whether it is one, two or more."""
-    return [counts, *((x.astype(np.int64)) for x in (counts == 1, counts == 2, counts > 2))]
+    yield counts
+    for kind in (counts == 1, counts == 2, counts > 2):
+        yield kind.astype(np.int64)
 
 
 def _levels(counts: np.ndarray) -> list[int]:
@@ -171,8 +175,9 @@ class Lists:
         long = np.flatnonzero(sizes > SHORT)
         sums = []
         for v in values:
-            kinds = [np.concatenate(([0], np.cumsum(k))) for k in _kinds(v.astype(np.int64))]
-            sums += [(k[starts[long + 1]] - k[starts[long]]).astype(np.uint64) for k in kinds]
+            for kind in _kinds(v.astype(np.int64)):
+                total = np.concatenate(([0], np.cumsum(kind)))
+                sums.append((total[starts[long + 1]] - total[starts[long]]).astype(np.uint64))
         _write_arrays(folder, name, [
             base.astype(np.uint64), _least(rest), words.astype(np.uint16),
             _least(high), long.astype(np.uint64), *sums,
@@ -404,17 +409,19 @@ def _merge_grams(folder: str, numbers: Numbers, order: int, frequent: int):
         for size, grams in zip(frame["size"], frame["grams"]):
             columns = _unpacked(grams, "u4", size, order)
             held.append([*(np.cumsum(c, dtype=np.uint32) for c in columns[:2]), *columns[2:]])
-        columns = [np.concatenate(c) for c in zip(*held)]
+        columns = [np.concatenate([chunk.pop(0) for chunk in held]) for _ in range(order)]
         del held
         counts = np.concatenate([_unpacked(c, "u4", n, 1)[0] for c, n in zip(frame["counts"], frame["size"])]).astype(np.int64)
         rows, levels, nodes = [], [], {}
         for length in range(order, 1, -1):
             place = _sorted_grams(columns)
-            columns = [c[place] for c in columns]
-            heads = _heads(*columns)
-            counts = np.add.reduceat(counts[place], heads)
+            for i, c in enumerate(columns):
+                columns[i] = c[place]
+            counts, heads = counts[place], _heads(*columns)
+            counts = np.add.reduceat(counts, heads)
             # Chunks may hold an n-gram each; of shorter ones each row is a word before them.
             befores = _runs(heads, len(place))
+            del place
             columns = [c[heads] for c in columns]
             *history, words = columns
             real = history[-1] != NOTHING
@@ -627,13 +634,12 @@ class KneserNeyModel:
 def train(docs: DataFrame, text: str = "text", shards: int | None = None, order: int = ORDER) -> KneserNeyModel:
     """Count all given documents. Null and empty texts are one end each; without documents all is unknown.
 
-    They are read twice, to number the words and to count. A shard holds about as many tokens as a task counts at
-    once, more if it has a frequent pair of words.
+    They are read twice, to number the words and to count. ``shards`` are those of the words.
     """
     if order < 2:
         raise ValueError("the order is two at least")
     spark = docs.sparkSession
-    shards = shards or max(SHARDS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    shards = shards or max(SHARDS, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8)
     folder = new_path(spark, "grams")
     texts = docs.select(F.col(text).alias("text"))
     # One row of a few numbers for each shard.
@@ -644,7 +650,7 @@ def train(docs: DataFrame, text: str = "text", shards: int | None = None, order:
     tokens, vocabulary = sum(r["tokens"] for r in counted), int(sizes.sum())
     numbers = Numbers(folder, sizes)
     frequent = numbers.frequent(FREQUENT)
-    parts = max(shards, -(-tokens // CHUNK))
+    parts = max(shards, -(-tokens // SHARD))
     grams = texts.mapInPandas(_count_grams(numbers, parts, order, frequent), COUNTS)
     sums = grams.groupBy("shard").applyInPandas(_merge_grams(folder, numbers, order, frequent), SUMS)
     merged = sums.groupBy("shard").applyInPandas(_merge_sums(folder, numbers, order), STATS)
