@@ -26,7 +26,7 @@ from shelfmark.plans.rules import REGISTRY, read_findings, run_checks, run_rule,
 from shelfmark.plans.rules.magazines import pending_reviews  # noqa: E402
 from shelfmark.plans.rules.tags import series_gaps  # noqa: E402
 from shelfmark.schema import TABLES  # noqa: E402
-from shelfmark.session import apply_settings, cut_lineage, new_path  # noqa: E402
+from shelfmark.session import apply_settings, cut_lineage, new_path, short_lived_shuffles, staging  # noqa: E402
 from shelfmark.sources import dump, tables  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -139,10 +139,11 @@ def findings_in_one_pass(t: Mapping[str, DataFrame]) -> DataFrame:
     return run_checks(t, [r.name for r in REGISTRY.values() if r.base is not None])
 
 
-def findings_per_rule(t: Mapping[str, DataFrame]) -> DataFrame:
+def findings_per_rule(t: DerivedCatalogue) -> DataFrame:
     spark = t["entries"].sparkSession
     path = new_path(spark, "findings")
-    store_findings(t, path, advisory=True)
+    with staging(spark), short_lived_shuffles(spark):
+        store_findings(t.with_grouped_stored(), path, advisory=True)
     return read_findings(spark, path).groupBy("rule").agg(
         F.count(F.lit(1)).alias("findings"), F.sum("occurrences").alias("occurrences")
     )

@@ -3,21 +3,23 @@
 from __future__ import annotations
 
 import os
+import time
 import uuid
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from handmade import Handmade
 from shelfmark import jobs
 from shelfmark.fixtures import files
-from shelfmark.fixtures.derived import DerivedCatalogue
+from shelfmark.fixtures.derived import GROUPED, DerivedCatalogue
 from shelfmark.operators.membership import broken_references
 from shelfmark.plans.imports import map_links
 from shelfmark.plans.rules import read_findings, registry, store_findings
 from shelfmark.schema import TABLES
-from shelfmark.session import cut_lineage, new_path, shared_folder, staging
+from shelfmark.session import SHUFFLE_CLEANUP, cut_lineage, new_path, shared_folder, short_lived_shuffles, staging
 from shelfmark.sources.tables import check_all_references, check_references, export_tables, overwrite_slice, store_slices
 
 
@@ -99,6 +101,65 @@ def test_findings_are_seen_as_a_whole(spark, tmp_path, monkeypatch):
     assert {r.rule for r in read_findings(spark, path).collect()} <= set(rules[:1])
 
 
+def shuffles(spark):
+    """Names of the shuffle files that are on disk."""
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = [found.apply(i).getName() for i in range(found.size())]
+    return {n for n in names if n.startswith("shuffle_")}
+
+
+def left(spark, before):
+    """Shuffle files that came since, once those that are on their way out are gone."""
+    until = time.time() + 10
+    while (new := shuffles(spark) - before) and time.time() < until:
+        time.sleep(0.2)
+    return new
+
+
+def test_rules_take_their_shuffle_files_with_them(spark, sf_dir, tmp_path):
+    t, before = DerivedCatalogue(spark, sf_dir), shuffles(spark)
+    store_findings(t, f"{tmp_path}/findings", ["author_seq_gap", "release_order", "team_not_company", "title_index_unneeded"])
+    assert not left(spark, before)
+    assert read_findings(spark, f"{tmp_path}/findings").count() > 0
+
+
+def test_scope_of_short_lived_shuffles(spark):
+    before, setting = shuffles(spark), spark.conf.get(SHUFFLE_CLEANUP)
+    with pytest.raises(KeyError), short_lived_shuffles(spark):
+        with short_lived_shuffles(spark):
+            counts = spark.range(1000).repartition(3).groupBy((F.col("id") % 7).alias("k")).count()
+            assert counts.agg(F.sum("count")).first()[0] == 1000
+        assert sorted(counts.collect()) == sorted(counts.collect())  # asked again, it is computed again
+        raise KeyError
+    assert spark.conf.get(SHUFFLE_CLEANUP) == setting and not left(spark, before)
+
+
+def test_grouped_tables_are_stored_whole(spark, sf_dir):
+    t = DerivedCatalogue(spark, sf_dir)
+    with staging(spark):
+        stored = t.with_grouped_stored()
+        for name in GROUPED:
+            plan = stored[name]._jdf.queryExecution().executedPlan().toString()
+            assert "Exchange" not in plan and "Exchange" in t[name]._jdf.queryExecution().executedPlan().toString()
+            assert stored[name].dtypes == t[name].dtypes
+            assert stored[name].exceptAll(t[name]).isEmpty() and t[name].exceptAll(stored[name]).isEmpty()
+        assert list(stored) == list(t) and stored["entries"].count() == t["entries"].count()
+
+
+def test_findings_per_rule_reads_stored_groups_and_removes_them(spark, sf_dir, added, monkeypatch):
+    plans, before = [], shuffles(spark)
+
+    def one_rule(t, path, **options):
+        plans.append(t["contents"]._jdf.queryExecution().executedPlan().toString())
+        store_findings(t, path, ["release_order"], **options)
+
+    monkeypatch.setattr(entry, "store_findings", one_rule)
+    entry.findings_per_rule(DerivedCatalogue(spark, sf_dir))
+    assert len(plans) == 1 and "Exchange" not in plans[0]
+    assert not left(spark, before)
+    assert [name.rsplit("-", 1)[0] for name in added()] == ["findings"]
+
+
 def stamps(folder):
     return {
         os.path.join(at, f): os.stat(os.path.join(at, f)).st_mtime_ns
